@@ -41,6 +41,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot never compiles methods beyond 8000 bytes of bytecode; a fused stage that gets
+    # larger runs faster as separate operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -7,32 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType
 
 
+def _extreme_text(value: Column) -> Column:
+    plain = F.regexp_replace(value.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1")
+    exponent = value.cast("string")
+    for pattern, replacement in (
+        (r"(\.0)?E(\d)", "e+$2"),
+        (r"(\.0)?E-(\d)$", "e-0$2"),
+        (r"(\.0)?E-", "e-"),
+        ("NaN", "nan"),
+        ("Infinity", "inf"),
+    ):
+        exponent = F.regexp_replace(exponent, pattern, replacement)
+    size = F.abs(value)
+    return F.when((size >= 1e-4) & (size < 1e16), plain).otherwise(exponent)
+
+
 def double_text(value: Column) -> Column:
-    """Shortest decimal text: plain for 1e-4 <= |x| < 1e16, else ``1.5e+16``.
+    """Shortest decimal text: plain for 1e-4 <= |x| < 1e16, else ``1.5e+16`` or ``2e-05``.
 
-    Spark switches to exponents outside 1e-3 .. 1e7, so only values beyond that range
-    take the slower branches.
+    Spark's own text agrees for 1e-3 <= |x| < 1e7. The rare rest is formatted in a lambda,
+    which keeps that code out of the generated method: inlined for several columns it
+    would outgrow what the JVM compiles.
     """
     size = F.abs(value)
-    java = value.cast("string")
-    plain = F.regexp_replace(
-        F.rtrim(value.cast("decimal(38,21)").cast("string"), F.lit("0")), r"\.$", ".0"
-    )
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    power = F.substring_index(java, "E", -1).cast("int")
-    exponent = F.concat(
-        mantissa,
-        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(power).cast("string"),
-    )
-    return (
-        F.when(((size >= 1e-3) & (size < 1e7)) | (value == 0.0), java)
-        .when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
-    )
+    usual = ((size >= 1e-3) & (size < 1e7)) | (size == 0.0)
+    extreme = F.transform(F.array(value), _extreme_text)
+    return F.when(usual, value.cast("string")).otherwise(F.get(extreme, F.lit(0)))
 
 
 def text_of(value: Column, data_type: DataType) -> Column:

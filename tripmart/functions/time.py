@@ -23,3 +23,14 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 def day_of(moment: Column) -> Column:
     return moment.cast("date")
+
+
+def instant_of(moment: Column) -> Column:
+    """The wall clock as a zoned timestamp, read as UTC whatever the session zone is."""
+    since = moment - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_seconds(since.cast("interval second").cast("decimal(18,6)"))
+
+
+def day_of_instant(instant: Column) -> Column:
+    """The UTC day of a zoned timestamp."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / F.lit(86400)).cast("int"))

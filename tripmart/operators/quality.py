@@ -15,8 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-REPORT = "model string, column_name string, check_name string, failures bigint"
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -172,39 +171,40 @@ def reference_check(
     return _as_rows(missing.agg(F.sum("fact_rows").alias("_0")), [check])
 
 
-def contract_profile(frame: DataFrame, model: str, contract) -> DataFrame:
-    """Per contract column: expected and actual type and the number of filled rows.
+def contract_profile(
+    frame: DataFrame,
+    models: Mapping[str, tuple[StructType, StructType]],
+    weights: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Per model column: expected and actual type and the number of filled rows.
 
+    ``models`` gives contract and actual schema of the models whose rows are in ``frame``.
     Columns that are missing, unexpected or of another type show in ``status``.
     """
-    actual = {field.name: field.dataType.simpleString() for field in frame.schema.fields}
-    expected = {field.name: field.dataType.simpleString() for field in contract.fields}
-    names = list(dict.fromkeys([*expected, *actual]))
-
-    def status(name: str) -> str:
-        if name not in actual:
-            return "missing"
-        if name not in expected:
-            return "unexpected"
-        return "ok" if actual[name] == expected[name] else "type differs"
-
-    totals = frame.agg(
-        *(
-            (F.count(name) if name in actual else F.lit(0)).alias(f"_{i}")
-            for i, name in enumerate(names)
-        )
-    )
+    lines, counters = [], []
+    for model, (contract, schema) in models.items():
+        expected = {f.name: f.dataType.simpleString() for f in contract.fields}
+        actual = {f.name: f.dataType.simpleString() for f in schema.fields}
+        weight = weights[model] if weights else F.lit(1)
+        for name in dict.fromkeys([*expected, *actual]):
+            filled = F.lit(0)
+            if name in actual:
+                filled = F.when(F.col(name).isNotNull(), weight).otherwise(F.lit(0))
+            counters.append(F.sum(filled).alias(f"_{len(counters)}"))
+            status = "ok"
+            if name not in actual or name not in expected:
+                status = "unexpected" if name in actual else "missing"
+            elif actual[name] != expected[name]:
+                status = "type differs"
+            lines.append((model, name, expected.get(name), actual.get(name), status))
+    titles = ("model", "column_name", "expected_type", "actual_type", "status")
     rows = F.array(
         *(
             F.struct(
-                F.lit(model).alias("model"),
-                F.lit(name).alias("column_name"),
-                F.lit(expected.get(name)).cast("string").alias("expected_type"),
-                F.lit(actual.get(name)).cast("string").alias("actual_type"),
-                F.lit(status(name)).alias("status"),
-                F.col(f"_{i}").cast("bigint").alias("filled_rows"),
+                *(F.lit(v).cast("string").alias(t) for t, v in zip(titles, line, strict=True)),
+                F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("filled_rows"),
             )
-            for i, name in enumerate(names)
+            for i, line in enumerate(lines)
         )
     )
-    return totals.select(F.inline(rows))
+    return frame.agg(*counters).select(F.inline(rows))

@@ -77,8 +77,9 @@ def lookback_start(
 def lookback_slice(trips: DataFrame, start: dt.date | None) -> DataFrame:
     if start is None:
         return trips
-    midnight = dt.datetime.combine(start, dt.time())
-    recent = F.col("pickup_datetime") >= F.lit(midnight).cast("timestamp_ntz")
+    # From text, because a Python datetime would pass through the session time zone.
+    midnight = F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
+    recent = F.col("pickup_datetime") >= midnight
     if "pickup_date" in trips.columns:
         recent = recent & (F.col("pickup_date") >= F.lit(start))
     return trips.where(recent)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.config import DEFAULT_RULES, Rules
+from tripmart.functions.time import day_of_instant, instant_of
 
 
 def daily_counts(
@@ -15,15 +16,15 @@ def daily_counts(
 ) -> DataFrame:
     """Counts per day and key; a day closes once the lookback has passed it.
 
-    Event time has to be a zoned timestamp; under a UTC session the cast keeps the clock.
+    Event time has to be a zoned timestamp, so the wall clock is read as UTC.
     """
     return (
-        events.withColumn("_moment", F.col(moment).cast("timestamp"))
+        events.withColumn("_moment", instant_of(F.col(moment)))
         .withWatermark("_moment", f"{rules.lookback_days} days")
         .groupBy(F.window("_moment", "1 day").alias("day"), *keys)
         .agg(F.count(F.lit(1)).alias("events"))
         .select(
-            F.col("day.start").cast("timestamp_ntz").cast("date").alias("event_date"),
+            day_of_instant(F.col("day.start")).alias("event_date"),
             *keys,
             "events",
         )

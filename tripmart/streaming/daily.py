@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmart.config import DEFAULT_RULES, Rules
 from tripmart.functions.time import day_of
@@ -12,28 +13,32 @@ from tripmart.plans import gold, silver
 from tripmart.streaming.ingest import landed_trips, run_batches
 
 
-def _append_batch(trips: DataFrame, batch_id: int, silver_path: str) -> None:
+def _append_batch(trips: DataFrame, batch_id: int, silver_path: str) -> StructType:
     """Keep the batch under its own partition, so that a repeated batch replaces itself."""
+    kept = trips.withColumns(
+        {
+            "ingest_batch": F.lit(batch_id).cast("bigint"),
+            "pickup_date": day_of(F.col("pickup_datetime")),
+        }
+    )
     (
-        trips.withColumn("ingest_batch", F.lit(batch_id))
-        .withColumn("pickup_date", day_of(F.col("pickup_datetime")))
-        .hint("rebalance", "pickup_date")
+        kept.hint("rebalance", "pickup_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_batch", "pickup_date")
         .parquet(silver_path)
     )
+    return kept.schema
 
 
 def refresh_daily(
     spark: SparkSession,
     table: FactTable,
-    silver_path: str,
+    trips: DataFrame,
     batch_id: int,
     rules: Rules = DEFAULT_RULES,
 ) -> None:
     """Recompute, from all silver rows, the days the batch touched within the lookback."""
-    trips = spark.read.parquet(silver_path)
     start = lookback_start(read_fact(spark, table), table.day, rules)
     if start is not None:
         trips = trips.where(F.col("pickup_date") >= F.lit(start))
@@ -55,7 +60,8 @@ def stream_daily(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         valid = silver.validate(silver.enrich(batch, zones), rules)
-        _append_batch(valid, batch_id, silver_path)
-        refresh_daily(spark, table, silver_path, batch_id, rules)
+        schema = _append_batch(valid, batch_id, silver_path)
+        trips = spark.read.schema(schema).parquet(silver_path)
+        refresh_daily(spark, table, trips, batch_id, rules)
 
     run_batches(landed_trips(spark, landing_root), handle, checkpoint)

@@ -8,22 +8,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a machine-local folder; anywhere else a
-    table written there would be invisible to the other executors.
+    Only a local session may fall back to a machine-local folder; anywhere else a table
+    written there would be invisible to the other executors.
     """
     root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tripmart-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tripmart-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
