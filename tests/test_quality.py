@@ -1,0 +1,112 @@
+"""Checks find what a plain count of the broken rows finds."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tests.builders import fhv, raw_zones, yellow
+from tests.conftest import rows
+from tripmart.operators import quality as q
+from tripmart.plans import bronze, gold, silver, suite
+from tripmart.schemas import CONTRACTS
+
+
+def _report(frame):
+    return {(r.model, r.column_name, r.check_name): r.failures for r in frame.collect()}
+
+
+def test_each_kind_of_check(spark):
+    frame = spark.createDataFrame(
+        [(1, "a", 5.0), (1, "b", -1.0), (2, "x", 9.0), (2, None, None), (2, "y", 10.0),
+         (None, "y", 0.0), (None, "a", 11.0)],
+        "id int, kind string, amount double",
+    )
+    checks = [
+        q.not_null("m", "id"),
+        q.unique("m", "id"),
+        q.unique("m", "id", "kind"),
+        q.accepted_values("m", "kind", "a", "b"),
+        q.accepted_range("m", "amount", 0, 10),
+    ]
+    assert _report(q.run_checks(frame, checks)) == {
+        ("m", "id", "not_null"): 2,
+        ("m", "id", "unique"): 2,
+        ("m", "id,kind", "unique"): 0,
+        ("m", "kind", "accepted_values"): 2,
+        ("m", "amount", "accepted_range"): 2,
+    }
+    strict = q.accepted_range("m", "amount", 0, 10, inclusive=False, only_if=F.col("id") == 2)
+    assert _report(q.run_checks(frame, [strict])) == {("m", "amount", "accepted_range"): 1}
+
+
+def test_empty_relation_passes(spark):
+    empty = spark.createDataFrame([], "id int")
+    checks = [q.not_null("m", "id"), q.unique("m", "id")]
+    assert set(_report(q.run_checks(empty, checks)).values()) == {0}
+
+
+def _suite(spark, trips, zones):
+    enriched = silver.validate(silver.enrich(trips, zones))
+    dimension = gold.dim_zones(zones)
+    facts = gold.daily_trips(enriched), gold.zone_metrics(enriched)
+    return _report(suite.quality_report(trips, zones, dimension, *facts))
+
+
+def test_suite_declares_every_check(spark):
+    declared = (
+        suite.trip_checks() + suite.zone_checks() + suite.daily_checks() + suite.zone_fact_checks()
+    )
+    listed = [c for c in declared if not (c.kind == "unique" and len(c.columns) > 1)]
+    kinds = [c.kind for c in listed]
+    assert len(listed) == 43
+    assert [kinds.count(k) for k in
+            ("not_null", "unique", "accepted_values", "accepted_range")] == [28, 8, 5, 2]
+
+
+def test_suite_on_clean_trips_reports_only_sentinel_zones(spark):
+    trips = silver.union_trips(
+        [bronze.stage(yellow(spark, {}, {"DOLocationID": 264}), "yellow"),
+         bronze.stage(fhv(spark, {}), "fhv")]
+    )
+    found = _suite(spark, trips, bronze.stage_zones(raw_zones(spark)))
+    assert found.pop(("fct_zone_metrics", "zone_id", "relationships")) == 1
+    assert len(found) == 47 and set(found.values()) == {0}
+
+
+def test_repeated_zone_shows_where_rows_fan_out(spark):
+    """A zone listed twice repeats enriched trips, but not the staged ones."""
+    zones = bronze.stage_zones(raw_zones(spark, (1, "Manhattan", "Twin", "Yellow Zone")))
+    trips = silver.union_trips([bronze.stage(yellow(spark, {}, {"PULocationID": 3}), "yellow")])
+    found = _suite(spark, trips, zones)
+    repeated = {m for (m, c, kind), n in found.items() if kind == "unique" and n}
+    assert repeated == {"stg_taxi_zones", "dim_zones", "int_trips_enriched", "int_trips_validated"}
+    enriched = silver.enrich(trips, zones)
+    assert enriched.groupBy("trip_id").count().where("count > 1").count() == 1
+    assert found[("int_trips_enriched", "trip_id", "unique")] == 1
+
+
+def test_damaged_trips_are_found(spark):
+    staged = bronze.stage(yellow(spark, {}, {"tip_amount": 2.0}, {"fare_amount": 5.0}), "yellow")
+    damaged = silver.conform(
+        staged.withColumn("trip_id", F.lit("same")).withColumn("trip_type", F.lit("tram"))
+    )
+    found = _suite(spark, damaged, bronze.stage_zones(raw_zones(spark)))
+    assert found[("int_trips_unioned", "trip_id", "unique")] == 1
+    assert found[("int_trips_unioned", "trip_type", "accepted_values")] == 1
+    assert found[("fct_daily_trips", "trip_type", "accepted_values")] == 1
+
+
+def test_contract_names_every_difference(spark):
+    frame = spark.createDataFrame([("1", 2)], "zone_id string, extra int")
+    contract = CONTRACTS["stg_taxi_zones"]
+    profile = q.contract_profile(frame, {"m": (contract, frame.schema)})
+    found = {r.column_name: (r.status, r.filled_rows) for r in profile.collect()}
+    assert found["zone_id"] == ("type differs", 1)
+    assert found["borough"] == ("missing", 0)
+    assert found["extra"] == ("unexpected", 1)
+
+
+def test_missing_references(spark):
+    fact = spark.createDataFrame([(1,), (7,), (7,), (None,)], "zone_id int")
+    dimension = spark.createDataFrame([(1,), (2,)], "zone_id int")
+    assert rows(q.missing_references(fact, dimension, "zone_id")) == [(7, 2)]

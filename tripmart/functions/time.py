@@ -6,6 +6,8 @@ session time zone and survive daylight-saving switches.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def day_of(moment: Column) -> Column:
     return moment.cast("date")
 
 
+def midnight(day: dt.date) -> Column:
+    """Literal start of a day, from text: a Python datetime would pass the session zone."""
+    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+
+
 def instant_of(moment: Column) -> Column:
     """The wall clock as a zoned timestamp, read as UTC whatever the session zone is."""
     since = moment - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

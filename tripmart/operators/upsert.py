@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from tripmart import workspace
 from tripmart.config import DEFAULT_RULES, Rules
-from tripmart.functions.time import day_of
+from tripmart.functions.time import day_of, midnight
 from tripmart.schemas import CONTRACTS, DAILY_KEYS, ZONE_KEYS
 
 
@@ -77,9 +77,7 @@ def lookback_start(
 def lookback_slice(trips: DataFrame, start: dt.date | None) -> DataFrame:
     if start is None:
         return trips
-    # From text, because a Python datetime would pass through the session time zone.
-    midnight = F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
-    recent = F.col("pickup_datetime") >= midnight
+    recent = F.col("pickup_datetime") >= midnight(start)
     if "pickup_date" in trips.columns:
         recent = recent & (F.col("pickup_date") >= F.lit(start))
     return trips.where(recent)
@@ -124,14 +122,11 @@ def upsert(spark: SparkSession, table: FactTable, new: DataFrame) -> None:
     if old is None:
         _write_days(new, table)
         return
-    # The fresh rows are written once and read twice: for their days and for the merge.
-    fresh_at = workspace.fresh_path(spark, "fresh")
-    new.write.parquet(fresh_at)
-    fresh = spark.read.schema(table.schema).parquet(fresh_at)
+    # The fresh rows are read twice: for their days and for the merge.
+    fresh = workspace.written(spark, new, "fresh")
     touched = old.join(fresh.select(table.day).distinct(), table.day, "left_semi")
-    staged_at = workspace.fresh_path(spark, "merged")
-    merge_rows(touched, fresh, table.keys).write.parquet(staged_at)
-    _write_days(spark.read.schema(table.schema).parquet(staged_at), table)
+    merged = workspace.written(spark, merge_rows(touched, fresh, table.keys), "merged")
+    _write_days(merged, table)
 
 
 def replace_days(table: FactTable, new: DataFrame) -> None:

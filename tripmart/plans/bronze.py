@@ -8,6 +8,7 @@ relation, and the latter is scanned once instead of once per service.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql.types import DoubleType, StructType
 
 from tripmart.config import SERVICES
 from tripmart.functions.numeric import rounded_int
+from tripmart.functions.time import midnight
 from tripmart.operators.trip_key import content_key, with_trip_id
 from tripmart.schemas import RAW
 
@@ -94,9 +96,11 @@ def _standard(schema: StructType, service: Column) -> dict[str, Column]:
     return columns
 
 
-def _stage(raw: DataFrame, service: Column, ids: bool) -> DataFrame:
+def _stage(raw: DataFrame, service: Column, ids: bool, since: dt.date | None) -> DataFrame:
     schema = raw.schema
     columns = _standard(schema, service)
+    if since:
+        raw = raw.where(columns["pickup_datetime"] >= midnight(since))
     if ids:
         # The hash takes the raw values; casts apply to the published columns only.
         present = [[n for n in names if n in schema.names] for names in _KEY_FIELDS]
@@ -112,19 +116,22 @@ def _stage(raw: DataFrame, service: Column, ids: bool) -> DataFrame:
     return with_trip_id(staged) if ids else staged
 
 
-def stage(raw: DataFrame, service: str, ids: bool = True) -> DataFrame:
+def stage(
+    raw: DataFrame, service: str, ids: bool = True, since: dt.date | None = None
+) -> DataFrame:
     """Standardise the raw relation of one service.
 
     Without ``ids`` the plan has no shuffle: consumers that never look at ids, as the fact
-    tables, read the cheaper form.
+    tables, read the cheaper form. ``since`` keeps pickups from that day on; set here, the
+    bound reaches every scan of the files that numbering the copies takes.
     """
-    return _stage(raw, F.lit(service), ids)
+    return _stage(raw, F.lit(service), ids, since)
 
 
 def stage_tagged(raw: DataFrame, ids: bool = True) -> DataFrame:
     """Standardise a relation of all services, tagged by ``service``, in one scan."""
     known = raw.where(F.col("service").isin(*SERVICES))
-    return _stage(known, F.col("service"), ids)
+    return _stage(known, F.col("service"), ids, since=None)
 
 
 def stage_zones(raw_zones: DataFrame) -> DataFrame:

@@ -13,10 +13,11 @@ from tripmart.functions.time import day_of
 from tripmart.operators.upsert import (
     daily_table,
     load_increment,
+    lookback_slice,
     zone_table,
 )
 from tripmart.plans import bronze, gold, silver, suite
-from tripmart.sources import landing, lookup
+from tripmart.sources import catalog, landing, lookup
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,8 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
 
-def _write_by_day(trips: DataFrame, path: str) -> None:
-    """Write trips partitioned by pickup day.
+def _write_by_day(trips: DataFrame, path: str, since: dt.date | None) -> None:
+    """Write trips partitioned by pickup day; with ``since`` earlier days are kept.
 
     Rebalancing by day keeps one task from writing a sliver of every day, and AQE splits a
     day that holds far more rows than the others.
@@ -39,36 +40,47 @@ def _write_by_day(trips: DataFrame, path: str) -> None:
         trips.withColumn("pickup_date", day_of(F.col("pickup_datetime")))
         .hint("rebalance", "pickup_date")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if since else "static")
         .partitionBy("pickup_date")
         .parquet(path)
     )
 
 
-def build_bronze(spark: SparkSession, landing_root: str, zones_csv: str, lake: Lake) -> None:
+def build_bronze(
+    spark: SparkSession,
+    landing_root: str,
+    zones_csv: str,
+    lake: Lake,
+    since: dt.date | None = None,
+) -> None:
     """Seed, staged zones and one table of staged trips per landed service."""
     seed = lookup.seed_zones(spark, zones_csv, lake.table("seeds", "taxi_zones"))
     bronze.stage_zones(seed).write.mode("overwrite").parquet(
         lake.table("staging", "stg_taxi_zones")
     )
     for service, raw in landing.available_services(spark, landing_root).items():
-        _write_by_day(bronze.stage(raw, service), lake.table("staging", f"stg_{service}_trips"))
+        table = lake.table("staging", f"stg_{service}_trips")
+        _write_by_day(bronze.stage(raw, service, since=since), table, since)
 
 
 def read_bronze(spark: SparkSession, lake: Lake, services: list[str]) -> DataFrame:
-    return silver.union_trips(
-        [spark.read.parquet(lake.table("staging", f"stg_{s}_trips")) for s in services]
-    )
+    """Union of the staged services, with their partition day."""
+    staged = [spark.read.parquet(lake.table("staging", f"stg_{s}_trips")) for s in services]
+    return silver.union_trips(staged, extra=["pickup_date"])
 
 
 def build_silver(
-    spark: SparkSession, lake: Lake, services: list[str], rules: Rules = DEFAULT_RULES
+    spark: SparkSession,
+    lake: Lake,
+    services: list[str],
+    rules: Rules = DEFAULT_RULES,
+    since: dt.date | None = None,
 ) -> None:
     """Validated trips, written once because both facts read them."""
     zones = spark.read.parquet(lake.table("staging", "stg_taxi_zones"))
-    trips = silver.enrich(read_bronze(spark, lake, services), zones)
-    _write_by_day(
-        silver.validate(trips, rules), lake.table("intermediate", "int_trips_validated")
-    )
+    trips = lookback_slice(read_bronze(spark, lake, services), since).drop("pickup_date")
+    valid = silver.validate(silver.enrich(trips, zones), rules)
+    _write_by_day(valid, lake.table("intermediate", "int_trips_validated"), since)
 
 
 def build_gold(
@@ -101,22 +113,67 @@ def check_quality(
     )
 
 
+def publish(spark: SparkSession, landing_root: str, lake: Lake, prefix: str = "") -> None:
+    """Expose sources and tables by layer, so that SQL can name them: ``marts.dim_zones``.
+
+    Without a prefix the namespaces are called ``raw``, ``staging``, ``intermediate``,
+    ``marts`` and ``seeds``. Union and enrichment stay views over the staged tables.
+    """
+    catalog.create_namespaces(spark, lake.root, prefix)
+    services = list(landing.available_services(spark, landing_root))
+    raw_paths = {f"{s}_tripdata": landing.service_glob(landing_root, s) for s in services}
+    catalog.register_files(spark, catalog.namespace("raw", prefix), raw_paths)
+    tables = {
+        "seeds": ["taxi_zones"],
+        "staging": ["stg_taxi_zones", *(f"stg_{s}_trips" for s in services)],
+        "intermediate": ["int_trips_validated"],
+        "marts": ["dim_zones", "fct_daily_trips", "fct_zone_metrics"],
+    }
+    for layer, names in tables.items():
+        paths = {name: lake.table(layer, name) for name in names}
+        catalog.register_files(spark, catalog.namespace(layer, prefix), paths)
+
+
+def register_views(
+    spark: SparkSession, landing_root: str, zones: DataFrame, rules: Rules = DEFAULT_RULES
+) -> None:
+    """Bronze and silver as session views over the landing, recomputed on every read."""
+    staged = {
+        service: bronze.stage(raw, service)
+        for service, raw in landing.available_services(spark, landing_root).items()
+    }
+    unioned = silver.union_trips(list(staged.values()))
+    enriched = silver.enrich(unioned, zones)
+    views = {f"stg_{service}_trips": frame for service, frame in staged.items()}
+    views |= {
+        "stg_taxi_zones": zones,
+        "int_trips_unioned": unioned,
+        "int_trips_enriched": enriched,
+        "int_trips_validated": silver.validate(enriched, rules),
+    }
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(name)
+
+
 def run_all(
     spark: SparkSession,
     landing_root: str,
     zones_csv: str,
     lake_root: str,
     rules: Rules = DEFAULT_RULES,
+    since: dt.date | None = None,
     max_event_date: dt.date | None = None,
 ) -> DataFrame:
     """Build every layer from the landing and return the quality report.
 
-    Running it again after new files have landed refreshes bronze and silver and upserts
-    the days within the lookback into the facts.
+    A later run upserts the days within the lookback into the facts. With ``since`` it also
+    rebuilds bronze and silver for the days from then on only: the bound reaches the scans of
+    the landed files, and trip ids number the copies within one pickup second, so whole days
+    can be replaced on their own.
     """
     lake = Lake(lake_root.rstrip("/"))
     services = list(landing.available_services(spark, landing_root))
-    build_bronze(spark, landing_root, zones_csv, lake)
-    build_silver(spark, lake, services, rules)
+    build_bronze(spark, landing_root, zones_csv, lake, since)
+    build_silver(spark, lake, services, rules, since)
     build_gold(spark, lake, rules, max_event_date)
     return check_quality(spark, lake, services, rules)

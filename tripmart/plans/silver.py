@@ -12,18 +12,32 @@ from tripmart.config import DEFAULT_RULES, Rules
 from tripmart.functions.numeric import speed_mph, tip_percentage
 from tripmart.functions.time import minutes_between
 from tripmart.operators.rules import trip_rules
-from tripmart.schemas import COMMON_TRIP_COLUMNS
+from tripmart.schemas import COMMON_TRIP_COLUMNS, CONTRACTS
 
 
-def conform(staged: DataFrame) -> DataFrame:
+def conform(staged: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Keep the columns every service shares (``trip_id`` only where it was built)."""
-    return staged.select(*(c for c in COMMON_TRIP_COLUMNS if c in staged.columns))
+    shared = [*COMMON_TRIP_COLUMNS, *extra]
+    return staged.select(*(c for c in shared if c in staged.columns))
 
 
-def union_trips(staged: list[DataFrame]) -> DataFrame:
-    """All services in one shape; columns a service lacks are null of its peers' type."""
-    widest_first = sorted((conform(s) for s in staged), key=lambda s: -len(s.columns))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), widest_first)
+def union_trips(staged: list[DataFrame], extra: Sequence[str] = ()) -> DataFrame:
+    """All services in one shape; columns a service lacks are null of its peers' type.
+
+    The columns come out in the common order even where no metered service has landed.
+    """
+    conformed = [conform(s, extra) for s in staged]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), conformed)
+    types = {f.name: f.dataType for f in CONTRACTS["int_trips_unioned"].fields}
+    optional = {"trip_id"} - set(union.columns)
+    return union.select(
+        *(
+            F.col(c) if c in union.columns else F.lit(None).cast(types[c]).alias(c)
+            for c in COMMON_TRIP_COLUMNS
+            if c not in optional
+        ),
+        *extra,
+    )
 
 
 def with_duration(trips: DataFrame) -> DataFrame:

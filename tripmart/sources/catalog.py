@@ -12,13 +12,13 @@ LAYERS = ("raw", "staging", "intermediate", "marts", "seeds")
 
 
 def namespace(layer: str, prefix: str = "tripmart") -> str:
-    return f"{prefix}_{layer}"
+    return f"{prefix}_{layer}" if prefix else layer
 
 
 def create_namespaces(spark: SparkSession, root: str, prefix: str = "tripmart") -> None:
     for layer in LAYERS:
         name = namespace(layer, prefix)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/_catalog/{name}'")
 
 
 def register_files(spark: SparkSession, database: str, paths: Mapping[str, str]) -> None:

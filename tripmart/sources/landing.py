@@ -17,7 +17,8 @@ from tripmart.config import EXPECTED_MONTHS, SERVICES
 from tripmart.schemas import RAW
 
 
-def _glob(root: str, service: str) -> str:
+def service_glob(root: str, service: str) -> str:
+    """Pattern for the files of one service, in either layout."""
     return f"{root}/{{{service}_tripdata_*.parquet,service={service}_tripdata}}"
 
 
@@ -29,7 +30,7 @@ def scan_service(spark: SparkSession, root: str, service: str) -> DataFrame | No
     """All landed files of one service as one relation; None when nothing landed."""
     reader = spark.read.schema(RAW[service]).option("recursiveFileLookup", "true")
     try:
-        return reader.parquet(_glob(root, service))
+        return reader.parquet(service_glob(root, service))
     except AnalysisException as error:
         if _is_missing(error):
             return None
@@ -43,7 +44,7 @@ def stream_service(
     reader = spark.readStream.schema(RAW[service]).option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(_glob(root, service))
+    return reader.parquet(service_glob(root, service))
 
 
 def available_services(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -30,3 +30,13 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tripmart/{label}-{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
+    """Write a result that several steps read, and return the written table.
+
+    Unlike a cache it survives the loss of executors.
+    """
+    path = fresh_path(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
