@@ -44,6 +44,8 @@ SESSION_SETTINGS = {
     # HotSpot never compiles methods beyond 8000 bytes of bytecode; a fused stage that gets
     # larger runs faster as separate operators.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Off, building a plan does not collect a stack trace for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

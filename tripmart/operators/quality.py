@@ -3,8 +3,8 @@
 A check names a model, a column and what must hold; its result is the number of failing
 rows (for ``unique`` and ``accepted_values``: of failing values). Models that are stages of
 the same row stream share one relation: each model is a weight column that says how often a
-row occurs in it (0, 1, or more when a join fans out). All row-level checks of a relation
-then take one pass, all uniqueness checks of a column one shuffle.
+row occurs in it (0, 1, or more when a join fans out). The checks of all these models then
+share their passes over the relation.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Kinds that look at all rows of a value together; the others judge row by row.
+_ON_VALUES = ("unique", "accepted_values")
+
+
 @dataclass(frozen=True)
 class Check:
     model: str
@@ -76,56 +80,63 @@ def _broken(check: Check) -> Column:
     return F.coalesce(check.only_if, F.lit(False)) & broken
 
 
-def _as_rows(totals: DataFrame, checks: list[Check]) -> DataFrame:
-    """Turn one row of counters ``_0, _1, ...`` into report rows."""
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(check.model).alias("model"),
-                F.lit(check.column_name).alias("column_name"),
-                F.lit(check.kind).alias("check_name"),
-                F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("failures"),
-            )
-            for i, check in enumerate(checks)
-        )
+def _stacked(totals: DataFrame, lines: list[tuple], titles: str) -> DataFrame:
+    """Turn one row of counters ``_0, _1, ...`` into one row per line of literals."""
+
+    def literal(value: str | None) -> str:
+        return "cast(null as string)" if value is None else f"'{value}'"
+
+    cells = (
+        ", ".join([*map(literal, line), f"cast(coalesce(_{i}, 0) as bigint)"])
+        for i, line in enumerate(lines)
     )
-    return totals.select(F.inline(rows))
+    return totals.selectExpr(f"stack({len(lines)}, {', '.join(cells)}) as ({titles})")
+
+
+def _as_rows(totals: DataFrame, checks: list[Check]) -> DataFrame:
+    lines = [(check.model, check.column_name, check.kind) for check in checks]
+    return _stacked(totals, lines, "model, column_name, check_name, failures")
 
 
-def _row_checks(
+def _failing_weight(check: Check, weights: Mapping[str, Column]) -> Column:
+    return F.sum(F.when(_broken(check), weights[check.model]).otherwise(F.lit(0)))
+
+
+def _row_pass(
     frame: DataFrame, weights: Mapping[str, Column], checks: list[Check]
 ) -> DataFrame:
-    counters = (
-        F.sum(F.when(_broken(check), weights[check.model]).otherwise(F.lit(0))).alias(f"_{i}")
-        for i, check in enumerate(checks)
-    )
+    counters = (_failing_weight(c, weights).alias(f"_{i}") for i, c in enumerate(checks))
     return _as_rows(frame.agg(*counters), checks)
 
 
-def _value_checks(
-    frame: DataFrame, weights: Mapping[str, Column], checks: list[Check]
+def _value_pass(
+    frame: DataFrame, weights: Mapping[str, Column], columns: tuple[str, ...],
+    checks: list[Check],
 ) -> DataFrame:
-    """``unique`` and ``accepted_values`` checks that look at the same column(s).
+    """Checks that compare the values of some column(s), and others that ride along.
 
     Rows are combined per value before the shuffle, so one value that holds a large share
     of the rows is no hot spot.
     """
-    columns = list(checks[0].columns)
-    models = list(dict.fromkeys(check.model for check in checks))
-    values = (
-        frame.where(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)))
-        .groupBy(*columns)
-        .agg(*(F.sum(weights[m]).alias(f"_in_{m}") for m in models))
+    on_values = [c for c in checks if c.kind in _ON_VALUES]
+    on_rows = [c for c in checks if c.kind not in _ON_VALUES]
+    models = list(dict.fromkeys(check.model for check in on_values))
+    values = frame.groupBy(*columns).agg(
+        *(F.sum(weights[m]).alias(f"_in_{m}") for m in models),
+        *(_failing_weight(c, weights).alias(f"_row_{i}") for i, c in enumerate(on_rows)),
     )
+    filled = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns))
 
     def fails(check: Check) -> Column:
         rows = F.col(f"_in_{check.model}")
         if check.kind == "unique":
-            return rows > 1
-        return (rows > 0) & ~F.col(columns[0]).isin(*check.values)
+            return filled & (rows > 1)
+        return filled & (rows > 0) & ~F.col(columns[0]).isin(*check.values)
 
-    counters = (F.count_if(fails(check)).alias(f"_{i}") for i, check in enumerate(checks))
-    return _as_rows(values.agg(*counters), checks)
+    counters = [F.count_if(fails(check)) for check in on_values]
+    counters += [F.sum(f"_row_{i}") for i in range(len(on_rows))]
+    totals = values.agg(*(c.alias(f"_{i}") for i, c in enumerate(counters)))
+    return _as_rows(totals, on_values + on_rows)
 
 
 def run_checks(
@@ -133,20 +144,33 @@ def run_checks(
     checks: Iterable[Check],
     weights: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Report rows of the checks of one relation."""
+    """Report rows of the checks of one relation.
+
+    Each distinct set of columns under ``unique`` or ``accepted_values`` takes one pass.
+    Row-level checks join the pass of their own column, else one over a list of accepted
+    values, which has few groups; only without such a pass do they take their own.
+    """
     checks = list(checks)
     if weights is None:
         weights = {check.model: F.lit(1) for check in checks}
-    grouped: dict[tuple[str, ...], list[Check]] = {}
-    row_level = []
+    passes: dict[tuple[str, ...], list[Check]] = {}
     for check in checks:
-        if check.kind in ("unique", "accepted_values"):
-            grouped.setdefault(check.columns, []).append(check)
+        if check.kind in _ON_VALUES:
+            passes.setdefault(check.columns, []).append(check)
+    few_groups = [c.columns for c in checks if c.kind == "accepted_values"]
+    alone = []
+    for check in checks:
+        if check.kind in _ON_VALUES:
+            continue
+        if check.kind == "not_null" and check.columns in passes:
+            passes[check.columns].append(check)
+        elif few_groups:
+            passes[few_groups[0]].append(check)
         else:
-            row_level.append(check)
-    parts = [_value_checks(frame, weights, group) for group in grouped.values()]
-    if row_level:
-        parts.append(_row_checks(frame, weights, row_level))
+            alone.append(check)
+    parts = [_value_pass(frame, weights, columns, group) for columns, group in passes.items()]
+    if alone:
+        parts.append(_row_pass(frame, weights, alone))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -197,14 +221,5 @@ def contract_profile(
             elif actual[name] != expected[name]:
                 status = "type differs"
             lines.append((model, name, expected.get(name), actual.get(name), status))
-    titles = ("model", "column_name", "expected_type", "actual_type", "status")
-    rows = F.array(
-        *(
-            F.struct(
-                *(F.lit(v).cast("string").alias(t) for t, v in zip(titles, line, strict=True)),
-                F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("filled_rows"),
-            )
-            for i, line in enumerate(lines)
-        )
-    )
-    return frame.agg(*counters).select(F.inline(rows))
+    titles = "model, column_name, expected_type, actual_type, status, filled_rows"
+    return _stacked(frame.agg(*counters), lines, titles)

@@ -371,6 +371,7 @@ def _report(spark, sf_dir, *kinds):
         daily_fact,
         zone_fact,
         kinds or None,
+        without_ids=fixture.trips(spark, sf_dir),
     )
 
 
