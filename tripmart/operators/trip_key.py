@@ -12,6 +12,8 @@ from tripmart.functions.text import text_of
 
 # A pickup second with more trips than this is spread over several tasks.
 CROWDED_SECOND = 1_000_000
+# At most this many seconds, the most crowded first, are broadcast: about 30 MB.
+MOST_CROWDED = 1_000_000
 
 # Order of the copies of one key. Everything else is already part of the key, so rows that
 # tie here are identical and interchangeable.
@@ -47,7 +49,10 @@ def _ties(frame: DataFrame) -> list[Column]:
 
 
 def with_trip_id(
-    frame: DataFrame, key: str = "base_hash", crowded: int = CROWDED_SECOND
+    frame: DataFrame,
+    key: str = "base_hash",
+    crowded: int = CROWDED_SECOND,
+    most: int = MOST_CROWDED,
 ) -> DataFrame:
     """Replace ``key`` by ``trip_id`` = key + ``_`` + running number among its copies.
 
@@ -55,20 +60,23 @@ def with_trip_id(
     column, combined before the shuffle) bounds the size of every key group. Groups within
     the bound are numbered by a plain window. The rest are collapsed to distinct rows with a
     copy count, cut into slices by content, numbered per slice and expanded again, so that
-    no task ever holds a whole crowded group. Both branches are exact; when no second is
-    crowded, AQE finds the broadcast empty and drops the second branch before it runs.
+    no task ever holds a whole crowded group. Both branches are exact, whichever a group
+    takes: beyond ``most`` crowded seconds, which bounds the broadcast, the less crowded ones
+    stay with the window. When no second is crowded, AQE finds the broadcast empty and drops
+    the second branch before it runs.
     """
     group = ["trip_type", "pickup_datetime", key]
     busy = (
         frame.groupBy("pickup_datetime")
         .agg(F.count(F.lit(1)).alias("_trips"))
         .where(F.col("_trips") > crowded)
+        .orderBy(F.desc("_trips"), "pickup_datetime")
+        .limit(most)
         .select(
             "pickup_datetime",
             F.ceil(F.col("_trips") / F.lit(crowded)).cast("int").alias("_slices"),
         )
     )
-    # At most rows / crowded seconds can qualify: about a million for 10^12 trips.
     busy = F.broadcast(busy)
 
     order = _ties(frame) or [F.lit(0)]
