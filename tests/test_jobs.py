@@ -8,6 +8,7 @@ import pytest
 
 from tests.conftest import rows
 from tripmart import workspace
+from tripmart.config import shuffle_settings
 from tripmart.plans import jobs
 from tripmart.sources import landing
 from verification import fixture
@@ -20,7 +21,7 @@ def deployment(spark, sf_dir):
     root = workspace.fresh_path(spark, "test-landing")
     fixture.land(fixture.tagged(spark, sf_dir), root)
     csv = workspace.fresh_path(spark, "test-zones")
-    fixture.raw_zones(spark, sf_dir).coalesce(1).write.option("header", "true").csv(csv)
+    fixture.raw_zones(spark, sf_dir).write.option("header", "true").csv(csv)
     lake = jobs.Lake(workspace.fresh_path(spark, "test-lake"))
     report = jobs.run_all(spark, root, csv, lake.root)
     return root, csv, lake, report
@@ -97,3 +98,8 @@ def test_local_fallback_folder_only_for_local_sessions(spark):
         workspace.shared_root(Cluster())
     Cluster.sparkContext.master = "local[2]"
     assert workspace.shared_root(Cluster()) == workspace.shared_root(Cluster())
+
+
+def test_shuffle_settings_grow_with_the_data():
+    assert shuffle_settings(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert int(shuffle_settings(100 << 40)["spark.sql.shuffle.partitions"]) == 409600

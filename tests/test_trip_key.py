@@ -72,6 +72,16 @@ def test_crowded_groups_are_numbered_without_gaps(spark, crowded, most):
         assert numbers == list(range(1, size + 1))
 
 
+@pytest.mark.parametrize("crowded", [7, 1_000_000])
+def test_numbers_of_rows_repeat_from_run_to_run(spark, crowded):
+    def numbered(partitions):
+        keyed = _keyed(spark).repartition(partitions)
+        stamped = keyed.withColumn("loaded_at", F.current_timestamp())
+        return rows(with_trip_id(stamped, crowded=crowded), "trip_id", "tip_amount")
+
+    assert numbered(3) == numbered(8)
+
+
 def test_crowded_path_spreads_a_group(spark):
     """A key that holds most rows reaches the numbering step in several slices."""
     frame = with_trip_id(_keyed(spark), crowded=10)

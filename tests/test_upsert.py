@@ -126,3 +126,25 @@ def test_zone_fact_upsert(spark, tmp_path):
         (2, day1, 0, 1),
         (2, day9, 1, 2),
     ]
+
+
+@pytest.mark.parametrize("first_load", [True, False])
+def test_run_that_dies_while_replacing_days_is_completed(spark, table, monkeypatch, first_load):
+    """Only the newest day gets written; the next run must not start its lookback there."""
+    base = [_trip(1), _trip(2)]
+    everything = [*base, *(_trip(day) for day in (5, 10, 20))]
+    if not first_load:
+        _load(spark, table, *base)
+    write_days = upsert._write_days
+
+    def die_half_way(rows, target):
+        write_days(rows.where("trip_date = date'2024-01-20'"), target)
+        raise OSError("lost")
+
+    monkeypatch.setattr(upsert, "_write_days", die_half_way)
+    with pytest.raises(OSError, match="lost"):
+        _load(spark, table, *everything)
+    assert (20, "Manhattan") in _counts(upsert.read_fact(spark, table))
+    monkeypatch.setattr(upsert, "_write_days", write_days)
+    expected = {(day, "Manhattan"): 1 for day in (1, 2, 5, 10, 20)}
+    assert _counts(_load(spark, table, *everything)) == expected

@@ -34,7 +34,8 @@ RATE_CODES = {
 }
 VENDORS = {1: "Creative Mobile", 2: "VeriFone"}
 
-# The pipeline needs nothing beyond these; sizes of shuffles are left to AQE.
+# The pipeline needs nothing beyond these. AQE merges small shuffle partitions but never makes
+# more than the initial number: size that with ``shuffle_settings``.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -64,6 +65,19 @@ class Rules:
 DEFAULT_RULES = Rules()
 
 
+def shuffle_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for jobs whose largest shuffle moves about ``shuffle_bytes``.
+
+    The largest shuffle is the numbering of trip ids, which moves every staged row once; the
+    facts shuffle partial aggregates only. Partitions that turn out small are merged.
+    """
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def spark_session(
     app_name: str = "tripmart", master: str | None = None, **settings: str
 ) -> SparkSession:

@@ -15,8 +15,8 @@ CROWDED_SECOND = 1_000_000
 # At most this many seconds, the most crowded first, are broadcast: about 30 MB.
 MOST_CROWDED = 1_000_000
 
-# Order of the copies of one key. Everything else is already part of the key, so rows that
-# tie here are identical and interchangeable.
+# Order of the copies of one key, by the fields that are not part of it. The rest of the
+# columns follows, so that only identical rows, which are interchangeable, can tie.
 TIE_BREAKERS = (
     "extra",
     "mta_tax",
@@ -44,8 +44,9 @@ def content_key(schema: StructType, fields: Sequence[Sequence[str]]) -> Column:
     return F.md5(F.concat_ws("|", *texts))
 
 
-def _ties(frame: DataFrame) -> list[Column]:
-    return [F.asc_nulls_first(c) for c in TIE_BREAKERS if c in frame.columns]
+def _facts_of(frame: DataFrame, *others: str) -> list[str]:
+    """Columns that describe the trip; the load time differs from run to run."""
+    return [c for c in frame.columns if c not in {"loaded_at", *others}]
 
 
 def with_trip_id(
@@ -79,7 +80,9 @@ def with_trip_id(
     )
     busy = F.broadcast(busy)
 
-    order = _ties(frame) or [F.lit(0)]
+    described = _facts_of(frame, *group)
+    first = [c for c in TIE_BREAKERS if c in described]
+    order = [F.asc_nulls_first(c) for c in [*first, *(c for c in described if c not in first)]]
     plain = frame.join(busy, "pickup_datetime", "left_anti").withColumn(
         "_copy", F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     )
@@ -98,7 +101,9 @@ def _number_crowded(
     distinct = (
         rows.groupBy(*columns, "_slices")
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_slice", F.pmod(F.xxhash64(*columns), F.col("_slices")))
+        .withColumn(
+            "_slice", F.pmod(F.xxhash64(*_facts_of(rows, "_slices")), F.col("_slices"))
+        )
         .drop("_slices")
     )
     sizes = distinct.groupBy(*group, "_slice").agg(F.sum("_copies").alias("_size"))

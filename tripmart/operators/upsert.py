@@ -111,27 +111,55 @@ def _write_days(rows: DataFrame, table: FactTable) -> None:
     )
 
 
-def upsert(spark: SparkSession, table: FactTable, new: DataFrame) -> None:
-    """Merge recomputed rows into the fact.
+def _note_pending(spark: SparkSession, table: FactTable, staged: str | None) -> None:
+    """Record beside the table which staged days are about to replace its days, or none."""
+    note = spark.range(1).select(F.lit(staged).cast("string").alias("staged"))
+    note.write.mode("overwrite").parquet(f"{table.path}_pending")
+
+
+def _publish(spark: SparkSession, table: FactTable, staged: str) -> None:
+    _note_pending(spark, table, staged)
+    _write_days(spark.read.schema(table.schema).parquet(staged), table)
+    _note_pending(spark, table, None)
+
 
-    The merged days are written to the shared folder first and only then over the table
-    they were read from. A run that dies in between leaves the staged days complete, and
-    repeating the run gives the same table.
+def recover(spark: SparkSession, table: FactTable) -> None:
+    """Finish the replacement of days that an earlier run started and did not complete.
+
+    Days are replaced one after the other. Had a run died after the newest day, the next one
+    would start its lookback there and miss older days; the staged days supply them.
     """
+    try:
+        note = spark.read.schema("staged string").parquet(f"{table.path}_pending").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
+    if note is not None and note["staged"] is not None:
+        _publish(spark, table, note["staged"])
+
+
+def upsert(spark: SparkSession, table: FactTable, new: DataFrame) -> None:
+    """Merge recomputed rows into the fact; whole days are staged, then replaced."""
     old = read_fact(spark, table)
     if old is None:
-        _write_days(new, table)
+        replace_days(spark, table, new)
         return
     # The fresh rows are read twice: for their days and for the merge.
     fresh = workspace.written(spark, new, "fresh")
     touched = old.join(fresh.select(table.day).distinct(), table.day, "left_semi")
-    merged = workspace.written(spark, merge_rows(touched, fresh, table.keys), "merged")
-    _write_days(merged, table)
+    replace_days(spark, table, merge_rows(touched, fresh, table.keys))
 
 
-def replace_days(table: FactTable, new: DataFrame) -> None:
-    """Alternative to the upsert: every day that was recomputed is replaced as a whole."""
-    _write_days(new, table)
+def replace_days(spark: SparkSession, table: FactTable, rows: DataFrame) -> None:
+    """Replace every day that is present in ``rows`` as a whole.
+
+    The rows may come from the table itself, so they are written to the shared folder before
+    the table is touched.
+    """
+    staged = workspace.fresh_path(spark, "days")
+    rows.write.parquet(staged)
+    _publish(spark, table, staged)
 
 
 def load_increment(
@@ -143,11 +171,15 @@ def load_increment(
     replace: bool = False,
     max_event_date: dt.date | None = None,
 ) -> DataFrame:
-    """One run of a fact: first load, or lookback slice plus upsert. Returns the table."""
+    """One run of a fact: first load, or lookback slice plus upsert. Returns the table.
+
+    With ``replace`` recomputed days are replaced as a whole instead of merged by key.
+    """
+    recover(spark, table)
     start = lookback_start(read_fact(spark, table), table.day, rules, max_event_date)
     rows = build(lookback_slice(validated, start)).select(*table.schema.names)
     if replace:
-        replace_days(table, rows)
+        replace_days(spark, table, rows)
     else:
         upsert(spark, table, rows)
     return read_fact(spark, table)

@@ -14,5 +14,5 @@ def scan_zones(spark: SparkSession, path: str) -> DataFrame:
 
 def seed_zones(spark: SparkSession, csv_path: str, table_path: str) -> DataFrame:
     """Load the versioned lookup into a table and return the table."""
-    scan_zones(spark, csv_path).coalesce(1).write.mode("overwrite").parquet(table_path)
+    scan_zones(spark, csv_path).write.mode("overwrite").parquet(table_path)
     return spark.read.schema(RAW_ZONES).parquet(table_path)

@@ -8,7 +8,13 @@ from pyspark.sql.types import StructType
 
 from tripmart.config import DEFAULT_RULES, Rules
 from tripmart.functions.time import day_of
-from tripmart.operators.upsert import FactTable, lookback_start, read_fact, upsert
+from tripmart.operators.upsert import (
+    FactTable,
+    lookback_start,
+    read_fact,
+    recover,
+    upsert,
+)
 from tripmart.plans import gold, silver
 from tripmart.streaming.ingest import landed_trips, run_batches
 
@@ -38,7 +44,11 @@ def refresh_daily(
     batch_id: int,
     rules: Rules = DEFAULT_RULES,
 ) -> None:
-    """Recompute, from all silver rows, the days the batch touched within the lookback."""
+    """Recompute, from all silver rows, the days the batch touched within the lookback.
+
+    A batch that is repeated after a failure first completes what it had begun.
+    """
+    recover(spark, table)
     start = lookback_start(read_fact(spark, table), table.day, rules)
     if start is not None:
         trips = trips.where(F.col("pickup_date") >= F.lit(start))

@@ -69,7 +69,7 @@ def scan_trips(spark, sf_dir):
 
 def _zones_csv(spark, sf_dir):
     path = workspace.fresh_path(spark, "zones-csv")
-    fixture.raw_zones(spark, sf_dir).coalesce(1).write.option("header", "true").csv(path)
+    fixture.raw_zones(spark, sf_dir).write.option("header", "true").csv(path)
     return path
 
 
