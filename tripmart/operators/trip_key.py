@@ -15,8 +15,8 @@ CROWDED_SECOND = 1_000_000
 # At most this many seconds, the most crowded first, are broadcast: about 30 MB.
 MOST_CROWDED = 1_000_000
 
-# Order of the copies of one key, by the fields that are not part of it. The rest of the
-# columns follows, so that only identical rows, which are interchangeable, can tie.
+# Order of the copies of one key: the fields that are not part of it, and the two that the
+# key cannot tell from empty text when null. Only identical, interchangeable rows tie.
 TIE_BREAKERS = (
     "extra",
     "mta_tax",
@@ -29,6 +29,8 @@ TIE_BREAKERS = (
     "store_and_fwd_flag",
     "payment_type",
     "green_trip_type",
+    "dispatching_base_num",
+    "affiliated_base_num",
 )
 
 
@@ -44,11 +46,6 @@ def content_key(schema: StructType, fields: Sequence[Sequence[str]]) -> Column:
     return F.md5(F.concat_ws("|", *texts))
 
 
-def _facts_of(frame: DataFrame, *others: str) -> list[str]:
-    """Columns that describe the trip; the load time differs from run to run."""
-    return [c for c in frame.columns if c not in {"loaded_at", *others}]
-
-
 def with_trip_id(
     frame: DataFrame,
     key: str = "base_hash",
@@ -66,7 +63,8 @@ def with_trip_id(
     stay with the window. When no second is crowded, AQE finds the broadcast empty and drops
     the second branch before it runs.
     """
-    group = ["trip_type", "pickup_datetime", key]
+    # The time comes first, because a sort compares its first column fastest.
+    group = ["pickup_datetime", key, "trip_type"]
     busy = (
         frame.groupBy("pickup_datetime")
         .agg(F.count(F.lit(1)).alias("_trips"))
@@ -80,9 +78,7 @@ def with_trip_id(
     )
     busy = F.broadcast(busy)
 
-    described = _facts_of(frame, *group)
-    first = [c for c in TIE_BREAKERS if c in described]
-    order = [F.asc_nulls_first(c) for c in [*first, *(c for c in described if c not in first)]]
+    order = [F.asc_nulls_first(c) for c in TIE_BREAKERS if c in frame.columns]
     plain = frame.join(busy, "pickup_datetime", "left_anti").withColumn(
         "_copy", F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     )
@@ -98,12 +94,12 @@ def _number_crowded(
     rows: DataFrame, group: list[str], order: list[Column], chunk: int
 ) -> DataFrame:
     columns = [c for c in rows.columns if c != "_slices"]
+    # The load time differs from run to run and must not decide the slice.
+    described = [c for c in columns if c != "loaded_at"]
     distinct = (
         rows.groupBy(*columns, "_slices")
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn(
-            "_slice", F.pmod(F.xxhash64(*_facts_of(rows, "_slices")), F.col("_slices"))
-        )
+        .withColumn("_slice", F.pmod(F.xxhash64(*described), F.col("_slices")))
         .drop("_slices")
     )
     sizes = distinct.groupBy(*group, "_slice").agg(F.sum("_copies").alias("_size"))
