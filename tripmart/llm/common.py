@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +29,23 @@ _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="modules-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

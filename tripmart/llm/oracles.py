@@ -59,4 +59,38 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from figures
 """
 
-ORACLES: dict[str, str] = {"op10_quality_rules": OP10}
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3 = rf"""
+with d as (select doc_id, regexp_extract_all({_FOLD}, '{_TERM}') as ws from documents),
+b as (select cast(item_id as varchar) as item, regexp_extract_all({_FOLD}, '{_TERM}') as ws from benchmark),
+sized as (select item, ws, least(len(ws), 13) as size from b where len(ws) > 0),
+needles as (
+  select distinct item, size, array_to_string(ws[i : i + size - 1], ' ') as w
+  from (select item, ws, size, unnest(range(1, len(ws) - size + 2)) as i from sized)
+),
+sizes as (select distinct size from needles),
+hay as (
+  select doc_id, i, size, array_to_string(ws[i : i + size - 1], ' ') as w
+  from (select doc_id, ws, size, unnest(range(1, greatest(len(ws) - size + 2, 1))) as i from d, sizes)
+),
+found as (select doc_id, i, h.size as size, item from hay h join needles n on h.w = n.w and h.size = n.size),
+hit as (
+  select doc_id, count(distinct i + k) as n_hit
+  from (select doc_id, i, unnest(range(0, size)) as k from found) group by doc_id
+),
+which as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, item from found) group by doc_id
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+from d left join hit using (doc_id) left join which using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_decontamination": OP3,
+    "op10_quality_rules": OP10,
+}
