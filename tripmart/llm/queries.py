@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import decontamination, quality_rules
+from tripmart.llm import binary_records, decontamination, packing, quality_rules
 from tripmart.llm.common import ship, table
 
 
@@ -21,7 +21,21 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op3_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as records of token ids, read back from the files."""
+    ship(spark)
+    return binary_records.op4_binary_records(table(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into token sequences."""
+    ship(spark)
+    return packing.op5_best_fit_packing(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op4_binary_records": op4_binary_records,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
