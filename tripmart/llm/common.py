@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -110,3 +111,15 @@ def signed(h: np.ndarray) -> np.ndarray:
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.transform(F.array(value), body)[0]
+
+
+def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive groups whose sizes add up to at most ``most``, or that are one large item."""
+    first = total = 0
+    for k, size in enumerate(sizes):
+        if total and total + size > most:
+            yield first, k
+            first, total = k, 0
+        total += size
+    if first < len(sizes):
+        yield first, len(sizes)

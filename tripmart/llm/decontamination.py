@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.common import free_name, terms, word_hashes
+from tripmart.llm.common import chunks, free_name, terms, word_hashes
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -221,17 +221,6 @@ def _search_shard(documents: list[np.ndarray], bench: Benchmark) -> list[tuple[l
     return [(s, i, best.get(d)) for d, (s, i, _) in enumerate(results)]
 
 
-def _shards(hashes: list[np.ndarray], shard_words: int) -> Iterator[tuple[int, int]]:
-    first = total = 0
-    for k, h in enumerate(hashes):
-        if total and total + len(h) > shard_words:
-            yield first, k
-            first, total = k, 0
-        total += len(h)
-    if first < len(hashes):
-        yield first, len(hashes)
-
-
 def _step(names: dict[str, str], text: str, shared, fresh: bool, shard_words: int):
     """A pass over Arrow batches that adds what one block of the benchmark finds."""
 
@@ -241,7 +230,7 @@ def _step(names: dict[str, str], text: str, shared, fresh: bool, shard_words: in
             table = pa.Table.from_batches([batch])
             hashes = [word_hashes(terms(x)) for x in table.column(text).to_pylist()]
             out: list[tuple[list, set, tuple | None]] = []
-            for a, b in _shards(hashes, shard_words):
+            for a, b in chunks([len(h) for h in hashes], shard_words):
                 out += _search_shard(hashes[a:b], bench)
             if not fresh:
                 before = [table.column(names[k]).to_pylist() for k in ("hits", "items", "longest")]

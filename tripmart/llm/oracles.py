@@ -59,6 +59,28 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from figures
 """
 
+OP2 = rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_W}') as ws from documents),
+windows as (
+  select doc_id, i, array_to_string(ws[i : i + 12], ' ') as w
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) as i from d)
+),
+later as (
+  select doc_id, i from (select doc_id, i, min(doc_id) over (partition by w) as first from windows) where first < doc_id
+),
+covered as (select distinct doc_id, i + k as i from (select doc_id, i, unnest(range(0, 13)) as k from later)),
+words as (
+  select doc_id, i, ws[i] as word from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from d)
+),
+kept as (
+  select w.doc_id as doc_id, count(*) as n_kept, string_agg(word, ' ' order by w.i) as body
+  from words w left join covered c on w.doc_id = c.doc_id and w.i = c.i where c.i is null group by w.doc_id
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n_kept, 0) as bigint) as n_removed,
+  sha256(coalesce(body, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -91,6 +113,7 @@ from d left join hit using (doc_id) left join which using (doc_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": OP2,
     "op3_decontamination": OP3,
     "op10_quality_rules": OP10,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import binary_records, decontamination, packing, quality_rules
+from tripmart.llm import binary_records, decontamination, packing, quality_rules, substring_dedup
 from tripmart.llm.common import ship, table
 
 
@@ -15,6 +15,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op10_quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 13 words or more that smaller ids hold too, removed from all documents."""
+    ship(spark)
+    return substring_dedup.op2_substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verbatim passages of the benchmark in all documents."""
     ship(spark)
@@ -34,6 +40,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_binary_records": op4_binary_records,
     "op5_best_fit_packing": op5_best_fit_packing,
