@@ -112,8 +112,34 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bi
 from d left join hit using (doc_id) left join which using (doc_id)
 """
 
+OP9 = rf"""
+with recursive d as (select doc_id, regexp_extract_all({_FOLD}, '{_W}') as ws from documents),
+shingles as (
+  select distinct doc_id, array_to_string(ws[i : i + 3], ' ') as s
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) as i from d where len(ws) > 0)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+),
+links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * c >= 85 * (p.n + q.n - c)
+),
+sides as (select x, y from links union all select y, x from links),
+reach as (
+  select doc_id as x, doc_id as y from d
+  union
+  select r.x as x, b.y as y from reach r join sides b on r.y = b.x
+)
+select d.doc_id as doc_id, cast(coalesce(any_value(n), 0) as bigint) as n_shingles, min(reach.y) as component_id
+from d left join sizes on sizes.doc_id = d.doc_id join reach on reach.x = d.doc_id group by d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": OP2,
     "op3_decontamination": OP3,
+    "op9_ngram_join": OP9,
     "op10_quality_rules": OP10,
 }

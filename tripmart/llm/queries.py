@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import binary_records, decontamination, packing, quality_rules, substring_dedup
+from tripmart.llm import binary_records, decontamination, ngram_join, packing, quality_rules, substring_dedup
 from tripmart.llm.common import ship, table
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingles agree, over all documents."""
+    ship(spark)
+    return ngram_join.op9_ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over all documents."""
     return quality_rules.op10_quality_rules(table(spark, sf_dir, "documents"))
@@ -44,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_binary_records": op4_binary_records,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
 }
