@@ -112,6 +112,26 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bi
 from d left join hit using (doc_id) left join which using (doc_id)
 """
 
+OP8 = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+marked as (
+  select *, length(text) + len(regexp_extract_all(text,
+    '\[\\*/?INST\]|<\\*/?s>|<\\*</?SYS>>|<\\*/SYS>>|<\\*role=|<\\*/role>'))
+    + case role when 'user' then 13 when 'assistant' then 7 when 'system' then 15 end as chars
+  from turns
+)
+select cast(conv_id as bigint) as conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from marked group by conv_id
+"""
+
 OP9 = rf"""
 with recursive d as (select doc_id, regexp_extract_all({_FOLD}, '{_W}') as ws from documents),
 shingles as (
@@ -140,6 +160,7 @@ from d left join sizes on sizes.doc_id = d.doc_id join reach on reach.x = d.doc_
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": OP2,
     "op3_decontamination": OP3,
+    "op8_chat_tree": OP8,
     "op9_ngram_join": OP9,
     "op10_quality_rules": OP10,
 }

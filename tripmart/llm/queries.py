@@ -6,10 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import binary_records, decontamination, ngram_join, packing, quality_rules, substring_dedup
+from tripmart.llm import (
+    binary_records,
+    chat_tree,
+    decontamination,
+    ngram_join,
+    packing,
+    quality_rules,
+    substring_dedup,
+)
 from tripmart.llm.common import ship, table
 
 
+def op8_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as token trees, read back."""
+    ship(spark)
+    return chat_tree.op8_chat_tree(table(spark, sf_dir, "conversations"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingles agree, over all documents."""
     ship(spark)
@@ -50,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_binary_records": op4_binary_records,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_chat_tree": op8_chat_tree,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
 }
