@@ -12,12 +12,22 @@ from tripmart.llm import (
     decontamination,
     ngram_join,
     packing,
+    quality_classifier,
     quality_rules,
     substring_dedup,
+    toxicity,
 )
 from tripmart.llm.common import ship, table
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a quadratic discriminant."""
+    ship(spark)
+    return quality_classifier.op7_quality_classifier(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op8_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations as token trees, read back."""
     ship(spark)
@@ -35,6 +45,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op10_quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of the restored text of all documents."""
+    ship(spark)
+    return toxicity.op1_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that smaller ids hold too, removed from all documents."""
     ship(spark)
@@ -60,10 +76,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_binary_records": op4_binary_records,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_tree": op8_chat_tree,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
