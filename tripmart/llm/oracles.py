@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tripmart.llm.license_scan import TEMPLATES
 from tripmart.llm.quality_rules import BOILERPLATE
 
 _W = r"[^\x20\x09-\x0D]+"
 
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 OP10 = rf"""
 with docs as (
   select doc_id, coalesce(text, '') as body,
@@ -81,9 +85,6 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n_kep
 from d left join kept using (doc_id)
 """
 
-_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 OP3 = rf"""
 with d as (select doc_id, regexp_extract_all({_FOLD}, '{_TERM}') as ws from documents),
 b as (select cast(item_id as varchar) as item, regexp_extract_all({_FOLD}, '{_TERM}') as ws from benchmark),
@@ -112,6 +113,43 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bi
 from d left join hit using (doc_id) left join which using (doc_id)
 """
 
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+
+OP6 = rf"""
+with paragraphs as (
+  select doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\n[\x20\t\r]*\n')) as p from documents
+),
+lines as (select doc_id, unnest(string_split(p, chr(10))) as p from paragraphs),
+sentences as (select doc_id, unnest(regexp_split_to_array(p, '[.!?][\x20\t]+')) as p from lines),
+passages as (
+  select distinct doc_id, p as text from (select * from paragraphs union all select * from lines union all select * from sentences)
+),
+numbered as (select doc_id, row_number() over () as k, regexp_extract_all({_FOLD}, '{_TERM}') as ws from passages),
+mine as (
+  select distinct doc_id, k, ws[i] || ' ' || ws[i + 1] as b
+  from (select doc_id, k, ws, unnest(range(1, greatest(len(ws), 1))) as i from numbered)
+),
+templates as (select name, regexp_extract_all({_FOLD}, '{_TERM}') as ws from (values {_TEMPLATES}) as t(name, text)),
+theirs as (
+  select distinct name, ws[i] || ' ' || ws[i + 1] as b from (select name, ws, unnest(range(1, len(ws))) as i from templates)
+),
+sizes as (select doc_id, k, count(*) as n from mine group by doc_id, k),
+template_sizes as (select name, count(*) as n from theirs group by name),
+common as (select doc_id, k, name, count(*) as c from mine join theirs using (b) group by doc_id, k, name),
+dice as (
+  select c.doc_id as doc_id, c.name as name, max(2.0::double * c / (s.n + t.n)) as d
+  from common c join sizes s on s.k = c.k join template_sizes t on t.name = c.name group by c.doc_id, c.name
+),
+best as (
+  select doc_id, string_agg(name, ',' order by name) as licences, count(*) as n,
+    arg_min(name, (-d, name)) as best, max(d) as best_dice
+  from dice where d >= 0.8 group by doc_id
+)
+select d.doc_id as doc_id, coalesce(licences, '') as licences, cast(coalesce(n, 0) as bigint) as n_licences, best,
+  coalesce(best_dice, 0.0::double) as best_dice
+from documents d left join best on best.doc_id = d.doc_id
+"""
+
 OP8 = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -160,6 +198,7 @@ from d left join sizes on sizes.doc_id = d.doc_id join reach on reach.x = d.doc_
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": OP2,
     "op3_decontamination": OP3,
+    "op6_license_scan": OP6,
     "op8_chat_tree": OP8,
     "op9_ngram_join": OP9,
     "op10_quality_rules": OP10,

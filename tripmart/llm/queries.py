@@ -10,6 +10,7 @@ from tripmart.llm import (
     binary_records,
     chat_tree,
     decontamination,
+    license_scan,
     ngram_join,
     packing,
     quality_classifier,
@@ -20,6 +21,12 @@ from tripmart.llm import (
 from tripmart.llm.common import ship, table
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    ship(spark)
+    return license_scan.op6_license_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by a quadratic discriminant."""
     ship(spark)
@@ -81,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_binary_records": op4_binary_records,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_license_scan": op6_license_scan,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_tree": op8_chat_tree,
     "op9_ngram_join": op9_ngram_join,
