@@ -33,8 +33,13 @@ _MIX_2 = np.uint64(0x94D049BB133111EB)
 _SHIPPED: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the Python workers, once per application."""
+#: Rows go to Python in batches of at most so many bytes, however long the texts are.
+BATCH_BYTES = "16m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application, and bound their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

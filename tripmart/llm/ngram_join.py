@@ -1,6 +1,6 @@
 """N-gram Jaccard join by parity sketches.
 
-A document's set holds its distinct four-word shingles. Every shingle flips one bit of a sketch of
+A document's set holds its distinct shingles (of four words unless told otherwise). Every shingle flips one bit of a sketch of
 ``P`` parts, so two sketches differ in at most as many bits as the sets have shingles not in common,
 and a similarity of at least t bounds that number by d = (1 - t) / (1 + t) times the sum of the two
 sizes. Of P > d parts at least P - d then agree in full. Documents meet at equal parts:
@@ -16,8 +16,8 @@ Equal sets become one class first. At each part, all members are compared with t
 shingles are compared exactly. Where a part then still joins different components, the pairs between
 these are compared too. So no link is lost, while a group of near copies costs a star.
 
-Words are split at white space and A-Z is lower-cased. With one to three words the whole sequence is
-the only shingle. Null, empty and blank texts have an empty set and are linked with nothing. Rows
+Words are split at white space and A-Z is lower-cased. With fewer words than a shingle the whole
+sequence is the only one. Null, empty and blank texts have an empty set and are linked with nothing. Rows
 of the same id are one document: the links of any of them are its links. A null id is never linked
 and is its own component. An empty table gives an empty result. Other columns aren't read.
 """
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import folded_words, gram_hashes, mixed, signed, word_hashes
@@ -43,19 +43,19 @@ PART_BITS = 1 << 10
 SKETCH_BITS = 1024
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
+def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Distinct hashes of a text's shingles, in order."""
     words = word_hashes(folded_words(text))
-    if 0 < len(words) < SHINGLE:
+    if 0 < len(words) < size:
         return gram_hashes(words, len(words)) + np.uint64(len(words))
-    return np.unique(gram_hashes(words, SHINGLE))
+    return np.unique(gram_hashes(words, size))
 
 
-def shingle_set(text: str | None) -> set[bytes]:
+def shingle_set(text: str | None, size: int = SHINGLE) -> set[bytes]:
     words = folded_words(text)
-    if 0 < len(words) < SHINGLE:
+    if 0 < len(words) < size:
         return {b" ".join(words)}
-    return {b" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+    return {b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
 def most_apart(n: int, m: int, percent: int) -> int:
@@ -66,7 +66,7 @@ def most_apart(n: int, m: int, percent: int) -> int:
 def _parts_of(band: int, percent: int) -> int:
     """Parts of a band's sketches; the band holds sizes from 2**band to 2**(band + 1) - 1."""
     top = (2 << band) - 1
-    return max(most_apart(top, top * 100 // percent, percent) + 1, (9 << band) // 20)
+    return (most_apart(top, top * 100 // percent, percent) + 1) * 13 // 10
 
 
 def _band_keys(hashes: np.ndarray, band: int, apart: int, percent: int) -> np.ndarray:
@@ -111,25 +111,28 @@ def _class_of(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingle_hashes(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([len(h) for h in sets], type=pa.int64()),
-                pa.array([_class_of(h) for h in sets], type=pa.binary()),
-            ],
-            ["doc_id", "n", "class"],
-        )
+def _members(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(h) for h in sets], type=pa.int64()),
+                    pa.array([_class_of(h) for h in sets], type=pa.binary()),
+                ],
+                ["doc_id", "n", "class"],
+            )
+
+    return run
 
 
-def _keys(percent: int):
+def _keys(percent: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first: dict[bytes, tuple[int, np.ndarray]] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes = shingle_hashes(text)
+                hashes = shingle_hashes(text, size)
                 if len(hashes):
                     kind = _class_of(hashes)
                     if kind not in first:
@@ -149,30 +152,35 @@ def _keys(percent: int):
     return run
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(size: int):
     """Size and short sketch beside each text."""
-    for batch in batches:
-        sets = [shingle_hashes(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([len(h) for h in sets], type=pa.int64()),
-                pa.array([short_sketch(h).tolist() for h in sets], type=pa.list_(pa.int64())),
-                batch.column(1),
-            ],
-            ["id", "n", "sketch", "text"],
-        )
-
-
-def _linked(percent: int):
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t, size) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(h) for h in sets], type=pa.int64()),
+                    pa.array([short_sketch(h).tolist() for h in sets], type=pa.list_(pa.int64())),
+                    batch.column(1),
+                ],
+                ["id", "n", "sketch", "text"],
+            )
+
+    return run
+
+
+def _linked(percent: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_text, kept = None, set()
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if x != kept_text:
-                    kept_text, kept = x, shingle_set(x)
-                other = shingle_set(y)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                text = x.as_py()
+                if text != kept_text:
+                    kept_text, kept = text, shingle_set(text, size)
+                other = shingle_set(y.as_py(), size)
                 common = len(kept & other)
                 good.append(100 * common >= percent * (len(kept) + len(other) - common))
             mask = pa.array(good, type=pa.bool_())
@@ -183,7 +191,7 @@ def _linked(percent: int):
     return run
 
 
-def _verified(spark, pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """Of candidate pairs ``x < y``, those that are linked."""
     figures = texts.select("id", "n", "sketch")
     sides = [figures.select(*(F.col(c).alias(f"{c}_{s}") for c in figures.columns)) for s in "xy"]
@@ -204,25 +212,25 @@ def _verified(spark, pairs: DataFrame, texts: DataFrame, percent: int) -> DataFr
     near = written(spark, near, "near-pairs")
     with_x = near.join(texts.select(F.col("id").alias("x"), F.col("text").alias("text_x")), "x")
     with_xy = with_x.join(texts.select(F.col("id").alias("y"), F.col("text").alias("text_y")), "y")
-    return with_xy.select("x", "y", "text_x", "text_y").mapInArrow(_linked(percent), "x long, y long")
+    return with_xy.select("x", "y", "text_x", "text_y").mapInArrow(_linked(percent, size), "x long, y long")
 
 
 def _ordered(frame: DataFrame, a: str, b: str) -> DataFrame:
     return frame.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct()
 
 
-def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def joined(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``doc_id, text``."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = docs.where("doc_id is not null")
 
-    members = written(spark, docs.mapInArrow(_members, "doc_id long, n long, class binary"), "set-classes")
+    members = written(spark, docs.mapInArrow(_members(size), "doc_id long, n long, class binary"), "set-classes")
     worded = members.where("n > 0 and doc_id is not null")
     firsts = written(spark, worded.groupBy("class").agg(F.min("doc_id").alias("first")), "set-firsts")
     of_class = written(spark, worded.join(firsts, "class").select("doc_id", "first").distinct(), "set-members")
 
-    keys = named.mapInArrow(_keys(percent), "key long, id long")
+    keys = named.mapInArrow(_keys(percent, size), "key long, id long")
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     shared = written(spark, shared.select("key", "low"), "shared-parts")
     meetings = written(spark, keys.join(shared, "key").select("key", "id", "low"), "meetings")
@@ -230,7 +238,7 @@ def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     met = meetings.select("id").distinct().join(of_class, F.col("id") == F.col("doc_id"))
     met = written(spark, met.select(F.col("first").alias("doc_id")).distinct(), "met")
     texts = named.join(met, "doc_id", "left_semi").mapInArrow(
-        _texts, "id long, n long, sketch array<long>, text string"
+        _texts(size), "id long, n long, sketch array<long>, text string"
     )
     texts = written(spark, texts, "met-texts")
 
@@ -240,7 +248,7 @@ def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     stars = written(spark, meetings.where("id > low").select("id", "low").distinct(), "stars")
     stars = written(spark, _ordered(firsts_of(firsts_of(stars, "id"), "low"), "id_first", "low_first"), "stars")
-    links = written(spark, _verified(spark, stars, texts, percent), "links")
+    links = written(spark, _verified(spark, stars, texts, percent, size), "links")
 
     same = of_class.where("doc_id != first").select(F.col("first").alias("x"), F.col("doc_id").alias("y"))
     several = same.groupBy("y").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("y")
@@ -256,7 +264,7 @@ def joined(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     left, right = (open_.select("key", F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in "ab")
     across = left.join(right, "key").where("a_root < b_root").select("a", "b")
     across = written(spark, _ordered(across, "a", "b").join(stars, ["x", "y"], "left_anti"), "across")
-    more = written(spark, _verified(spark, across, texts, percent), "more-links")
+    more = written(spark, _verified(spark, across, texts, percent, size), "more-links")
 
     merged = roots.select(F.col("node").alias("x"), F.col("root").alias("y")).union(more)
     final = written(spark, components(spark, merged), "final-roots")
@@ -274,9 +282,9 @@ def op9_ngram_join(documents: DataFrame) -> DataFrame:
     return joined(documents)
 
 
-def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The rows of the smallest id of each component, as they came; null ids stay."""
-    kept = joined(documents, percent).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
+    kept = joined(documents, percent, size).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
     return documents.join(
         kept.withColumnRenamed("doc_id", "_kept_id"),
         F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")),

@@ -175,4 +175,7 @@ def op10_quality_rules(documents: DataFrame, rules: Rules = Rules()) -> DataFram
 def kept_documents(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of the documents that pass, with the columns they came with and their text as it was."""
     judged, names = judge(documents, rules=rules)
-    return judged.where(F.col(f"`{names['kept']}`")).select(*(F.col(f"`{c}`") for c in documents.columns))
+    # A filter moves below the columns it needs by repeating their expressions, nested ones many times over;
+    # it stays above an expression that depends on the partition.
+    kept = F.col(f"`{names['kept']}`") & (F.spark_partition_id() >= 0)
+    return judged.withColumn(names["kept"], kept).where(F.col(f"`{names['kept']}`")).select(*(F.col(f"`{c}`") for c in documents.columns))

@@ -18,18 +18,18 @@ from tripmart.llm import (
     substring_dedup,
     toxicity,
 )
-from tripmart.llm.common import ship, table
+from tripmart.llm.common import prepare, table
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
-    ship(spark)
+    prepare(spark)
     return license_scan.op6_license_scan(table(spark, sf_dir, "documents"))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by a quadratic discriminant."""
-    ship(spark)
+    prepare(spark)
     return quality_classifier.op7_quality_classifier(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
@@ -37,13 +37,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations as token trees, read back."""
-    ship(spark)
+    prepare(spark)
     return chat_tree.op8_chat_tree(table(spark, sf_dir, "conversations"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingles agree, over all documents."""
-    ship(spark)
+    prepare(spark)
     return ngram_join.op9_ngram_join(table(spark, sf_dir, "documents"))
 
 
@@ -54,31 +54,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of the restored text of all documents."""
-    ship(spark)
+    prepare(spark)
     return toxicity.op1_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that smaller ids hold too, removed from all documents."""
-    ship(spark)
+    prepare(spark)
     return substring_dedup.op2_substring_dedup(table(spark, sf_dir, "documents"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verbatim passages of the benchmark in all documents."""
-    ship(spark)
+    prepare(spark)
     return decontamination.op3_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as records of token ids, read back from the files."""
-    ship(spark)
+    prepare(spark)
     return binary_records.op4_binary_records(table(spark, sf_dir, "documents"))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into token sequences."""
-    ship(spark)
+    prepare(spark)
     return packing.op5_best_fit_packing(table(spark, sf_dir, "documents"))
 
 

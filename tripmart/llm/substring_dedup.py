@@ -5,8 +5,8 @@ smallest hash. Equal windows have equal anchors, so documents that share a passa
 more meet at its anchors, while only a fifth of all positions is an anchor. An anchor's *run* is
 the stretch of words of all windows that chose it, that is, the anchor extended both ways.
 
-1. Runs are grouped by anchor. A run that also lies in a document with a smaller id is repeated as
-   a whole. Runs that share their anchor with different runs may match in part.
+1. Runs are grouped by anchor and content. A run that also lies in a document with a smaller id is
+   repeated as a whole. Others that share their anchor with different runs may match in part.
 2. For these alone, the extension goes window by window: each 13-word window is looked up among the
    windows of the other runs at its anchor.
 3. Overlapping finds are merged into maximal repeats, and their words are removed.
@@ -171,15 +171,28 @@ def _extender(window: int):
     return run
 
 
+def _repeated(found: DataFrame, *dealt: str) -> DataFrame:
+    """Rows with ``repeated``: their content also lies in a smaller id."""
+    first = F.min("doc_id").over(Window.partitionBy("a", *dealt, "r"))
+    return found.withColumn("repeated", F.col("known") | (F.col("doc_id") > first))
+
+
 def _judged(found: DataFrame) -> DataFrame:
-    """Rows with ``repeated`` (also in a smaller id) and ``open`` (other content at the same anchor)."""
-    dealt = found.repartition("a")
-    by_content, by_anchor = Window.partitionBy("a", "r"), Window.partitionBy("a")
-    return dealt.select(
-        "*",
-        (F.col("known") | (F.col("doc_id") > F.min("doc_id").over(by_content))).alias("repeated"),
-        (F.min("r").over(by_anchor) != F.max("r").over(by_anchor)).alias("open"),
-    )
+    """Rows with ``repeated`` and ``open``: not repeated, but other runs have the same anchor.
+
+    Runs of one anchor are dealt by anchor and a salt of their content. Within a salt, two different
+    runs are open; one of them and whatever is alone in its salt go on to be grouped by the anchor, so a
+    phrase that very many runs share brings at most a row per salt there.
+    """
+    salts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = _repeated(found.withColumn("salt", F.pmod("r", F.lit(salts))).repartition("a", "salt"), "salt")
+    by_salt, by_key = Window.partitionBy("a", "salt"), Window.partitionBy("k")
+    low = F.min("r").over(by_salt)
+    some = salted.withColumns({"low": low, "open": low != F.max("r").over(by_salt)})
+    settled = F.col("repeated") | (F.col("open") & (F.col("r") != F.col("low")))
+    keyed = some.withColumn("k", F.when(settled, F.xxhash64("doc_id", "start", "r")).otherwise(F.col("a")))
+    keyed = keyed.drop("salt", "low", "known").repartition("k")
+    return keyed.withColumn("open", F.col("open") | (F.min("r").over(by_key) != F.max("r").over(by_key)))
 
 
 def _lists(rows: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -215,7 +228,7 @@ def with_repeats(
         F.col(f"`{text}`").alias("text"),
         F.col(name),
     )
-    windows = _judged(some.mapInArrow(_extender(window), _RUNS)).where("repeated")
+    windows = _repeated(some.mapInArrow(_extender(window), _RUNS)).where("repeated")
     stretches = found.where("repeated").select("doc_id", "v", "start", "stop").unionByName(
         windows.select("doc_id", "v", "start", "stop")
     )

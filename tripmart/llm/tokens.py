@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
 from array import array
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KEPT_PIECES = 800_000
-# Signs that form a pre-token of their own when they follow a letter or a digit.
-SIGNS = ".,!?;:*$%&#|"
+KEPT_PIECES = 250_000
+
+# Tasks are what runs side by side; more threads in each would only get in each other's way.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
 def _cuts_at_spaces(config: dict) -> bool:
@@ -50,29 +52,30 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             self.by_piece = _cuts_at_spaces(json.load(f))
-        self.heads: dict[str, bytes | bool] = {}
         self.pieces: dict[str, bytes | bool] = {}
-        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes | bool] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _learn(self, kept: dict, wanted: set[str], lead: str) -> None:
-        """Ids of new pieces; ``False`` for those that may depend on the white space before them."""
-        halves: dict[str, tuple[str, str]] = {}
+    def _learn(self, wanted: set[str]) -> None:
+        """Ids of new pieces; ``False`` for those that may depend on the white space before them.
+
+        Two generations are kept, so that pieces in use outlive those that aren't.
+        """
+        if len(self.pieces) + len(wanted) > KEPT_PIECES:
+            self.older, self.pieces = self.pieces, {}
+        new = []
         for p in wanted:
-            if not p:
-                kept[p] = False if lead else b""
-            elif p[0].isspace() or not p[0].isprintable():
-                kept[p] = False
+            ids = self.older.get(p)
+            if ids is not None:
+                self.pieces[p] = ids
+            elif not p or p[0].isspace() or not p[0].isprintable():
+                self.pieces[p] = False
             else:
-                core = p.rstrip(SIGNS)
-                cut = core and core != p and core[-1].isalnum() and core[-1] < "\u0100"
-                halves[p] = (lead + core, p[len(core) :]) if cut else (lead + p, "")
-        new = list({x for pair in halves.values() for x in pair if x not in self.parts})
-        self.parts.update(zip(new, self._whole(new), strict=True))
-        kept.update((p, self.parts[a] + self.parts[b]) for p, (a, b) in halves.items())
+                new.append(p)
+        self.pieces.update(zip(new, self._whole([" " + p for p in new]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is empty."""
@@ -85,21 +88,15 @@ class Encoder:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
-        if len(self.parts) > 2 * KEPT_PIECES:
-            self.parts.clear()
-        if len(self.heads) > KEPT_PIECES // 8:
-            self.heads.clear()
         cut = [t.split(" ") for t in texts]
-        found = [[self.heads.get(p[0]), *map(self.pieces.get, p[1:])] for p in cut]
+        heads = self._whole([p[0] for p in cut])
+        found = [[h, *map(self.pieces.get, p[1:])] for h, p in zip(heads, cut, strict=True)]
         gaps = [(x, p, [j for j, y in enumerate(x) if y is None]) for x, p in zip(found, cut, strict=True) if None in x]
         if gaps:
-            self._learn(self.heads, {p[0] for x, p, _ in gaps if x[0] is None}, "")
-            self._learn(self.pieces, {p[j] for _, p, places in gaps for j in places if j}, " ")
+            self._learn({p[j] for _, p, places in gaps for j in places})
             for x, p, places in gaps:
                 for j in places:
-                    x[j] = self.pieces[p[j]] if j else self.heads[p[0]]
+                    x[j] = self.pieces[p[j]]
         out = [None if False in x else b"".join(x) for x in found]
         whole = [i for i, x in enumerate(out) if x is None]
         for i, x in zip(whole, self._whole([texts[i] for i in whole]) if whole else [], strict=True):
