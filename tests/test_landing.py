@@ -96,3 +96,18 @@ def test_catalog_lists_a_layer_by_name(spark, flat, tmp_path):
     catalog.register_files(spark, "test_raw", paths)
     found = [tuple(r) for r in catalog.list_tables(spark, "test_raw").collect()]
     assert found == [("fhv_tripdata", 1), ("yellow_tripdata", 3)]
+
+
+def test_an_unreadable_source_ends_no_other_count(spark, tmp_path):
+    (tmp_path / "broken.parquet").write_bytes(b"no parquet at all")
+    good = spark.range(5)
+    bad = spark.read.schema("id long").parquet(f"{tmp_path}/broken.parquet")
+    found = {r.source_name: r for r in landing.source_report(spark, {"good": good, "bad": bad}).collect()}
+    assert (found["good"].row_count, found["good"].error) == (5, None)
+    assert found["bad"].row_count is None and found["bad"].error
+
+
+def test_an_empty_layer_lists_nothing(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS nothing_here LOCATION '{tmp_path}/db'")
+    found = catalog.list_tables(spark, "nothing_here")
+    assert found.columns == ["table_name", "row_count"] and found.collect() == []

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from tripmart.operators import upsert
 from tripmart.plans import bronze, gold, silver
 from tripmart.sources import landing
 from tripmart.streaming import counts, daily, ingest
+from verification import fixture
 
 COLUMNS = ("trip_date", "pickup_borough", "trip_type", "total_trips", "total_fare")
 
@@ -110,3 +114,20 @@ def test_days_close_after_the_lateness_bound(spark, tmp_path):
         (dt.date(2024, 1, 1), "a", 2),
         (dt.date(2024, 1, 2), "a", 1),
     ]
+
+
+def test_old_files_are_ingested(spark, tmp_path, sf_dir):
+    """A file that is dated long before the newest one still arrives."""
+    root, table, progress = (f"{tmp_path}/{n}" for n in ("landing", "table", "progress"))
+    records = fixture.tagged(spark, sf_dir).limit(60)
+    seen: set[str] = set()
+    counts_after = []
+    for age in (0, 30 * 86400):
+        fixture.land(records, root, mode="append")
+        files = set(glob.glob(f"{root}/**/*.parquet", recursive=True))
+        for path in files - seen:
+            os.utime(path, (time.time() - age, time.time() - age))
+        seen = files
+        ingest.ingest_new_files(ingest.landed_trips(spark, root), table, progress)
+        counts_after.append(spark.read.parquet(table).count())
+    assert counts_after[0] > 0 and counts_after[1] == 2 * counts_after[0]

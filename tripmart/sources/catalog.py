@@ -40,4 +40,5 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
         )
         for name in names
     )
-    return reduce(DataFrame.unionByName, counts).orderBy("table_name")
+    none = spark.createDataFrame([], "table_name string, row_count long")
+    return reduce(DataFrame.unionByName, counts, none).orderBy("table_name")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tripmart.config import EXPECTED_MONTHS, SERVICES
 from tripmart.schemas import RAW
 
+NO_AGE_LIMIT = "36500d"
+
 
 def service_glob(root: str, service: str) -> str:
     """Pattern for the files of one service, in either layout."""
@@ -40,8 +42,10 @@ def scan_service(spark: SparkSession, root: str, service: str) -> DataFrame | No
 def stream_service(
     spark: SparkSession, root: str, service: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Streaming scan; with a checkpoint every file is read exactly once."""
+    """Streaming scan; with a checkpoint every file is read exactly once, however old it is."""
     reader = spark.readStream.schema(RAW[service]).option("recursiveFileLookup", "true")
+    # By default a file a week older than the newest one seen is passed over.
+    reader = reader.option("maxFileAge", NO_AGE_LIMIT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(service_glob(root, service))
@@ -76,6 +80,17 @@ def source_counts(relations: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def source_report(spark: SparkSession, relations: dict[str, DataFrame]) -> DataFrame:
+    """Rows per raw relation; one that can't be read has its error instead and ends no other's count."""
+    rows = []
+    for name, frame in sorted(relations.items()):
+        try:
+            rows.append((name, frame.count(), None))
+        except Exception as error:  # whatever the storage or the file format raises
+            rows.append((name, None, str(error).splitlines()[0]))
+    return spark.createDataFrame(rows, "source_name string, row_count long, error string")
+
+
 def file_service(path: Column) -> Column:
     found = F.regexp_extract(path, f"({'|'.join(SERVICES)})_tripdata", 1)
     return F.nullif(found, F.lit(""))
