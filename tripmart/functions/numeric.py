@@ -1,30 +1,15 @@
-"""Numeric casts, trip measures and order-independent aggregates."""
+"""Numeric casts and trip measures."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sums are carried in millionths. Whole numbers add up exactly in a double up to 2**53,
-# so a sum does not change with the order in which partial results arrive or a lost task
-# is repeated; beyond that it degrades to ordinary double accuracy instead of overflowing.
-_STEPS = 1e6
-
-
 def rounded_int(value: Column) -> Column:
     """Cast to int, halves to the even neighbour."""
     return F.rint(value).cast("int")
 
 
-def steady_sum(value: Column) -> Column:
-    return F.sum(F.rint(value * F.lit(_STEPS))) / F.lit(_STEPS)
-
-
-def steady_avg(value: Column) -> Column:
-    """Mean of the non-null values, null when there is none."""
-    return steady_sum(value) / F.nullif(F.count(value), F.lit(0))
-
-
 def speed_mph(miles: Column, minutes: Column) -> Column:
     hours = minutes / F.lit(60.0)
     return F.when((miles > 0) & (minutes > 0), miles / hours)

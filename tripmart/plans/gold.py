@@ -16,7 +16,6 @@ from tripmart.config import (
     VENDORS,
     Rules,
 )
-from tripmart.functions.numeric import steady_avg, steady_sum
 from tripmart.functions.time import day_of
 from tripmart.schemas import DAILY_KEYS, ZONE_KEYS
 
@@ -41,7 +40,7 @@ def dim_zones(zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 def _total(column: str) -> Column:
     """Sum with nulls as zero, so a group without values sums to 0."""
-    return steady_sum(F.coalesce(F.col(column), F.lit(0.0)))
+    return F.sum(F.coalesce(F.col(column), F.lit(0.0)))
 
 
 def daily_trips(validated: DataFrame) -> DataFrame:
@@ -54,11 +53,11 @@ def daily_trips(validated: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("total_trips"),
             F.sum(F.coalesce("passenger_count", F.lit(0))).alias("total_passengers"),
             _total("trip_distance").alias("total_distance_miles"),
-            steady_avg(F.col("trip_distance")).alias("avg_distance_miles"),
+            F.avg(F.col("trip_distance")).alias("avg_distance_miles"),
             _total("fare_amount").alias("total_fare"),
-            steady_avg(F.col("fare_amount")).alias("avg_fare"),
+            F.avg(F.col("fare_amount")).alias("avg_fare"),
             _total("tip_amount").alias("total_tips"),
-            steady_avg(F.col("tip_percentage")).alias("avg_tip_percentage"),
+            F.avg(F.col("tip_percentage")).alias("avg_tip_percentage"),
             F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
             F.current_timestamp().alias("updated_at"),
         )
@@ -76,8 +75,8 @@ def pickup_metrics(validated: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("pickups"),
             _total("fare_amount").alias("total_fare_from_zone"),
-            steady_avg(F.col("fare_amount")).alias("avg_fare_from_zone"),
-            steady_avg(F.col("trip_distance")).alias("avg_distance_from_zone"),
+            F.avg(F.col("fare_amount")).alias("avg_fare_from_zone"),
+            F.avg(F.col("trip_distance")).alias("avg_distance_from_zone"),
             F.avg("trip_duration_minutes").alias("avg_duration_from_zone"),
         )
     )
@@ -137,9 +136,9 @@ def zone_metrics(validated: DataFrame) -> DataFrame:
     return visits.groupBy(*ZONE_KEYS).agg(
         F.count_if("starts").alias("pickups"),
         F.count_if(~F.col("starts")).alias("dropoffs"),
-        steady_sum(fare).alias("total_fare_from_zone"),
-        steady_avg(started("fare_amount")).alias("avg_fare_from_zone"),
-        steady_avg(started("trip_distance")).alias("avg_distance_from_zone"),
+        F.sum(fare).alias("total_fare_from_zone"),
+        F.avg(started("fare_amount")).alias("avg_fare_from_zone"),
+        F.avg(started("trip_distance")).alias("avg_distance_from_zone"),
         F.avg(started("trip_duration_minutes")).alias("avg_duration_from_zone"),
         F.current_timestamp().alias("updated_at"),
     )
@@ -182,12 +181,12 @@ def daily_trips_simple(enriched: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.sum("passenger_count").alias("total_passengers"),
-        steady_sum(F.col("trip_distance")).alias("total_distance_miles"),
-        steady_avg(F.col("trip_distance")).alias("avg_distance_miles"),
-        steady_sum(F.col("fare_amount")).alias("total_fares"),
-        steady_avg(F.col("fare_amount")).alias("avg_fare"),
-        steady_sum(F.col("tip_amount")).alias("total_tips"),
-        steady_avg(share).alias("avg_tip_percentage"),
+        F.sum(F.col("trip_distance")).alias("total_distance_miles"),
+        F.avg(F.col("trip_distance")).alias("avg_distance_miles"),
+        F.sum(F.col("fare_amount")).alias("total_fares"),
+        F.avg(F.col("fare_amount")).alias("avg_fare"),
+        F.sum(F.col("tip_amount")).alias("total_tips"),
+        F.avg(share).alias("avg_tip_percentage"),
         F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
     )
 

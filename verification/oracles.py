@@ -2,8 +2,8 @@
 
 Every statement is self-contained: the trip records are derived from ``lineitem`` and
 ``nation`` by the rules of ``verification/fixture.py`` and the models are stated again as
-common table expressions. Sums go through decimals, because the order in which doubles are
-added is not defined on either engine.
+common table expressions. Sums and averages of doubles are plain; only their comparison is in
+steps, because the order in which doubles are added is not defined on either engine.
 """
 
 from __future__ import annotations
@@ -212,15 +212,23 @@ _RULES = {
 _VALID = " and ".join(f"({rule})" for rule in _RULES.values())
 
 
+def _steps(value: str) -> str:
+    """The order of addition decides the last digits of a double: whole steps of 0.0001 are compared.
+
+    Steps end at 63 hundredths, where no short decimal fraction lies.
+    """
+    return f"floor(({value}) * 10000.0::double + 0.37::double) / 10000.0::double"
+
+
 def _sum(column: str) -> str:
-    return f"sum(({column})::decimal(18,6))::double"
+    return _steps(f"sum(({column})::double)")
 
 
 def _avg(column: str) -> str:
-    return f"{_sum(column)} / nullif(count({column}), 0)"
+    return _steps(f"avg(({column})::double)")
 
 
-_MINUTES = "sum(trip_duration_minutes)::double / count(trip_duration_minutes)"
+_MINUTES = _avg("trip_duration_minutes")
 
 
 def _daily(source: str) -> str:
@@ -314,6 +322,14 @@ ORACLES: dict[str, str] = {
            select service, strftime(coalesce(tpep_pickup_datetime, lpep_pickup_datetime,
                pickup_datetime, timestamp '2024-01-01'), '%Y-%m') from raw"""
     ),
+    "landing_summary": _plain(
+        """select count(distinct service || strftime(coalesce(tpep_pickup_datetime,
+               lpep_pickup_datetime, pickup_datetime, timestamp '2024-01-01'), '%Y-%m')) as files,
+               true as has_bytes from raw"""
+    ),
+    "surrogate_ids": _plain(
+        "select count(*) as rows_in, count(*) as distinct_ids from trips where trip_type = 'yellow'"
+    ),
     "catalog_listing": _plain(
         "select service || '_tripdata' as table_name, count(*) as row_count"
         " from raw group by service union all select 'nations', count(*) from nation"
@@ -360,7 +376,7 @@ ORACLES: dict[str, str] = {
     "zone_metrics_join": _facts("select * from zone_fact"),
     "daily_summary": _facts(
         "select trip_date, pickup_borough, trip_type, total_trips, avg_fare, avg_duration_minutes"
-        " from daily where trip_date >= date '2024-01-01' order by trip_date, total_trips desc"
+        " from daily where trip_date >= date '2024-02-15' order by trip_date, total_trips desc"
     ),
     "busiest_zones": _facts(
         """select zone_name, borough, sum(pickups)::bigint as total_pickups,
@@ -432,8 +448,7 @@ ORACLES["spec_daily"] = _from(
                {_avg('trip_distance')} as avg_distance_miles,
                {_sum('fare_amount')} as total_fares, {_avg('fare_amount')} as avg_fare,
                {_sum('tip_amount')} as total_tips,
-               {_sum('tip_amount / nullif(fare_amount, 0)')}
-                   / nullif(count(tip_amount / nullif(fare_amount, 0)), 0) as avg_tip_percentage,
+               {_avg('tip_amount / nullif(fare_amount, 0)')} as avg_tip_percentage,
                {_MINUTES} as avg_duration_minutes
         from simple group by all""",
 )
