@@ -59,10 +59,10 @@ def _keyed(spark):
     ).repartition(5)
 
 
-@pytest.mark.parametrize(("crowded", "most"), [(7, 9), (100, 9), (7, 0), (1_000_000, 9)])
-def test_crowded_groups_are_numbered_without_gaps(spark, crowded, most):
+@pytest.mark.parametrize("crowded", [1, 7, 100, 1_000_000])
+def test_crowded_groups_are_numbered_without_gaps(spark, crowded):
     keyed = _keyed(spark)
-    found = with_trip_id(keyed, crowded=crowded, most=most).collect()
+    found = with_trip_id(keyed, crowded=crowded).collect()
     expected = Counter((r.base_hash, r.tip_amount) for r in keyed.collect())
     assert Counter((r.trip_id.split("_")[0], r.tip_amount) for r in found) == expected
     for key, size in (("same", 300), ("mixed", 120)):
@@ -82,6 +82,18 @@ def test_numbers_of_rows_repeat_from_run_to_run(spark, crowded):
     assert numbered(3) == numbered(8)
 
 
+def test_ids_do_not_depend_on_the_size_of_a_second(spark):
+    """Whatever counts as crowded, and whatever else happens in the same second."""
+    keyed = _keyed(spark)
+    wanted = rows(with_trip_id(keyed), "trip_id", "tip_amount")
+    for crowded in (1, 7, 50):
+        assert rows(with_trip_id(keyed, crowded=crowded), "trip_id", "tip_amount") == wanted
+    more = [("yellow", NOON, f"other{i}", float(i)) for i in range(15)]
+    grown = keyed.union(spark.createDataFrame(more, keyed.schema))
+    found = with_trip_id(grown, crowded=10).where(~F.col("trip_id").startswith("other"))
+    assert rows(found, "trip_id", "tip_amount") == wanted
+
+
 def test_crowded_path_spreads_a_group(spark):
     """A key that holds most rows reaches the numbering step in several slices."""
     frame = with_trip_id(_keyed(spark), crowded=10)

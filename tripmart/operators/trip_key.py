@@ -10,10 +10,9 @@ from pyspark.sql.types import StructType
 
 from tripmart.functions.text import text_of
 
-# A pickup second with more trips than this is spread over several tasks.
+# A pickup second with more trips than this is spread over several tasks. The list of such seconds is
+# broadcast; it has at most one entry for so many trips, 16 MB for a million million of them.
 CROWDED_SECOND = 1_000_000
-# At most this many seconds, the most crowded first, are broadcast: about 30 MB.
-MOST_CROWDED = 1_000_000
 
 # Order of the copies of one key: the fields that are not part of it, and the two that the
 # key cannot tell from empty text when null. Only identical, interchangeable rows tie.
@@ -47,21 +46,17 @@ def content_key(schema: StructType, fields: Sequence[Sequence[str]]) -> Column:
 
 
 def with_trip_id(
-    frame: DataFrame,
-    key: str = "base_hash",
-    crowded: int = CROWDED_SECOND,
-    most: int = MOST_CROWDED,
+    frame: DataFrame, key: str = "base_hash", crowded: int = CROWDED_SECOND
 ) -> DataFrame:
     """Replace ``key`` by ``trip_id`` = key + ``_`` + running number among its copies.
 
     The pickup time is part of the key, so counting trips per pickup second (one narrow
     column, combined before the shuffle) bounds the size of every key group. Groups within
-    the bound are numbered by a plain window. The rest are collapsed to distinct rows with a
-    copy count, cut into slices by content, numbered per slice and expanded again, so that
-    no task ever holds a whole crowded group. Both branches are exact, whichever a group
-    takes: beyond ``most`` crowded seconds, which bounds the broadcast, the less crowded ones
-    stay with the window. When no second is crowded, AQE finds the broadcast empty and drops
-    the second branch before it runs.
+    the bound are numbered by a plain window. The rest are collapsed to rows that differ in the
+    order of copies, with a copy count, cut into consecutive slices of that order, numbered per
+    slice and expanded again, so that no task ever holds a whole crowded group. Both branches
+    number in the same order, so an id doesn't depend on the branch its trip takes. When no
+    second is crowded, AQE finds the broadcast empty and drops the second branch before it runs.
     """
     # The time comes first, because a sort compares its first column fastest.
     group = ["pickup_datetime", key, "trip_type"]
@@ -69,20 +64,16 @@ def with_trip_id(
         frame.groupBy("pickup_datetime")
         .agg(F.count(F.lit(1)).alias("_trips"))
         .where(F.col("_trips") > crowded)
-        .orderBy(F.desc("_trips"), "pickup_datetime")
-        .limit(most)
-        .select(
-            "pickup_datetime",
-            F.ceil(F.col("_trips") / F.lit(crowded)).cast("int").alias("_slices"),
-        )
+        .select("pickup_datetime")
     )
     busy = F.broadcast(busy)
 
-    order = [F.asc_nulls_first(c) for c in TIE_BREAKERS if c in frame.columns]
+    ties = [c for c in TIE_BREAKERS if c in frame.columns]
+    order = [F.asc_nulls_first(c) for c in ties]
     plain = frame.join(busy, "pickup_datetime", "left_anti").withColumn(
         "_copy", F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     )
-    spread = _number_crowded(frame.join(busy, "pickup_datetime"), group, order, crowded)
+    spread = _number_crowded(frame.join(busy, "pickup_datetime"), group, ties, crowded)
     numbered = plain.unionByName(spread)
 
     trip_id = F.concat(F.col(key), F.lit("_"), F.col("_copy").cast("string"))
@@ -91,17 +82,23 @@ def with_trip_id(
 
 
 def _number_crowded(
-    rows: DataFrame, group: list[str], order: list[Column], chunk: int
+    rows: DataFrame, group: list[str], ties: list[str], chunk: int
 ) -> DataFrame:
-    columns = [c for c in rows.columns if c != "_slices"]
-    # The load time differs from run to run and must not decide the slice.
-    described = [c for c in columns if c != "loaded_at"]
-    distinct = (
-        rows.groupBy(*columns, "_slices")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_slice", F.pmod(F.xxhash64(*described), F.col("_slices")))
-        .drop("_slices")
+    columns = rows.columns
+    order = [F.asc_nulls_first(c) for c in ties]
+    distinct = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # Some of the tie-breakers' values, chosen by their hash, cut the order of a group: about one for
+    # each chunk of different values. Equal values stay on the same side of every cut.
+    place = F.struct(*ties)
+    cuts = (
+        distinct.where(F.pmod(F.xxhash64(*ties, F.lit(1)), F.lit(chunk)) == 0)
+        .groupBy(*group)
+        .agg(F.sort_array(F.collect_set(place)).alias("_cuts"))
     )
+    distinct = distinct.join(cuts, group, "left").withColumn(
+        "_slice", F.coalesce(F.size(F.filter("_cuts", lambda c: c < place)), F.lit(0))
+    )
+    distinct = distinct.drop("_cuts")
     sizes = distinct.groupBy(*group, "_slice").agg(F.sum("_copies").alias("_size"))
     before_slice = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
