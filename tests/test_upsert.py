@@ -148,3 +148,12 @@ def test_run_that_dies_while_replacing_days_is_completed(spark, table, monkeypat
     monkeypatch.setattr(upsert, "_write_days", write_days)
     expected = {(day, "Manhattan"): 1 for day in (1, 2, 5, 10, 20)}
     assert _counts(_load(spark, table, *everything)) == expected
+
+
+def test_missing_staged_days_are_named(spark, tmp_path):
+    table = upsert.daily_table(f"{tmp_path}/daily")
+    upsert._note_pending(spark, table, f"{tmp_path}/gone")
+    with pytest.raises(upsert.StagedDaysMissing, match="gone"):
+        upsert.recover(spark, table)
+    upsert.recover(spark, table, drop_missing=True)
+    upsert.recover(spark, table)

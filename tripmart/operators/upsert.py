@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from tripmart import workspace
 from tripmart.config import DEFAULT_RULES, Rules
-from tripmart.functions.time import day_of, midnight
+from tripmart.functions.time import midnight
 from tripmart.schemas import CONTRACTS, DAILY_KEYS, ZONE_KEYS
 
 
@@ -83,14 +83,6 @@ def lookback_slice(trips: DataFrame, start: dt.date | None) -> DataFrame:
     return trips.where(recent)
 
 
-def lookback_slice_of(
-    trips: DataFrame, fact: DataFrame, day: str, rules: Rules = DEFAULT_RULES
-) -> DataFrame:
-    """The same cut as one lazy plan, with the mark as a scalar subquery."""
-    start = F.date_sub(high_water_mark(fact, day).scalar(), rules.lookback_days)
-    return trips.where(day_of(F.col("pickup_datetime")) >= start)
-
-
 def merge_rows(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Update or insert by key; keys that are only in ``old`` stay."""
     kept = old.join(new.select(*keys), list(keys), "left_anti")
@@ -121,13 +113,20 @@ def _publish(spark: SparkSession, table: FactTable, staged: str) -> None:
     _note_pending(spark, table, staged)
     _write_days(spark.read.schema(table.schema).parquet(staged), table)
     _note_pending(spark, table, None)
+    workspace.remove(spark, staged)
+
+
+class StagedDaysMissing(RuntimeError):
+    """A replacement of days was cut short and what it had staged is gone."""
 
 
-def recover(spark: SparkSession, table: FactTable) -> None:
+def recover(spark: SparkSession, table: FactTable, drop_missing: bool = False) -> None:
     """Finish the replacement of days that an earlier run started and did not complete.
 
     Days are replaced one after the other. Had a run died after the newest day, the next one
-    would start its lookback there and miss older days; the staged days supply them.
+    would start its lookback there and miss older days; the staged days supply them. If they
+    are gone, ``StagedDaysMissing`` names them; with ``drop_missing`` the note of them is
+    dropped instead, and a full load should follow.
     """
     try:
         note = spark.read.schema("staged string").parquet(f"{table.path}_pending").first()
@@ -135,8 +134,19 @@ def recover(spark: SparkSession, table: FactTable) -> None:
         if error.getCondition() == "PATH_NOT_FOUND":
             return
         raise
-    if note is not None and note["staged"] is not None:
-        _publish(spark, table, note["staged"])
+    staged = note and note["staged"]
+    if not staged:
+        return
+    try:
+        spark.read.schema(table.schema).parquet(staged)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if not drop_missing:
+            raise StagedDaysMissing(f"{staged}, noted beside {table.path}") from error
+        _note_pending(spark, table, None)
+        return
+    _publish(spark, table, staged)
 
 
 def upsert(spark: SparkSession, table: FactTable, new: DataFrame) -> None:
@@ -146,9 +156,12 @@ def upsert(spark: SparkSession, table: FactTable, new: DataFrame) -> None:
         replace_days(spark, table, new)
         return
     # The fresh rows are read twice: for their days and for the merge.
-    fresh = workspace.written(spark, new, "fresh")
+    path = workspace.fresh_path(spark, "fresh")
+    new.write.parquet(path)
+    fresh = spark.read.schema(new.schema).parquet(path)
     touched = old.join(fresh.select(table.day).distinct(), table.day, "left_semi")
     replace_days(spark, table, merge_rows(touched, fresh, table.keys))
+    workspace.remove(spark, path)
 
 
 def replace_days(spark: SparkSession, table: FactTable, rows: DataFrame) -> None:

@@ -32,6 +32,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tripmart/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared root that no table reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """Write a result that several steps read, and return the written table.
 
