@@ -143,9 +143,13 @@ def quality_report(
     kinds: tuple[str, ...] | None = None,
     rules: Rules = DEFAULT_RULES,
     without_ids: DataFrame | None = None,
+    validated: DataFrame | None = None,
 ) -> DataFrame:
     """Every check with its number of failures; ``kinds`` restricts the kinds of checks.
 
+    ``validated`` are the stored validated trips; their checks then read these rows. Without it
+    the model is derived from ``trips``, as the other models that aren't stored are.
+
     ``trips`` are the unioned trips with ids, ``zones`` the staged lookup. Where ids are not
     stored but computed, ``without_ids`` gives the same trips for the checks that do not look
     at them, so that the ids are computed for one pass only.
@@ -155,12 +159,16 @@ def quality_report(
         return [c for c in checks if kinds is None or c.kind in kinds]
 
     on_trips = chosen(trip_checks(rules) + documented_checks())
+    stored = {"int_trips_validated"} if validated is not None else set()
+    on_stored = [c for c in on_trips if c.model in stored]
+    on_trips = [c for c in on_trips if c.model not in stored]
     on_ids = [c for c in on_trips if c.columns == ("trip_id",)]
     on_rest = [c for c in on_trips if c.columns != ("trip_id",)]
     rest = trips if without_ids is None else without_ids
     relations = [
         (trip_stream(trips, zones), on_ids, trip_weights(rules)),
         (trip_stream(rest, zones), on_rest, trip_weights(rules)),
+        (validated, on_stored, None),
         (zones, chosen(zone_checks()), zone_weights(rules)),
         (daily, chosen(daily_checks()), None),
         (zone_fact, chosen(zone_fact_checks()), None),
