@@ -40,10 +40,11 @@ LOOK_ALIKES = {
 SYMBOLS = len(LETTERS) + 1
 _NUMBER = {c: i + 1 for i, c in enumerate(LETTERS)}
 _EDGE = ".,;:?!\"'()[]{}<>«»„“”‘’…*_-~#%&/\\^`="
-_PLAIN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]{2,})*")
+_PLAIN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]{2,})*|[^\W\d_]{2,}(?:['’-][^\W\d_]+)*")
 _THRICE = re.compile(r"(.)\1\1")
-_TAIL = re.compile(r"([^\w\s])\1+$")
-_HEAD = re.compile(r"^([^\w\s])\1+")
+# Signs in a row are decoration; two that may be letters can also be those.
+_TAIL = re.compile(r"(?:([^\w\s$@+€£])\1+|([$@+€£])\2{2,})$")
+_HEAD = re.compile(r"^(?:([^\w\s$@+€£])\1+|([$@+€£])\2{2,})")
 SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _RUN = re.compile(r"(.)\1*", re.S)
 

@@ -195,8 +195,8 @@ def _judged(found: DataFrame) -> DataFrame:
     return keyed.withColumn("open", F.col("open") | (F.min("r").over(by_key) != F.max("r").over(by_key)))
 
 
-def _lists(rows: DataFrame, name: str, *columns: str) -> DataFrame:
-    return rows.groupBy(F.col("doc_id").alias("_d"), F.col("v").alias("_v")).agg(
+def _lists(rows: DataFrame, keys: list[str], name: str, *columns: str) -> DataFrame:
+    return rows.groupBy(F.col("doc_id").alias(keys[0]), F.col("v").alias(keys[1])).agg(
         F.collect_list(F.struct(*columns)).alias(name)
     )
 
@@ -215,11 +215,12 @@ def with_repeats(
     found = written(spark, found.select("a", "doc_id", "v", "start", "stop", "repeated"), "repeat-runs")
 
     name = free_name(docs, "_stretches")
-    unsure = _lists(found.where("not repeated"), name, "a", "start", "stop")
+    keys = [free_name(docs, "_list_id"), free_name(docs, "_list_version")]
+    unsure = _lists(found.where("not repeated"), keys, name, "a", "start", "stop")
 
     def joined(lists: DataFrame) -> DataFrame:
         return docs.join(
-            lists, (F.col(f"`{doc_id}`").cast("long") == lists["_d"]) & (F.col(version) == lists["_v"]), "left"
+            lists, (F.col(f"`{doc_id}`").cast("long") == F.col(keys[0])) & (F.col(version) == F.col(keys[1])), "left"
         )
 
     some = joined(unsure).select(
@@ -232,7 +233,7 @@ def with_repeats(
     stretches = found.where("repeated").select("doc_id", "v", "start", "stop").unionByName(
         windows.select("doc_id", "v", "start", "stop")
     )
-    frame = joined(_lists(stretches, name, "start", "stop")).drop("_d", "_v", version)
+    frame = joined(_lists(stretches, keys, name, "start", "stop")).drop(*keys, version)
     return frame, name
 
 
