@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.builders import fhv, yellow
 from tests.conftest import rows
+from tripmart.plans import bronze
 from tripmart.sources import catalog, landing, lookup
 
 
@@ -111,3 +112,21 @@ def test_an_empty_layer_lists_nothing(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS nothing_here LOCATION '{tmp_path}/db'")
     found = catalog.list_tables(spark, "nothing_here")
     assert found.columns == ["table_name", "row_count"] and found.collect() == []
+
+
+@pytest.mark.parametrize("kind", ["bigint", "smallint", "double"])
+def test_widths_of_numbers_decide_neither_rows_nor_ids(spark, tmp_path, kind):
+    records = yellow(spark, {}, {"PULocationID": 7, "payment_type": 2})
+    wide = records.withColumns({c: F.col(c).cast(kind) for c in ("PULocationID", "payment_type", "VendorID", "RatecodeID")})
+    wanted = bronze.stage(records, "yellow")
+    for name, frame in (("mixed", records), ("one", None)):
+        root = f"{tmp_path}/{name}"
+        wide.write.parquet(f"{root}/service=yellow_tripdata/month=2024-01")
+        if frame is not None:
+            frame.write.parquet(f"{root}/service=yellow_tripdata/month=2024-02")
+        found = landing.scan_service(spark, root, "yellow")
+        assert found.schema == records.schema
+        staged = bronze.stage(found, "yellow", ids=False)
+        assert staged.count() == wanted.count() * (1 if frame is None else 2)
+        if frame is None:
+            assert rows(bronze.stage(found, "yellow"), "trip_id") == rows(wanted, "trip_id")

@@ -2,6 +2,10 @@
 
 Files of a service lie either next to each other as ``<service>_tripdata_<month>.parquet``
 or below ``service=<service>_tripdata/month=<month>/``; one glob matches both.
+
+Files may store numbers in any width. A batch scan reads each group of files by its own types and
+casts to the declared ones, so that everything above, the text of trip keys included, sees the
+declared types whatever a file holds. A stream takes files of the declared types.
 """
 
 from __future__ import annotations
@@ -9,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StructField, StructType
 
 from tripmart.config import EXPECTED_MONTHS, SERVICES
 from tripmart.schemas import RAW
@@ -28,15 +34,45 @@ def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def _cast_scan(spark: SparkSession, paths: list[str], declared: StructType, stored: StructType) -> DataFrame:
+    """Files that store numbers as ``stored`` says, as a relation of the declared types."""
+    kinds = {f.name: f.dataType for f in stored.fields if isinstance(f.dataType, NumericType)}
+    read = [
+        StructField(f.name, kinds.get(f.name, f.dataType) if isinstance(f.dataType, NumericType) else f.dataType)
+        for f in declared.fields
+    ]
+    frame = spark.read.schema(StructType(read)).option("recursiveFileLookup", "true").parquet(*paths)
+    casts = {
+        f.name: F.col(f.name).cast(f.dataType) for f, r in zip(declared.fields, read, strict=True) if f != r
+    }
+    return frame.withColumns(casts) if casts else frame
+
+
 def scan_service(spark: SparkSession, root: str, service: str) -> DataFrame | None:
-    """All landed files of one service as one relation; None when nothing landed."""
-    reader = spark.read.schema(RAW[service]).option("recursiveFileLookup", "true")
+    """All landed files of one service as one relation; None when nothing landed.
+
+    The types come from the files' footers, read in one job; where files differ, they are grouped.
+    """
+    declared, path = RAW[service], service_glob(root, service)
+    reader = spark.read.option("recursiveFileLookup", "true")
     try:
-        return reader.parquet(service_glob(root, service))
+        whole = reader.schema(declared).parquet(path)
     except AnalysisException as error:
         if _is_missing(error):
             return None
         raise
+    try:
+        stored = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path).schema
+        return _cast_scan(spark, [path], declared, stored)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            return whole  # reading it names the file that can't be read
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for file in sorted(whole.inputFiles()):
+        stored = spark.read.parquet(file).schema
+        groups.setdefault(stored.simpleString(), (stored, []))[1].append(file)
+    scans = (_cast_scan(spark, files, declared, stored) for stored, files in groups.values())
+    return reduce(DataFrame.unionByName, scans)
 
 
 def stream_service(

@@ -307,6 +307,12 @@ def _ids(select: str) -> str:
 ORACLES: dict[str, str] = {
     # Sources
     "scan_trips": _plain("select * exclude (dupe) from raw"),
+    "scan_widths": _plain(
+        """select "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
+               trip_distance, "PULocationID", "DOLocationID", "RatecodeID", store_and_fwd_flag,
+               payment_type, fare_amount, extra, mta_tax, improvement_surcharge, tip_amount,
+               tolls_amount, total_amount from raw where service = 'yellow'"""
+    ),
     "scan_zones": _plain("select * from raw_zones"),
     "seed_zones": _plain("select * from raw_zones"),
     "union_available": _plain("select * exclude (dupe) from trips where trip_type <> 'fhv'"),

@@ -84,6 +84,21 @@ def scan_trips(spark, sf_dir):
     return landing.tag_services(present)
 
 
+@query
+def scan_widths(spark, sf_dir):
+    """Files of one service that store numbers as declared, in the widest integers, and as doubles."""
+    root = workspace.fresh_path(spark, "landing-widths")
+    records = fixture.raw(spark, sf_dir, "yellow")
+    part = F.pmod(F.coalesce("VendorID", F.lit(0)), F.lit(3))
+    wide = {name: F.col(name).cast("bigint") for name, kind in records.dtypes if kind == "int"}
+    doubles = {name: F.col(name).cast("double") for name in wide}
+    whole = {"passenger_count": F.col("passenger_count").cast("bigint")}
+    for k, columns in enumerate(({}, wide | whole, doubles)):
+        stored = records.where(part == k).withColumns(columns) if columns else records.where(part == k)
+        stored.write.parquet(f"{root}/service=yellow_tripdata/month=2024-0{k + 1}")
+    return landing.scan_service(spark, root, "yellow")
+
+
 def _zones_csv(spark, sf_dir):
     path = workspace.fresh_path(spark, "zones-csv")
     fixture.raw_zones(spark, sf_dir).write.option("header", "true").csv(path)
