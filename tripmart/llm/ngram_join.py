@@ -7,14 +7,14 @@ sizes. Of P > d parts at least P - d then agree in full. Documents meet at equal
 
 * P is fixed per band of sizes (a band spans a factor of two); a document also takes part in the
   band below if partners may lie there.
-* Of a document's parts only the d + 1 best are used, ordered by the number of their bits and then
-  by a hash of their content. Equal parts rank alike in both documents, so whichever of the two
-  leaves out more, one of the agreeing parts is left.
+* Of a document's parts only the d + 1 best are used: those that aren't crowded (which all documents'
+  parts are counted for), of many bits, and then by a hash of their content. Equal parts rank alike
+  in both documents, so whichever of the two leaves out more, one of the agreeing parts is left.
 
 Equal sets become one class first. At each part, all members are compared with the first one
 (stars), candidates pass a test of sizes and of the Hamming distance of short sketches, and their
-shingles are compared exactly. Where a part then still joins different components, the pairs between
-these are compared too. So no link is lost, while a group of near copies costs a star.
+shingles are compared exactly. Where a part then still joins different components, members of
+these are tested in the join itself, and what passes is compared too. So no link is lost, while a group of near copies costs a star.
 
 Words are split at white space and A-Z is lower-cased. With fewer words than a shingle the whole
 sequence is the only one. Null, empty and blank texts have an empty set and are linked with nothing. Rows
@@ -29,10 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import folded_words, gram_hashes, mixed, signed, word_hashes
+from tripmart.llm.common import folded_words, free_name, gram_hashes, mixed, signed, word_hashes
 from tripmart.llm.components import components
 from tripmart.workspace import written
 
@@ -41,6 +41,8 @@ SHINGLE = 4
 PERCENT = 85
 PART_BITS = 1 << 10
 SKETCH_BITS = 1024
+CROWDED = 32
+MOST_CROWDED = 20_000
 
 
 def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -69,8 +71,8 @@ def _parts_of(band: int, percent: int) -> int:
     return (most_apart(top, top * 100 // percent, percent) + 1) * 13 // 10
 
 
-def _band_keys(hashes: np.ndarray, band: int, apart: int, percent: int) -> np.ndarray:
-    """Keys of the ``apart + 1`` best parts of a set's sketch in a band."""
+def _band_parts(hashes: np.ndarray, band: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Content hash and number of bits of every part of a set's sketch in a band."""
     many = _parts_of(band, percent)
     h = mixed(hashes ^ np.uint64(band + 1))
     part = ((h >> np.uint64(32)) * np.uint64(many)) >> np.uint64(32)
@@ -82,22 +84,31 @@ def _band_keys(hashes: np.ndarray, band: int, apart: int, percent: int) -> np.nd
     if len(cells):
         first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
         content[of[first]] = np.bitwise_xor.reduceat(mixed(cells + np.uint64(1)), first)
-    content = mixed(content ^ mixed(np.arange(many, dtype=np.uint64) + np.uint64(band << 40)))
-    if apart + 1 >= many:
+    return mixed(content ^ mixed(np.arange(many, dtype=np.uint64) + np.uint64(band << 40))), bits
+
+
+def _best(content: np.ndarray, bits: np.ndarray, apart: int, crowded: np.ndarray | None) -> np.ndarray:
+    """The ``apart + 1`` best parts: those few documents have, of many bits, then by content.
+
+    Without the table of crowded parts, all parts.
+    """
+    if crowded is None or apart + 1 >= len(content):
         return content
-    return content[np.lexsort((content, bits))[many - apart - 1 :]]
+    at = np.minimum(np.searchsorted(crowded, content), max(len(crowded) - 1, 0))
+    rare = crowded[at] != content if len(crowded) else np.ones(len(content), dtype=bool)
+    return content[np.lexsort((content, bits, rare))[len(content) - apart - 1 :]]
 
 
-def sketch_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def sketch_keys(hashes: np.ndarray, percent: int = PERCENT, crowded: np.ndarray | None = None) -> np.ndarray:
     """All keys at which a set with partners of any size must meet them."""
     n = len(hashes)
     if not n:
         return np.zeros(0, dtype=np.uint64)
     band = n.bit_length() - 1
-    keys = [_band_keys(hashes, band, most_apart(n, n * 100 // percent, percent), percent)]
+    keys = [_best(*_band_parts(hashes, band, percent), most_apart(n, n * 100 // percent, percent), crowded)]
     below = (1 << band) - 1
     if below and 100 * below >= percent * n:
-        keys.append(_band_keys(hashes, band - 1, most_apart(n, below, percent), percent))
+        keys.append(_best(*_band_parts(hashes, band - 1, percent), most_apart(n, below, percent), crowded))
     return np.concatenate(keys)
 
 
@@ -127,8 +138,9 @@ def _members(size: int):
     return run
 
 
-def _keys(percent: int, size: int):
+def _keys(percent: int, size: int, shared=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded = None if shared is None else shared.value
         for batch in batches:
             first: dict[bytes, tuple[int, np.ndarray]] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -136,7 +148,7 @@ def _keys(percent: int, size: int):
                 if len(hashes):
                     kind = _class_of(hashes)
                     if kind not in first:
-                        first[kind] = (doc_id, sketch_keys(hashes, percent))
+                        first[kind] = (doc_id, sketch_keys(hashes, percent, crowded))
                     elif doc_id < first[kind][0]:
                         first[kind] = (doc_id, first[kind][1])
             ids = np.array([x[0] for x in first.values()], dtype=np.int64)
@@ -191,25 +203,25 @@ def _linked(percent: int, size: int):
     return run
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
-    """Of candidate pairs ``x < y``, those that are linked."""
-    figures = texts.select("id", "n", "sketch")
-    sides = [figures.select(*(F.col(c).alias(f"{c}_{s}") for c in figures.columns)) for s in "xy"]
-    distance = F.aggregate(
-        F.zip_with("sketch_x", "sketch_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Whether the sizes and the Hamming distance of the short sketches allow a link."""
+    n_x, n_y = F.col(f"{x}_n"), F.col(f"{y}_n")
+    words = SKETCH_BITS // 64
+    distance = sum(
+        (F.bit_count(F.get(f"{x}_sketch", F.lit(i)).bitwiseXOR(F.get(f"{y}_sketch", F.lit(i)))) for i in range(words)),
         F.lit(0),
-        lambda s, d: s + d,
     )
-    apart = F.lit(100 - percent) * (F.col("n_x") + F.col("n_y"))
-    near = (
-        pairs.join(sides[0], F.col("x") == F.col("id_x"))
-        .join(sides[1], F.col("y") == F.col("id_y"))
-        .where(F.lit(100) * F.least("n_x", "n_y") >= F.lit(percent) * F.greatest("n_x", "n_y"))
-        .where(F.lit(100 + percent) * distance <= apart)
-        .select("x", "y")
-        .distinct()
-    )
-    near = written(spark, near, "near-pairs")
+    sizes = F.lit(100) * F.least(n_x, n_y) >= F.lit(percent) * F.greatest(n_x, n_y)
+    return sizes & (F.lit(100 + percent) * distance <= F.lit(100 - percent) * (n_x + n_y))
+
+
+def _figures(texts: DataFrame, name: str) -> DataFrame:
+    return texts.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+
+
+def _verified(spark: SparkSession, near: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """Of candidate pairs ``x < y``, those that are linked."""
+    near = written(spark, near.distinct(), "near-pairs")
     with_x = near.join(texts.select(F.col("id").alias("x"), F.col("text").alias("text_x")), "x")
     with_xy = with_x.join(texts.select(F.col("id").alias("y"), F.col("text").alias("text_y")), "y")
     return with_xy.select("x", "y", "text_x", "text_y").mapInArrow(_linked(percent, size), "x long, y long")
@@ -219,6 +231,14 @@ def _ordered(frame: DataFrame, a: str, b: str) -> DataFrame:
     return frame.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct()
 
 
+def _crowded(shared: DataFrame) -> np.ndarray:
+    """Parts that very many documents have: at least ``CROWDED`` and so many that at most ``MOST_CROWDED``
+    parts can be. Documents use them last, if at all; they cost candidates, never links."""
+    total = shared.agg(F.sum("many")).first()[0] or 0
+    rows = shared.where(F.col("many") > max(CROWDED, total // MOST_CROWDED)).select("key").collect()
+    return np.sort(np.array([r["key"] for r in rows], dtype=np.int64).view(np.uint64))
+
+
 def joined(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``doc_id, text``."""
     spark = documents.sparkSession
@@ -230,12 +250,17 @@ def joined(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     firsts = written(spark, worded.groupBy("class").agg(F.min("doc_id").alias("first")), "set-firsts")
     of_class = written(spark, worded.join(firsts, "class").select("doc_id", "first").distinct(), "set-members")
 
-    keys = named.mapInArrow(_keys(percent, size), "key long, id long")
-    shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    shared = written(spark, shared.select("key", "low"), "shared-parts")
-    meetings = written(spark, keys.join(shared, "key").select("key", "id", "low"), "meetings")
+    parts = named.mapInArrow(_keys(percent, size), "key long, id long")
+    shared = parts.groupBy("key").agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("many")
+    )
+    shared = written(spark, shared.where("low < high").select("key", "low", "many"), "shared-parts")
+    crowded = spark.sparkContext.broadcast(_crowded(shared))
+    best = named.mapInArrow(_keys(percent, size, crowded), "key long, id long")
+    meetings = written(spark, best.join(shared, "key").select("key", "id", "low"), "meetings")
 
-    met = meetings.select("id").distinct().join(of_class, F.col("id") == F.col("doc_id"))
+    met = meetings.select("id").union(meetings.select("low")).distinct()
+    met = met.join(of_class, F.col("id") == F.col("doc_id"))
     met = written(spark, met.select(F.col("first").alias("doc_id")).distinct(), "met")
     texts = named.join(met, "doc_id", "left_semi").mapInArrow(
         _texts(size), "id long, n long, sketch array<long>, text string"
@@ -248,7 +273,8 @@ def joined(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
 
     stars = written(spark, meetings.where("id > low").select("id", "low").distinct(), "stars")
     stars = written(spark, _ordered(firsts_of(firsts_of(stars, "id"), "low"), "id_first", "low_first"), "stars")
-    links = written(spark, _verified(spark, stars, texts, percent, size), "links")
+    near = stars.join(_figures(texts, "x"), "x").join(_figures(texts, "y"), "y").where(_may_link("x", "y", percent))
+    links = written(spark, _verified(spark, near.select("x", "y"), texts, percent, size), "links")
 
     same = of_class.where("doc_id != first").select(F.col("first").alias("x"), F.col("doc_id").alias("y"))
     several = same.groupBy("y").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("y")
@@ -260,10 +286,20 @@ def joined(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     placed = written(spark, placed, "placed")
     split = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     split = written(spark, split, "split-parts")
-    open_ = written(spark, placed.join(split, "key"), "open-parts")
-    left, right = (open_.select("key", F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in "ab")
-    across = left.join(right, "key").where("a_root < b_root").select("a", "b")
-    across = written(spark, _ordered(across, "a", "b").join(stars, ["x", "y"], "left_anti"), "across")
+    open_ = placed.join(split, "key").join(_figures(texts, "node"), "node")
+    open_ = written(spark, open_, "open-parts")
+    left, right = (
+        open_.select(
+            "key",
+            F.col("node").alias(c),
+            F.col("root").alias(f"{c}_root"),
+            F.col("node_n").alias(f"{c}_n"),
+            F.col("node_sketch").alias(f"{c}_sketch"),
+        )
+        for c in "ab"
+    )
+    across = left.join(right, (left["key"] == right["key"]) & (F.col("a_root") < F.col("b_root")) & _may_link("a", "b", percent))
+    across = _ordered(across, "a", "b").join(stars, ["x", "y"], "left_anti")
     more = written(spark, _verified(spark, across, texts, percent, size), "more-links")
 
     merged = roots.select(F.col("node").alias("x"), F.col("root").alias("y")).union(more)
@@ -284,9 +320,7 @@ def op9_ngram_join(documents: DataFrame) -> DataFrame:
 
 def one_of_each(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The rows of the smallest id of each component, as they came; null ids stay."""
-    kept = joined(documents, percent, size).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return documents.join(
-        kept.withColumnRenamed("doc_id", "_kept_id"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")),
-        "left_semi",
-    )
+    name = free_name(documents, "_kept_id")
+    kept = joined(documents, percent, size).where("doc_id is null or doc_id = component_id")
+    kept = kept.select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
