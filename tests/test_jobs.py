@@ -25,6 +25,10 @@ def same_facts(found, wanted):
     )
 
 
+def csv_of(deployment):
+    return deployment[1]
+
+
 @pytest.fixture(scope="module")
 def deployment(spark, sf_dir):
     root = workspace.fresh_path(spark, "test-landing")
@@ -78,6 +82,10 @@ def test_published_tables_answer_sql(spark, deployment):
            group by z.zone_name, z.borough order by total_pickups desc limit 10"""
     )
     assert busiest.count() == 10
+    staged = jobs.read_bronze(spark, lake, ["yellow", "green", "fhv"]).drop("pickup_date")
+    union = spark.table("intermediate.int_trips_unioned")
+    assert union.columns == staged.columns and rows(union, "trip_id", "fare_amount") == rows(staged, "trip_id", "fare_amount")
+    assert spark.table("raw.taxi_zones").count() == spark.read.option("header", "true").csv(csv_of(deployment)).count()
     raw = spark.table("raw.yellow_tripdata").count()
     assert raw == landing.scan_service(spark, root, "yellow").count()
 
@@ -132,3 +140,24 @@ def test_quality_reads_the_stored_silver_and_stops(spark, tmp_path, sf_dir):
     assert {("int_trips_validated", "trip_id"), ("int_trips_validated", "trip_duration_minutes")} <= failed
     with pytest.raises(jobs.QualityError):
         jobs.require_quality(found)
+
+
+def test_a_second_run_rebuilds_the_lookback_only(spark, tmp_path, sf_dir):
+    zones, lake = f"{tmp_path}/zones", jobs.Lake(f"{tmp_path}/lake")
+    fixture.raw_zones(spark, sf_dir).write.option("header", "true").csv(zones)
+    root = fixture.landed(spark, sf_dir)
+    jobs.run_all(spark, root, zones, lake.root)
+    path = lake.table("intermediate", "int_trips_validated")
+    trips = spark.read.parquet(path)
+    last = trips.agg(F.max("pickup_date")).first()[0]
+    early, late = dt.date(2024, 1, 10), last - dt.timedelta(days=1)
+    for day in (early, late):
+        workspace.remove(spark, f"{path}/pickup_date={day}")
+
+    def days():
+        return {r[0] for r in spark.read.parquet(path).select("pickup_date").distinct().collect()}
+
+    jobs.run_all(spark, root, zones, lake.root)
+    assert late in days() and early not in days()
+    jobs.run_all(spark, root, zones, lake.root, full=True)
+    assert early in days()

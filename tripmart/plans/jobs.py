@@ -14,9 +14,13 @@ from tripmart.operators.upsert import (
     daily_table,
     load_increment,
     lookback_slice,
+    lookback_start,
+    read_fact,
+    recover,
     zone_table,
 )
 from tripmart.plans import bronze, gold, silver, suite
+from tripmart.schemas import CONTRACTS
 from tripmart.sources import catalog, landing, lookup
 
 
@@ -34,15 +38,16 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
 
-def _write_by_day(trips: DataFrame, path: str, since: dt.date | None) -> None:
+def _write_by_day(trips: DataFrame, path: str, since: dt.date | None, dealt: bool = False) -> None:
     """Write trips partitioned by pickup day; with ``since`` earlier days are kept.
 
     Rebalancing by day keeps one task from writing a sliver of every day, and AQE splits a
-    day that holds far more rows than the others.
+    day that holds far more rows than the others. Trips that are read from files by day are
+    ``dealt`` already: each task then writes the days of the files it reads.
     """
+    by_day = trips.withColumn("pickup_date", day_of(F.col("pickup_datetime")))
     (
-        trips.withColumn("pickup_date", day_of(F.col("pickup_datetime")))
-        .hint("rebalance", "pickup_date")
+        (by_day if dealt else by_day.hint("rebalance", "pickup_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if since else "static")
         .partitionBy("pickup_date")
@@ -84,7 +89,7 @@ def build_silver(
     zones = spark.read.parquet(lake.table("staging", "stg_taxi_zones"))
     trips = lookback_slice(read_bronze(spark, lake, services), since).drop("pickup_date")
     valid = silver.validate(silver.enrich(trips, zones), rules)
-    _write_by_day(valid, lake.table("intermediate", "int_trips_validated"), since)
+    _write_by_day(valid, lake.table("intermediate", "int_trips_validated"), since, dealt=True)
 
 
 def build_gold(
@@ -133,7 +138,8 @@ def publish(spark: SparkSession, landing_root: str, lake: Lake, prefix: str = ""
     """Expose sources and tables by layer, so that SQL can name them: ``marts.dim_zones``.
 
     Without a prefix the namespaces are called ``raw``, ``staging``, ``intermediate``,
-    ``marts`` and ``seeds``. Union and enrichment stay views over the staged tables.
+    ``marts`` and ``seeds``. The raw zones are a view of the seed, and the union one of the staged
+    tables; enrichment stays a session view (``register_views``).
     """
     catalog.create_namespaces(spark, lake.root, prefix)
     services = list(landing.available_services(spark, landing_root))
@@ -148,6 +154,22 @@ def publish(spark: SparkSession, landing_root: str, lake: Lake, prefix: str = ""
     for layer, names in tables.items():
         paths = {name: lake.table(layer, name) for name in names}
         catalog.register_files(spark, catalog.namespace(layer, prefix), paths)
+    raw, seeds = catalog.namespace("raw", prefix), catalog.namespace("seeds", prefix)
+    spark.sql(f"CREATE OR REPLACE VIEW {raw}.taxi_zones AS SELECT * FROM {seeds}.taxi_zones")
+    staging = catalog.namespace("staging", prefix)
+    parts = [_common_columns(spark, f"{staging}.stg_{s}_trips") for s in services]
+    view = f"{catalog.namespace('intermediate', prefix)}.int_trips_unioned"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {' UNION ALL '.join(parts)}")
+
+
+def _common_columns(spark: SparkSession, table: str) -> str:
+    """A staged service with the columns of the union; what it lacks is null."""
+    there = set(spark.table(table).columns)
+    columns = (
+        f.name if f.name in there else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in CONTRACTS["int_trips_unioned"].fields
+    )
+    return f"SELECT {', '.join(columns)} FROM {table}"
 
 
 def register_views(
@@ -171,6 +193,20 @@ def register_views(
         frame.createOrReplaceTempView(name)
 
 
+def _lookback(
+    spark: SparkSession, lake: Lake, rules: Rules, max_event_date: dt.date | None
+) -> dt.date | None:
+    """First day that a run recomputes in either fact; None if one has to be loaded in full."""
+    facts = (
+        daily_table(lake.table("marts", "fct_daily_trips")),
+        zone_table(lake.table("marts", "fct_zone_metrics")),
+    )
+    for table in facts:
+        recover(spark, table)
+    starts = [lookback_start(read_fact(spark, t), t.day, rules, max_event_date) for t in facts]
+    return None if None in starts else min(starts)
+
+
 def run_all(
     spark: SparkSession,
     landing_root: str,
@@ -180,18 +216,21 @@ def run_all(
     since: dt.date | None = None,
     max_event_date: dt.date | None = None,
     stop: bool = True,
+    full: bool = False,
 ) -> DataFrame:
     """Build every layer from the landing and return the quality report.
 
     The report is written first; with ``stop`` a failed check, other than the known ones, raises.
 
-    A later run upserts the days within the lookback into the facts. With ``since`` it also
-    rebuilds bronze and silver for the days from then on only: the bound reaches the scans of
-    the landed files, and trip ids number the copies within one pickup second, so whole days
-    can be replaced on their own.
+    A later run upserts the days within the lookback into the facts, and rebuilds bronze and
+    silver for the days from ``since`` on only, by default those of the lookback: the bound
+    reaches the scans of the landed files, and trip ids number the copies within one pickup
+    second, so whole days can be replaced on their own. ``full`` rebuilds all days.
     """
     lake = Lake(lake_root.rstrip("/"))
     services = list(landing.available_services(spark, landing_root))
+    if since is None and not full:
+        since = _lookback(spark, lake, rules, max_event_date)
     build_bronze(spark, landing_root, zones_csv, lake, since)
     build_silver(spark, lake, services, rules, since)
     build_gold(spark, lake, rules, max_event_date)
