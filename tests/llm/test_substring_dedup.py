@@ -78,3 +78,13 @@ def test_maximal_stretches():
     spans = [{"start": 5, "stop": 18}, {"start": 0, "stop": 3}, {"start": 17, "stop": 30}, {"start": 30, "stop": 43}]
     assert m.maximal(spans) == [(0, 3), (5, 43)]
     assert m.maximal(None) == []
+
+
+def test_crowded_anchors_change_nothing(frame, monkeypatch):
+    """Every anchor that a batch has twice, dealt by content."""
+    monkeypatch.setattr(m, "SEVERAL", 1)
+    monkeypatch.setattr(m, "CROWDED", 0)
+    for vocabulary in (4, 60):
+        rows = corpus(7, 50, vocabulary)
+        found = {r["doc_id"]: tuple(r)[1:] for r in m.op2_substring_dedup(frame(rows, 4)).collect()}
+        assert found == brute(rows)

@@ -13,7 +13,9 @@ the stretch of words of all windows that chose it, that is, the anchor extended
 
 Each task reduces equal runs of its batches to those of the smallest id before the shuffle (the
 others are repeated, whatever the rest of the corpus holds), so a passage that a third of all
-documents share contributes a row per batch, not per document. No pairs of documents are formed.
+documents share contributes a row per batch, not per document. A shorter phrase that very many
+documents share has as many different runs; such anchors are counted first, and their runs are dealt
+by content. No pairs of documents are formed.
 Anchors and runs, or anchors and windows, are compared by two independent 64-bit hashes.
 
 A null text has no words and a null id neither removes nor loses anything. Rows of the same id are
@@ -40,9 +42,11 @@ from tripmart.workspace import written
 WINDOW = 13
 GRAM = 5
 CHUNK_WORDS = 1 << 20
+#: Different runs of an anchor: in a batch to be counted, in all to be crowded; the most crowded anchors.
+SEVERAL, CROWDED, MOST_CROWDED = 8, 128, 20_000
 
 _FACTOR = 0xD6E8FEB86659FD93
-_RUNS = "a long, r long, doc_id long, v int, start int, stop int, known boolean"
+_RUNS = "a long, r long, doc_id long, v int, start int, stop int, known boolean, crowded boolean"
 _FAR = np.int64(1) << np.int64(40)
 
 
@@ -106,7 +110,7 @@ def _merge(rows: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.
     return rows[new], starts[new], reach[last] - rows[last] * _FAR
 
 
-def _output(a, r, ids, versions, rows, starts, stops) -> pa.RecordBatch:
+def _output(a, r, ids, versions, rows, starts, stops, crowded=None) -> pa.RecordBatch:
     """Rows of the smallest id by anchor and content, and what the others hold as merged, known repeats."""
     mine = ids[rows]
     least = _least((a, r), mine)
@@ -115,6 +119,10 @@ def _output(a, r, ids, versions, rows, starts, stops) -> pa.RecordBatch:
     rows, starts, stops = (np.concatenate(x) for x in ((rows[least], k_rows), (starts[least], k_starts), (stops[least], k_stops)))
     known = np.zeros(len(rows), dtype=bool)
     known[int(least.sum()) :] = True
+    busy = np.zeros(len(rows), dtype=bool)
+    if crowded is not None and len(crowded):
+        at = np.minimum(np.searchsorted(crowded, a[least]), len(crowded) - 1)
+        busy[: len(at)] = crowded[at] == a[least]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(signed(np.concatenate([a[least], k_hash]))),
@@ -124,24 +132,55 @@ def _output(a, r, ids, versions, rows, starts, stops) -> pa.RecordBatch:
             pa.array(starts.astype(np.int32)),
             pa.array(stops.astype(np.int32)),
             pa.array(known),
+            pa.array(busy),
         ],
-        ["a", "r", "doc_id", "v", "start", "stop", "known"],
+        ["a", "r", "doc_id", "v", "start", "stop", "known", "crowded"],
     )
 
 
-def _seeder(window: int, gram: int):
+def _batch_runs(batch: pa.RecordBatch, window: int, gram: int) -> tuple[np.ndarray, ...] | None:
+    """Anchor, run, row, start and stop of every run in a batch of ids, versions and texts."""
+    texts = batch.column(2).to_pylist()
+    parts = []
+    for x, y in chunks([len(t or "") // 4 for t in texts], CHUNK_WORDS):
+        a, r, rows, starts, stops = runs(*_joined(texts[x:y]), window, gram)
+        parts.append((a, r, rows + x, starts, stops))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
+
+
+def _crowder(window: int, gram: int):
+    """Anchors that have several different runs within a batch, and how many."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            versions = batch.column(1).to_numpy()
-            texts = batch.column(2).to_pylist()
-            parts = []
-            for x, y in chunks([len(t or "") // 4 for t in texts], CHUNK_WORDS):
-                a, r, rows, starts, stops = runs(*_joined(texts[x:y]), window, gram)
-                parts.append((a, r, rows + x, starts, stops))
-            if parts:
-                a, r, rows, starts, stops = (np.concatenate(c) for c in zip(*parts, strict=True))
-                yield _output(a, r, ids, versions, rows, starts, stops)
+            found = _batch_runs(batch, window, gram)
+            if found is not None:
+                pairs = np.unique(np.stack(found[:2]), axis=1)[0]
+                anchors, many = np.unique(pairs, return_counts=True)
+                some = many >= SEVERAL
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(anchors[some])), pa.array(many[some])], ["a", "many"]
+                )
+
+    return run
+
+
+def _crowded(chosen: DataFrame, window: int, gram: int) -> np.ndarray:
+    """Anchors with very many runs; at most ``MOST_CROWDED``. They decide how rows are dealt, nothing else."""
+    tally = chosen.mapInArrow(_crowder(window, gram), "a long, many long")
+    tally = written(chosen.sparkSession, tally.groupBy("a").agg(F.sum("many").alias("many")), "anchor-tally")
+    total = tally.agg(F.sum("many")).first()[0] or 0
+    rows = tally.where(F.col("many") > max(CROWDED, total // MOST_CROWDED)).select("a").collect()
+    return np.sort(np.array([r["a"] for r in rows], dtype=np.int64).view(np.uint64))
+
+
+def _seeder(window: int, gram: int, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded = shared.value
+        for batch in batches:
+            found = _batch_runs(batch, window, gram)
+            if found is not None:
+                yield _output(*found[:2], batch.column(0).to_numpy(), batch.column(1).to_numpy(), *found[2:], crowded)
 
     return run
 
@@ -173,26 +212,19 @@ def _extender(window: int):
 
 def _repeated(found: DataFrame, *dealt: str) -> DataFrame:
     """Rows with ``repeated``: their content also lies in a smaller id."""
-    first = F.min("doc_id").over(Window.partitionBy("a", *dealt, "r"))
+    first = F.min("doc_id").over(Window.partitionBy(*dealt, "a", "r"))
     return found.withColumn("repeated", F.col("known") | (F.col("doc_id") > first))
 
 
 def _judged(found: DataFrame) -> DataFrame:
     """Rows with ``repeated`` and ``open``: not repeated, but other runs have the same anchor.
 
-    Runs of one anchor are dealt by anchor and a salt of their content. Within a salt, two different
-    runs are open; one of them and whatever is alone in its salt go on to be grouped by the anchor, so a
-    phrase that very many runs share brings at most a row per salt there.
+    Rows are dealt by anchor. Runs of a crowded anchor are open anyway, so these are dealt by content.
     """
-    salts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = _repeated(found.withColumn("salt", F.pmod("r", F.lit(salts))).repartition("a", "salt"), "salt")
-    by_salt, by_key = Window.partitionBy("a", "salt"), Window.partitionBy("k")
-    low = F.min("r").over(by_salt)
-    some = salted.withColumns({"low": low, "open": low != F.max("r").over(by_salt)})
-    settled = F.col("repeated") | (F.col("open") & (F.col("r") != F.col("low")))
-    keyed = some.withColumn("k", F.when(settled, F.xxhash64("doc_id", "start", "r")).otherwise(F.col("a")))
-    keyed = keyed.drop("salt", "low", "known").repartition("k")
-    return keyed.withColumn("open", F.col("open") | (F.min("r").over(by_key) != F.max("r").over(by_key)))
+    key = F.when(F.col("crowded"), F.xxhash64("a", "r")).otherwise(F.col("a"))
+    dealt = _repeated(found.withColumn("k", key).repartition("k"), "k")
+    by_key = Window.partitionBy("k")
+    return dealt.withColumn("open", F.col("crowded") | (F.min("r").over(by_key) != F.max("r").over(by_key)))
 
 
 def _lists(rows: DataFrame, keys: list[str], name: str, *columns: str) -> DataFrame:
@@ -211,7 +243,8 @@ def with_repeats(
     chosen = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(version).alias("v"), F.col(f"`{text}`").alias("text")
     ).where("doc_id is not null")
-    found = _judged(chosen.mapInArrow(_seeder(window, gram), _RUNS)).where("repeated or open")
+    shared = spark.sparkContext.broadcast(_crowded(chosen, window, gram))
+    found = _judged(chosen.mapInArrow(_seeder(window, gram, shared), _RUNS)).where("repeated or open")
     found = written(spark, found.select("a", "doc_id", "v", "start", "stop", "repeated"), "repeat-runs")
 
     name = free_name(docs, "_stretches")
