@@ -119,7 +119,7 @@ def test_local_fallback_folder_only_for_local_sessions(spark):
 
 def test_shuffle_settings_grow_with_the_data():
     assert shuffle_settings(1 << 30)["spark.sql.shuffle.partitions"] == "200"
-    assert int(shuffle_settings(100 << 40)["spark.sql.shuffle.partitions"]) == 409600
+    assert int(shuffle_settings(100 << 40)["spark.sql.shuffle.partitions"]) == 102400
 
 
 def test_quality_reads_the_stored_silver_and_stops(spark, tmp_path, sf_dir):

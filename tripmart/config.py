@@ -65,7 +65,7 @@ class Rules:
 DEFAULT_RULES = Rules()
 
 
-def shuffle_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def shuffle_settings(shuffle_bytes: int, partition_bytes: int = 1 << 30) -> dict[str, str]:
     """Settings for jobs whose largest shuffle moves about ``shuffle_bytes``.
 
     The largest shuffle is the numbering of trip ids, which moves every staged row once; the

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.config import DEFAULT_RULES, Rules
+from tripmart.config import DEFAULT_RULES, Rules, shuffle_settings
 from tripmart.functions.time import day_of
 from tripmart.operators.upsert import (
     daily_table,
@@ -24,6 +24,9 @@ from tripmart.schemas import CONTRACTS
 from tripmart.sources import catalog, landing, lookup
 
 
+# Bytes that numbering shuffles for each byte of the landed, compressed files.
+_STAGED_PER_LANDED = 4
+
 # Sentinel zones appear as dropoffs in the zone fact, which the dimension leaves out.
 KNOWN_FAILURES = ("relationships",)
 
@@ -193,6 +196,15 @@ def register_views(
         frame.createOrReplaceTempView(name)
 
 
+def _size_shuffles(spark: SparkSession, landing_root: str) -> None:
+    """Raise the number of shuffle partitions if the landed files call for more than there are."""
+    landed = landing.landing_summary(spark, landing_root).first()["bytes"]
+    wanted = shuffle_settings(landed * _STAGED_PER_LANDED)
+    setting = "spark.sql.shuffle.partitions"
+    if landed * _STAGED_PER_LANDED > int(spark.conf.get(setting)) << 30:
+        spark.conf.set(setting, wanted[setting])
+
+
 def _lookback(
     spark: SparkSession, lake: Lake, rules: Rules, max_event_date: dt.date | None
 ) -> dt.date | None:
@@ -228,6 +240,7 @@ def run_all(
     second, so whole days can be replaced on their own. ``full`` rebuilds all days.
     """
     lake = Lake(lake_root.rstrip("/"))
+    _size_shuffles(spark, landing_root)
     services = list(landing.available_services(spark, landing_root))
     if since is None and not full:
         since = _lookback(spark, lake, rules, max_event_date)
