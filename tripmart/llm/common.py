@@ -34,7 +34,7 @@ _SHIPPED: set[str] = set()
 
 
 #: Rows go to Python in batches of at most so many bytes, however long the texts are.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def prepare(spark: SparkSession) -> None:
