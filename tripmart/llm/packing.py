@@ -67,10 +67,7 @@ class _Stock:
         if not len(small):
             return None
         both = np.minimum(self.left[small], self.left[gap - small])
-        for k in np.argsort(-both, kind="stable")[:3]:
-            if both[k] > 0 and self.times((length, gap - int(small[k]), int(small[k]))):
-                return gap - int(small[k]), int(small[k])
-        for k in np.flatnonzero(both):
+        for k in (int(both.argmax()), *np.flatnonzero(both)):
             if self.times((length, gap - int(small[k]), int(small[k]))):
                 return gap - int(small[k]), int(small[k])
         return None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 
 import numpy as np
@@ -12,6 +13,13 @@ from tokenizers import Tokenizer
 
 KEPT_PIECES = 250_000
 
+# Letters of a word that both patterns take as one, and signs that they take together after it.
+_PLAIN = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:*$%&#|]*)")
+
+_TWO_LINES = re.compile(_PLAIN.pattern + r"\n" + _PLAIN.pattern)
+# What Python takes for white space and the tokenizers' patterns don't.
+_SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
+
 # Tasks are what runs side by side; more threads in each would only get in each other's way.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -51,14 +59,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            self.by_piece = _cuts_at_spaces(json.load(f))
+            config = json.load(f)
+        self.by_piece = _cuts_at_spaces(config)
+        normalizers = (config.get("normalizer") or {}).get("normalizers", [])
+        self.folds = any(x.get("type") == "Lowercase" for x in normalizers)
+        # White space is dropped, so that a text may be cut at any of it.
+        self.drops_blanks = self.by_piece and config["pre_tokenizer"]["type"] == "Sequence"
+        # Ids that begin a word (they hold its space) or end one.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = config["model"].get("end_of_word_suffix")
+        self.edge_is_end = bool(suffix)
+        self.edge = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        for token, i in vocabulary.items():
+            self.edge[i] = token.endswith(suffix) if suffix else token.startswith("\u0120")
         self.pieces: dict[str, bytes | bool] = {}
         self.older: dict[str, bytes | bool] = {}
+        self.words: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+        newline = [] if self.drops_blanks else self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else -1
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _folded(self, text: str) -> str:
+        """Lower case where a text's own and the library's, which goes by single characters, are the same."""
+        return text if not self.folds or "\u03a3" in text or "\u0130" in text else text.lower()
+
+    def _words(self, words: list[str]) -> None:
+        """Ids of words of plain letters, which are a pre-token each: one text holds very many of them."""
+        for at in range(0, len(words), 8192):
+            some = words[at : at + 8192]
+            found = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            edges = np.flatnonzero(self.edge[ids]) + self.edge_is_end
+            begins = [0, *edges.tolist()] if self.edge_is_end else [*edges.tolist(), len(ids)]
+            if len(begins) != len(some) + 1:
+                raise RuntimeError("the vocabulary doesn't tell where words begin or end")
+            data = ids.tobytes()
+            self.words.update((w, data[4 * x : 4 * y]) for w, x, y in zip(some, begins, begins[1:], strict=False))
+
+    def _firsts(self, words: list[str]) -> None:
+        """Ids of words of plain letters that begin a line."""
+        if not words:
+            return
+        found = self.tokenizer.encode_batch_fast(["".join(f"{w}\n" for w in words) + "."], add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype="<u4")
+        data, begin = ids.tobytes(), 0
+        ends = np.flatnonzero(ids == self.newline).tolist()
+        if len(ends) != len(words):
+            raise RuntimeError("the tokenizer doesn't keep lines of letters apart")
+        for w, end in zip(words, ends, strict=True):
+            self.firsts[w] = data[4 * begin : 4 * end]
+            begin = end + 1
+
     def _learn(self, wanted: set[str]) -> None:
         """Ids of new pieces; ``False`` for those that may depend on the white space before them.
 
@@ -66,16 +122,38 @@ class Encoder:
         """
         if len(self.pieces) + len(wanted) > KEPT_PIECES:
             self.older, self.pieces = self.pieces, {}
-        new = []
+        if len(self.words) > KEPT_PIECES + KEPT_PIECES // 2:
+            self.words = {}
+        if len(self.firsts) > KEPT_PIECES // 4:
+            self.firsts = {}
+        plain: list[tuple[str, str, str]] = []
+        broken: list[tuple[str, str, str, str, str]] = []
+        others = []
         for p in wanted:
             ids = self.older.get(p)
             if ids is not None:
                 self.pieces[p] = ids
+            elif not self.drops_blanks and "\n" in p and (m := _TWO_LINES.fullmatch(p)):
+                broken.append((p, *m.groups()))
+            elif m := _PLAIN.fullmatch(p):
+                word, signs = m.groups()
+                plain.append((p, word.lower() if self.folds else word, signs))
             elif not p or p[0].isspace() or not p[0].isprintable():
                 self.pieces[p] = False
             else:
-                new.append(p)
-        self.pieces.update(zip(new, self._whole([" " + p for p in new]), strict=True))
+                others.append(p)
+        self.pieces.update(zip(others, self._whole([" " + p for p in others]), strict=True))
+        words = {w for _, w, _ in plain} | {w for _, w, _, _, _ in broken}
+        self._words([w for w in words if w not in self.words])
+        self._firsts([w for w in {w for _, _, _, w, _ in broken} if w not in self.firsts])
+        signs = {x for _, _, x in plain} | {x for b in broken for x in (b[2], b[4])}
+        signs = [x for x in (signs | {"\n"}) if x not in self.signs]
+        self.signs.update(zip(signs, self._whole(signs), strict=True))
+        self.pieces.update((p, self.words[w] + self.signs[x]) for p, w, x in plain)
+        end = self.signs["\n"]
+        self.pieces.update(
+            (p, self.words[w] + self.signs[x] + end + self.firsts[v] + self.signs[y]) for p, w, x, v, y in broken
+        )
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is empty."""
@@ -88,8 +166,12 @@ class Encoder:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
-        heads = self._whole([p[0] for p in cut])
+        if self.drops_blanks:
+            cut = [["", *self._folded(t).split()] for t in texts]
+            heads = [b"" if _SEPARATORS.isdisjoint(t) else False for t in texts]
+        else:
+            cut = [t.split(" ") for t in texts]
+            heads = self._whole([p[0] for p in cut])
         found = [[h, *map(self.pieces.get, p[1:])] for h, p in zip(heads, cut, strict=True)]
         gaps = [(x, p, [j for j, y in enumerate(x) if y is None]) for x, p in zip(found, cut, strict=True) if None in x]
         if gaps:
