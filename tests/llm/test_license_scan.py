@@ -62,3 +62,48 @@ def test_nulls_clashing_columns_and_empty_table(frame):
         (3, "all-rights-reserved", 1),
     ]
     assert s.op6_license_scan(docs.limit(0)).collect() == []
+
+
+def best_of_all_windows(text, template):
+    words, theirs = terms(text), s.bigrams(template)
+    pairs = list(zip(words, words[1:], strict=False))
+    best = 0.0
+    for i in range(len(pairs)):
+        for j in range(i + 1, len(pairs) + 1):
+            mine = set(pairs[i:j])
+            best = max(best, 2 * len(mine & theirs) / (len(mine) + len(theirs)))
+    return best
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.6, 0.8])
+def test_windows_equal_to_brute_force(threshold):
+    rnd = random.Random(6)
+    words = "a b c d e f".split()
+    templates = {f"t{i}": " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 10))) for i in range(12)}
+    scanner = s.WindowScanner(templates, threshold)
+    for _ in range(60):
+        text = rnd.choice([" ", "\n", ". "]).join(rnd.choice(words) for _ in range(rnd.randint(0, 40)))
+        wanted = {n: best_of_all_windows(text, t) for n, t in templates.items() if s.bigrams(t)}
+        assert scanner.document(text) == {n: d for n, d in wanted.items() if d >= threshold}
+
+
+def test_wrapped_notices_are_found(frame):
+    prose = "some prose about boats and rivers that goes on for a while " * 8
+    notice = "This work is licensed under the GNU\nGeneral Public License, version 3."
+    rows = [
+        (1, f"{prose} prose here. {notice} More {prose}"),
+        (2, f"{prose} and {notice.replace(chr(10), ' ').rstrip('.')} and {prose}"),
+        (3, prose),
+        (4, None),
+    ]
+    found = {r["doc_id"]: r for r in s.op6_license_windows(frame(rows)).collect()}
+    for i in (1, 2):
+        assert "gpl-3.0" in found[i]["licences"].split(",") and found[i]["best_dice"] == 1.0
+    assert [tuple(found[i])[1:] for i in (3, 4)] == [("", 0, None, 0.0)] * 2
+
+
+def test_windows_find_all_that_passages_do():
+    passages, windows = s.Scanner(s.TEMPLATES, 0.8), s.WindowScanner(s.TEMPLATES, 0.8)
+    for _, text in rows_with_notices(3):
+        wide = windows.document(text)
+        assert all(wide[n] >= d for n, d in passages.document(text).items())

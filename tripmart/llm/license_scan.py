@@ -7,6 +7,10 @@ t / (2 - t) and (2 - t) / t times the passage's, so templates are kept by size a
 is looked at; most passages share no bigram with any template and end there.
 
 The templates are a parameter of fixed size, so each document is scanned where it is: no shuffle.
+A notice that is wrapped over lines, or lies inside a longer line, is no passage of its own. ``licence_windows``
+compares with every window of words of the whole text instead, wherever lines and sentences end; each passage
+is such a window, so it finds all that the passages do, with the same coefficient or a higher one.
+
 Null and empty texts, and passages of one word, match nothing. Of equal coefficients the smaller
 template id counts as the best. Repeated rows are scanned each; an empty table gives an empty result.
 Other columns aren't read.
@@ -18,6 +22,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,9 +121,82 @@ class Scanner:
         return best
 
 
-def _scan(templates: dict[str, str], threshold: float):
+class WindowScanner:
+    """The best window of words for each template.
+
+    A best window can be chosen so that it begins and ends with common bigrams, and that the first one
+    doesn't come again in it. One begun at a common bigram is left as soon as so many distinct bigrams
+    aren't common that even the rest of the template couldn't make up for them.
+    """
+
+    def __init__(self, templates: dict[str, str], threshold: float):
+        self.threshold = threshold
+        sets = ((name, bigrams(t)) for name, t in sorted(templates.items()))
+        self.templates = [(name, b) for name, b in sets if b]
+        self.sizes = np.array([len(b) for _, b in self.templates], dtype=np.int64)
+        # Bigrams that aren't in the template can only lower the coefficient.
+        self.least = self.sizes * threshold / (2 - threshold) - 1e-9
+        self.holders: dict[tuple[bytes, bytes], list[int]] = {}
+        for k, (_, b) in enumerate(self.templates):
+            for x in b:
+                self.holders.setdefault(x, []).append(k)
+        self.known = frozenset(self.holders)
+
+    def document(self, text: str | None) -> dict[str, float]:
+        """The best coefficient of each template that occurs."""
+        words = terms(text)
+        shared = self.known.intersection(zip(words, words[1:], strict=False))
+        if not shared:
+            return {}
+        held = np.fromiter((k for x in shared for k in self.holders[x]), dtype=np.int64)
+        common = np.bincount(held, minlength=len(self.sizes))
+        candidates = np.flatnonzero((common >= self.least) & (common > 0)).tolist()
+        if not candidates:
+            return {}
+        grams = list(zip(words, words[1:], strict=False))
+        places: dict[tuple[bytes, bytes], list[int]] = {}
+        for i, x in enumerate(grams):
+            if x in shared:
+                places.setdefault(x, []).append(i)
+        best = {}
+        for k in candidates:
+            name, template = self.templates[k]
+            dice = self._best(grams, template, [i for x in template if x in places for i in places[x]])
+            if dice >= self.threshold:
+                best[name] = dice
+        return best
+
+    def _best(self, grams: list, template: set, starts: list[int]) -> float:
+        size, many, best = len(template), len(grams), 0.0
+        for start in starts:
+            goal = max(best, self.threshold)
+            spare = 2 * size / goal - 2 * size + 1e-9
+            first = grams[start]
+            mine = {first}
+            common, other = 1, 0
+            best = max(best, 2 / (1 + size))
+            for i in range(start + 1, many):
+                x = grams[i]
+                if x in mine:
+                    if x == first:
+                        break
+                    continue
+                mine.add(x)
+                if x in template:
+                    common += 1
+                    best = max(best, 2 * common / (common + other + size))
+                else:
+                    other += 1
+                    if other > spare:
+                        break
+            if best == 1.0:
+                break
+        return best
+
+
+def _scan(templates: dict[str, str], threshold: float, kind: type = Scanner):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, threshold)
+        scanner = kind(templates, threshold)
         for batch in batches:
             found = [scanner.document(t) for t in batch.column(1).to_pylist()]
             top = [min(((-d, n) for n, d in f.items()), default=(0.0, None)) for f in found]
@@ -136,14 +214,29 @@ def _scan(templates: dict[str, str], threshold: float):
     return run
 
 
+def _matches(documents: DataFrame, templates: dict[str, str] | None, threshold: float, kind: type) -> DataFrame:
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = "doc_id long, licences string, n_licences long, best string, best_dice double"
+    return docs.mapInArrow(_scan(TEMPLATES if templates is None else templates, threshold, kind), schema)
+
+
 def licence_matches(
     documents: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Per document the licences that occur, how many, and the best with its coefficient."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, licences string, n_licences long, best string, best_dice double"
-    return docs.mapInArrow(_scan(TEMPLATES if templates is None else templates, threshold), schema)
+    return _matches(documents, templates, threshold, Scanner)
+
+
+def licence_windows(
+    documents: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
+    """The same over all windows of words, however lines and sentences are cut."""
+    return _matches(documents, templates, threshold, WindowScanner)
 
 
 def op6_license_scan(documents: DataFrame) -> DataFrame:
     return licence_matches(documents)
+
+
+def op6_license_windows(documents: DataFrame) -> DataFrame:
+    return licence_windows(documents)

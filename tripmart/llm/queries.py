@@ -27,6 +27,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.op6_license_scan(table(spark, sf_dir, "documents"))
 
 
+def op6_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents, however they are wrapped."""
+    prepare(spark)
+    return license_scan.op6_license_windows(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by a quadratic discriminant."""
     prepare(spark)
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_binary_records": op4_binary_records,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_license_scan": op6_license_scan,
+    "op6_license_windows": op6_license_windows,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_tree": op8_chat_tree,
     "op9_ngram_join": op9_ngram_join,
