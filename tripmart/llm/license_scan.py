@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,35 @@ TEMPLATES = {
     "public-domain": "This work is in the public domain.",
 }
 
+# Titles that name a licence.
+TITLES = {
+    "0bsd": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "agpl-3.0": ("GNU Affero General Public License Version 3",),
+    "apache-2.0": ("Apache License Version 2.0",),
+    "artistic-1.0": ("The Artistic License",),
+    "bsd-2-clause": ("BSD 2-Clause License",),
+    "bsd-3-clause": ("BSD 3-Clause License",),
+    "cc-by-4.0": ("Creative Commons Attribution 4.0 International",),
+    "cc-by-nc-4.0": ("Creative Commons Attribution-NonCommercial 4.0 International",),
+    "cc-by-sa-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International",),
+    "cc0-1.0": ("CC0 1.0 Universal",),
+    "gfdl-1.2": ("GNU Free Documentation License Version 1.2",),
+    "gfdl-1.3": ("GNU Free Documentation License Version 1.3",),
+    "gpl-1.0": ("GNU General Public License Version 1",),
+    "gpl-2.0": ("GNU General Public License Version 2",),
+    "gpl-3.0": ("GNU General Public License Version 3",),
+    "isc": ("ISC License",),
+    "lgpl-2.0": ("GNU Library General Public License Version 2",),
+    "lgpl-2.1": ("GNU Lesser General Public License Version 2.1",),
+    "lgpl-3.0": ("GNU Lesser General Public License Version 3",),
+    "mit": ("MIT License",),
+    "mpl-1.1": ("Mozilla Public License Version 1.1",),
+    "mpl-2.0": ("Mozilla Public License Version 2.0",),
+    "unlicense": ("The Unlicense",),
+}
+#: Shorter paragraphs of a licence's text are headings such as "Terms and conditions", which name no licence.
+LEAST_PARAGRAPH = 8
+
 _PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 _SENTENCE = re.compile(r"[.!?][ \t]+")
 
@@ -87,6 +117,18 @@ def bigrams(text: str) -> set[tuple[bytes, bytes]]:
     return set(zip(words, words[1:], strict=False))
 
 
+def licence_texts() -> dict[str, str]:
+    """Every paragraph of the licences' texts, their titles and the notices, as ``licence/part``."""
+    parts = {f"{name}/notice": text for name, text in TEMPLATES.items()}
+    for name, titles in TITLES.items():
+        parts |= {f"{name}/title-{k}": title for k, title in enumerate(titles)}
+    for path in sorted((Path(__file__).parent / "licences").glob("*.txt")):
+        for k, paragraph in enumerate(_PARAGRAPH.split(path.read_text(encoding="utf-8").replace("\f", "\n\n"))):
+            if len(bigrams(paragraph)) >= LEAST_PARAGRAPH:
+                parts[f"{path.stem}/{k:03d}"] = paragraph
+    return parts
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], threshold: float):
         self.threshold = threshold
@@ -136,11 +178,12 @@ class WindowScanner:
         self.sizes = np.array([len(b) for _, b in self.templates], dtype=np.int64)
         # Bigrams that aren't in the template can only lower the coefficient.
         self.least = self.sizes * threshold / (2 - threshold) - 1e-9
-        self.holders: dict[tuple[bytes, bytes], list[int]] = {}
+        holders: dict[tuple[bytes, bytes], list[int]] = {}
         for k, (_, b) in enumerate(self.templates):
             for x in b:
-                self.holders.setdefault(x, []).append(k)
-        self.known = frozenset(self.holders)
+                holders.setdefault(x, []).append(k)
+        self.holders = {x: np.array(k, dtype=np.int64) for x, k in holders.items()}
+        self.known = frozenset(holders)
 
     def document(self, text: str | None) -> dict[str, float]:
         """The best coefficient of each template that occurs."""
@@ -148,8 +191,7 @@ class WindowScanner:
         shared = self.known.intersection(zip(words, words[1:], strict=False))
         if not shared:
             return {}
-        held = np.fromiter((k for x in shared for k in self.holders[x]), dtype=np.int64)
-        common = np.bincount(held, minlength=len(self.sizes))
+        common = np.bincount(np.concatenate([self.holders[x] for x in shared]), minlength=len(self.sizes))
         candidates = np.flatnonzero((common >= self.least) & (common > 0)).tolist()
         if not candidates:
             return {}
@@ -239,4 +281,16 @@ def op6_license_scan(documents: DataFrame) -> DataFrame:
 
 
 def op6_license_windows(documents: DataFrame) -> DataFrame:
-    return licence_windows(documents)
+    """Per document the licences of which any part occurs, those parts, and the best part's coefficient."""
+    found = licence_windows(documents, licence_texts())
+    parts = F.filter(F.split("licences", ","), lambda x: x != "")
+    names = F.array_sort(F.array_distinct(F.transform(parts, lambda x: F.substring_index(x, "/", 1))))
+    return found.select(
+        "doc_id",
+        F.array_join(names, ",").alias("licences"),
+        F.size(names).cast("long").alias("n_licences"),
+        F.col("licences").alias("parts"),
+        F.col("n_licences").alias("n_parts"),
+        "best",
+        "best_dice",
+    )
