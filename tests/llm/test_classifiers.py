@@ -63,6 +63,41 @@ def test_restored_words(restorer, token, word):
     assert restorer.word(token) == word
 
 
+@pytest.mark.parametrize(
+    ("token", "word"),
+    [
+        ("iiddiioott", "idiot"), ("sccumm", "scum"), ("st-up-id", "stupid"), ("mo-ron", "moron"), ("id-i-ot", "idiot"),
+        ("50(3", ""), ("1973", ""), ("will", "will"), ("little", "little"), ("tell", "tell"),
+    ],
+)
+def test_letters_with_alternatives(restorer, token, word):
+    assert restorer.word(token) == word
+
+
+def test_look_alikes_alone(frame):
+    counts = n.character_counts(frame([(1, "what a total ass and a big boss is it " * 50)]))
+    assert n.Restorer(n.character_model(counts)).word("@$$") == "ass"
+
+
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [
+        ("you i\td\ni\u00a0o  t ok", "idiot"), ("such s c u m there", "scum"),
+        ("what a sc um he is", "scum"), ("you st up id man", "stupid"), ("an id iot", "idiot"), ("the st\nupid one", "stupid"),
+    ],
+)
+def test_pieces_between_any_white_space(restorer, text, word):
+    assert word in restorer.spaced(text)
+
+
+def test_letters_of_the_corpus(frame):
+    docs = frame([(1, "мудак и дурак " * 50), (2, "plain words " * 50)])
+    letters = n.corpus_letters(docs)
+    assert letters.startswith(n.LETTERS) and set("мудакр") <= set(letters)
+    restorer = n.Restorer(n.character_model(n.character_counts(docs, letters)), letters=letters)
+    assert restorer.word("д.у.р.а.к") == "дурак" and restorer.word("ддуурраакк") == "дурак"
+
+
 def test_spaced_letters(restorer):
     assert "idiot" in restorer.spaced("you are i d i o t ok")
     assert restorer.spaced("a plain text") == []

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.noisy_channel import Restorer, character_counts, character_model
+from tripmart.llm.noisy_channel import LETTERS, Restorer, character_counts, character_model, corpus_letters
 from tripmart.llm.quality_classifier import fold
 from tripmart.workspace import written
 
@@ -61,7 +61,8 @@ def _restorer(shared) -> Restorer:
     """One restorer per worker for each model."""
     if id(shared.value) not in _RESTORERS:
         _RESTORERS.clear()
-        _RESTORERS[id(shared.value)] = Restorer(shared.value)
+        characters, letters = shared.value
+        _RESTORERS[id(shared.value)] = Restorer(characters, letters=letters)
     return _RESTORERS[id(shared.value)]
 
 
@@ -143,6 +144,7 @@ class Model:
     weights: dict[str, float]
     beta: np.ndarray
     flat: float | None = None
+    letters: str = LETTERS
 
 
 def _sample(labels: DataFrame, bound: int) -> DataFrame:
@@ -155,15 +157,16 @@ def _sample(labels: DataFrame, bound: int) -> DataFrame:
 def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     """Character model, word weights and regression from ``doc_id, text`` and ``doc_id, label``."""
     spark = documents.sparkSession
-    characters = character_model(character_counts(documents))
+    letters = corpus_letters(documents)
+    characters = character_model(character_counts(documents, letters))
     chosen = {(r["doc_id"], r["label"]) for r in _sample(labels, bound).collect()}
     shares = [sum(label == c for _, label in chosen) for c in (0, 1)]
     if not all(shares):
-        return Model(characters, {}, np.zeros(4), 1.0 if shares[1] else 0.0)
+        return Model(characters, {}, np.zeros(4), 1.0 if shares[1] else 0.0, letters)
     sample = spark.createDataFrame(sorted(chosen), "doc_id long, label int")
     sample = sample.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(2)).cast("int"))
     texts = documents.join(F.broadcast(sample), "doc_id").select("half", "label", "text")
-    shared = spark.sparkContext.broadcast(characters)
+    shared = spark.sparkContext.broadcast((characters, letters))
     parts = ("clean_0", "toxic_0", "clean_1", "toxic_1")
     schema = ", ".join(["key string", *(f"{c} long" for c in parts)])
     tally = texts.mapInArrow(_tally(shared), schema).groupBy("key").agg(*(F.sum(c).alias(c) for c in parts))
@@ -189,7 +192,7 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     table = np.array(points, dtype=np.float64).reshape(-1, 4)
     y = table[:, 0]
     beta = logistic(table[:, 1:], y) if 0 < y.sum() < len(y) else np.zeros(4)
-    return Model(characters, weights((0, 1)), beta)
+    return Model(characters, weights((0, 1)), beta, letters=letters)
 
 
 def _scorer(characters, weigher, beta: list[float], flat: float | None):
@@ -209,7 +212,7 @@ def _scorer(characters, weigher, beta: list[float], flat: float | None):
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` for each document."""
     context = documents.sparkSession.sparkContext
-    characters, weigher = context.broadcast(model.characters), context.broadcast(Weigher(model.weights))
+    characters, weigher = context.broadcast((model.characters, model.letters)), context.broadcast(Weigher(model.weights))
     run = _scorer(characters, weigher, model.beta.tolist(), model.flat)
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
@@ -228,9 +231,9 @@ def _restore(shared):
     return run
 
 
-def restored(documents: DataFrame, characters: np.ndarray) -> DataFrame:
+def restored(documents: DataFrame, characters: np.ndarray, letters: str = LETTERS) -> DataFrame:
     """``doc_id, restored``: the words behind each text, then those behind spaced letters."""
-    shared = documents.sparkSession.sparkContext.broadcast(characters)
+    shared = documents.sparkSession.sparkContext.broadcast((characters, letters))
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _restore(shared), "doc_id long, restored string"
     )
