@@ -161,3 +161,35 @@ def test_a_second_run_rebuilds_the_lookback_only(spark, tmp_path, sf_dir):
     assert late in days() and early not in days()
     jobs.run_all(spark, root, zones, lake.root, full=True)
     assert early in days()
+
+
+def test_files_that_land_later_for_older_days_are_staged(spark, tmp_path, sf_dir):
+    zones = f"{tmp_path}/zones"
+    fixture.raw_zones(spark, sf_dir).write.option("header", "true").csv(zones)
+    root, lake = f"{tmp_path}/landing", jobs.Lake(f"{tmp_path}/lake")
+    records = fixture.tagged(spark, sf_dir)
+    fixture.land(records.where("service = 'yellow'"), root)
+    jobs.run_all(spark, root, zones, lake.root)
+    silver = lake.table("intermediate", "int_trips_validated")
+    alone = spark.read.parquet(silver).count()
+    fixture.land(records.where("service != 'yellow'"), root, mode="append")
+    jobs.run_all(spark, root, zones, lake.root, since=dt.date(2024, 3, 30))
+    jobs.run_all(spark, root, zones, lake.root)
+    services = ["yellow", "green", "fhv"]
+    columns = ("trip_id", "trip_type", "pickup_datetime")
+    staged = jobs.read_bronze(spark, lake, services)
+    assert rows(staged, *columns) == rows(fixture.trips(spark, sf_dir, ids=True), *columns)
+    wanted = fixture.validated(spark, sf_dir).count()
+    assert alone < wanted == spark.read.parquet(silver).count()
+
+
+def test_a_file_that_goes_leaves_bronze_and_silver(spark, tmp_path, sf_dir):
+    zones = f"{tmp_path}/zones"
+    fixture.raw_zones(spark, sf_dir).write.option("header", "true").csv(zones)
+    root, lake = f"{tmp_path}/landing", jobs.Lake(f"{tmp_path}/lake")
+    fixture.land(fixture.tagged(spark, sf_dir), root)
+    jobs.run_all(spark, root, zones, lake.root)
+    workspace.remove(spark, f"{root}/service=green_tripdata")
+    jobs.run_all(spark, root, zones, lake.root)
+    silver = spark.read.parquet(lake.table("intermediate", "int_trips_validated"))
+    assert {r[0] for r in silver.select("trip_type").distinct().collect()} == {"yellow", "fhv"}

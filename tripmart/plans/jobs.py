@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart import workspace
 from tripmart.config import DEFAULT_RULES, Rules, shuffle_settings
 from tripmart.functions.time import day_of
 from tripmart.operators.upsert import (
@@ -219,6 +221,51 @@ def _lookback(
     return None if None in starts else min(starts)
 
 
+def _read_stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _staged_files(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """The files that bronze and silver hold; None without a list."""
+    return _read_stored(spark, lake.table("staging", "_landed_files"))
+
+
+def _unstaged(
+    spark: SparkSession, lake: Lake, services: list[str], listing: DataFrame
+) -> dict[str, dt.date | None] | None:
+    """Per service with files that aren't staged yet, their first pickup day.
+
+    None asks for all days: there is no list of staged files, or one of them has gone or was written
+    anew, so that its days aren't known any more. All files of a service without a table are new.
+    """
+    staged = _staged_files(spark, lake)
+    if staged is None:
+        return None
+    missing = [s for s in services if _read_stored(spark, lake.table("staging", f"stg_{s}_trips")) is None]
+    if not staged.join(listing, listing.columns, "left_anti").isEmpty():
+        return None
+    known = staged.where(~F.col("service").isin(missing)) if missing else staged
+    fresh = listing.join(known, listing.columns, "left_anti").groupBy("service").agg(F.collect_list("path").alias("paths"))
+    return {r["service"]: landing.earliest_pickup(spark, r["service"], r["paths"]) for r in fresh.collect()}
+
+
+def _note_staged(
+    spark: SparkSession, lake: Lake, listing: DataFrame, left_out: list[str]
+) -> None:
+    """List the files as staged; of services that are left out only those listed before."""
+    held = listing.where(~F.col("service").isin(left_out)) if left_out else listing
+    before = _staged_files(spark, lake) if left_out else None
+    if before is not None:
+        held = held.unionByName(before.where(F.col("service").isin(left_out)))
+    held = workspace.written(spark, held, "landed-files")
+    held.write.mode("overwrite").parquet(lake.table("staging", "_landed_files"))
+
+
 def run_all(
     spark: SparkSession,
     landing_root: str,
@@ -235,17 +282,27 @@ def run_all(
     The report is written first; with ``stop`` a failed check, other than the known ones, raises.
 
     A later run upserts the days within the lookback into the facts, and rebuilds bronze and
-    silver for the days from ``since`` on only, by default those of the lookback: the bound
+    silver for the days from ``since`` on only, by default those of the lookback and from the first
+    pickup day on of files that aren't staged yet (a list of staged files lies beside bronze): the bound
     reaches the scans of the landed files, and trip ids number the copies within one pickup
     second, so whole days can be replaced on their own. ``full`` rebuilds all days.
     """
     lake = Lake(lake_root.rstrip("/"))
     _size_shuffles(spark, landing_root)
     services = list(landing.available_services(spark, landing_root))
-    if since is None and not full:
-        since = _lookback(spark, lake, rules, max_event_date)
+    listing = workspace.written(spark, landing.file_listing(spark, landing_root), "listing")
+    unstaged = None if full else _unstaged(spark, lake, services, listing)
+    firsts = {service: day for service, day in (unstaged or {}).items() if day is not None}
+    left_out: list[str] = []
+    if since is None and not full and unstaged is not None:
+        start = _lookback(spark, lake, rules, max_event_date)
+        since = None if start is None else min([start, *firsts.values()])
+    elif since is not None:
+        # Files with earlier days aren't staged in whole; without a list any file may be such a one.
+        left_out = services if unstaged is None else [s for s, day in firsts.items() if day < since]
     build_bronze(spark, landing_root, zones_csv, lake, since)
     build_silver(spark, lake, services, rules, since)
+    _note_staged(spark, lake, listing, left_out)
     build_gold(spark, lake, rules, max_event_date)
     path = lake.table("marts", "quality_report")
     check_quality(spark, lake, services, rules).write.mode("overwrite").parquet(path)

@@ -10,6 +10,7 @@ declared types whatever a file holds. A stream takes files of the declared types
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructField, StructType
 
 from tripmart.config import EXPECTED_MONTHS, SERVICES
+from tripmart.functions.time import day_of
 from tripmart.schemas import RAW
 
 NO_AGE_LIMIT = "36500d"
@@ -154,6 +156,25 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def file_listing(spark: SparkSession, root: str) -> DataFrame:
+    """Landed files of known services with size and time; a file that is written anew differs in these."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+        .select(file_service(F.col("path")).alias("service"), "path", "length", "modificationTime")
+    )
+    return listing.where(F.col("service").isNotNull())
+
+
+def earliest_pickup(spark: SparkSession, service: str, paths: list[str]) -> dt.date | None:
+    """The first pickup day in some files of a service; None without any pickup."""
+    pickup = next(f for f in RAW[service].fields if "pickup_datetime" in f.name)
+    frame = spark.read.schema(StructType([pickup])).parquet(*paths)
+    return frame.agg(F.min(day_of(F.col(pickup.name)))).first()[0]
+
+
 def landing_gaps(
     spark: SparkSession,
     root: str,
