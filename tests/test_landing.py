@@ -9,6 +9,8 @@ from tests.builders import fhv, yellow
 from tests.conftest import rows
 from tripmart.plans import bronze
 from tripmart.sources import catalog, landing, lookup
+from verification import fixture
+from verification.queries import QUERIES
 
 
 def _land(root, frames):
@@ -130,3 +132,14 @@ def test_widths_of_numbers_decide_neither_rows_nor_ids(spark, tmp_path, kind):
         assert staged.count() == wanted.count() * (1 if frame is None else 2)
         if frame is None:
             assert rows(bronze.stage(found, "yellow"), "trip_id") == rows(wanted, "trip_id")
+
+
+def test_landing_summary_writes_service_months_in_tasks_of_their_own(spark, sf_dir, monkeypatch):
+    plans = []
+    kept = fixture.by_month
+    monkeypatch.setattr(fixture, "by_month", lambda records: plans.append(kept(records)) or plans[-1])
+    found = QUERIES["landing_summary"](spark, sf_dir).collect()
+    months = plans[0].select("service", "month").distinct().count()
+    assert [tuple(r) for r in found] == [(months, True)]
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [service" in plan and "Repartition 1" not in plan
