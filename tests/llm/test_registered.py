@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = driver.queries()
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == []
     assert names["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(driver.oracle_sql())
 

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,3 +130,21 @@ def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += size
     if first < len(sizes):
         yield first, len(sizes)
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of an Arrow column of texts one after the other, and where each begins (and the last ends)."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    _, offsets, data = column.buffers()
+    begins = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    if not len(column):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+    whole = np.zeros(0, dtype=np.uint8) if data is None else np.frombuffer(data, dtype=np.uint8)
+    return whole[begins[0] : begins[-1]], begins - begins[0]
+
+
+def text_column(data: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """An Arrow column of texts from their bytes and begins."""
+    offsets = pa.py_buffer(np.ascontiguousarray(begins, dtype=np.int64))
+    column = pa.LargeStringArray.from_buffers(len(begins) - 1, offsets, pa.py_buffer(np.ascontiguousarray(data)))
+    return column.cast(pa.string())

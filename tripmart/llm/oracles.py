@@ -195,6 +195,85 @@ select d.doc_id as doc_id, cast(coalesce(any_value(n), 0) as bigint) as n_shingl
 from d left join sizes on sizes.doc_id = d.doc_id join reach on reach.x = d.doc_id group by d.doc_id
 """
 
+OP12 = """
+with cut as (
+  select doc_id, coalesce(text, '') as body,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as us,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents
+),
+drawn as (
+  select *, len(us) as n,
+    cast('0x' || h[1:8] as bigint) % (len(us) + 1) as x, cast('0x' || h[9:16] as bigint) % (len(us) + 1) as y,
+    case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>')
+        or cast('0x' || h[17:24] as bigint) % 100 >= 90 then 'plain'
+      when cast('0x' || h[25:32] as bigint) % 100 < 20 then 'spm' else 'psm' end as form
+  from cut
+),
+parted as (
+  select *, array_to_string(us[1 : least(x, y)], '') as p, array_to_string(us[least(x, y) + 1 : greatest(x, y)], '') as m,
+    array_to_string(us[greatest(x, y) + 1 : n], '') as s
+  from drawn
+)
+select doc_id, cast(n as bigint) as n, form,
+  cast(case when form <> 'plain' then length(p) end as bigint) as prefix_chars,
+  cast(case when form <> 'plain' then length(m) end as bigint) as middle_chars,
+  sha256(case form when 'plain' then body when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(body) as restored_sha256
+from parted
+"""
+
+
+def _op11(rounds: int = 4) -> str:
+    """Codebooks and assignments round by round: ``b`` has components (part, entry, place), ``a`` the nearest entries."""
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} as (
+  select i, p, arg_min(e, (d, e)) as e, min(d) as d from (
+    select x.i as i, x.p as p, b.e as e, cast(sum((x.v - b.v) * (x.v - b.v)) as bigint) as d
+    from parts x join b{k} b on b.p = x.p and b.place = x.place group by x.i, x.p, b.e
+  ) group by i, p
+)"""
+
+    steps = []
+    for k in range(rounds):
+        steps.append(assigned(k))
+        steps.append(f"""
+b{k + 1} as (
+  select o.p as p, o.e as e, o.place as place,
+    cast(case when m.n is null then o.v else (m.s - ((m.s % m.n) + m.n) % m.n) / m.n end as bigint) as v
+  from b{k} o left join (
+    select x.p as p, a.e as e, x.place as place, cast(sum(x.v) as bigint) as s, count(*) as n
+    from parts x join a{k} a on a.i = x.i and a.p = x.p group by x.p, a.e, x.place
+  ) m on m.p = o.p and m.e = o.e and m.place = o.place
+)""")
+    return f"""
+with kept as (
+  select *, row_number() over (order by vec_id, embedding) - 1 as i, len(embedding) // 4 as width
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+components as (
+  select i, width, unnest(range(0, len(embedding))) as j, unnest(embedding) as x from kept
+),
+parts as (
+  select i, j // width as p, j % width as place, cast(floor(1024 * cast(x as double)) as bigint) as v from components
+),
+b0 as (select p, i as e, place, v from parts where i < 256),{",".join(steps)},{assigned(rounds)},
+coded as (
+  select i, string_agg(format('{{:02x}}', e), '' order by p) as code, cast(sum(d) as bigint) as error
+  from a{rounds} group by i
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(cast(v as varchar), ',' order by p, e, place)) from b{rounds}) as codebooks_sha256
+from kept join coded on coded.i = kept.i
+"""
+
+
+OP11 = _op11()
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": OP2,
     "op3_decontamination": OP3,
@@ -202,4 +281,6 @@ ORACLES: dict[str, str] = {
     "op8_chat_tree": OP8,
     "op9_ngram_join": OP9,
     "op10_quality_rules": OP10,
+    "op11_vector_codes": OP11,
+    "op12_fill_in_middle": OP12,
 }

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import (
     binary_records,
+    bpe,
     chat_tree,
     decontamination,
+    fill_middle,
     license_scan,
     ngram_join,
     packing,
@@ -17,6 +19,7 @@ from tripmart.llm import (
     quality_rules,
     substring_dedup,
     toxicity,
+    vector_codes,
 )
 from tripmart.llm.common import prepare, table
 
@@ -88,6 +91,24 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op5_best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by codebooks of their parts."""
+    prepare(spark)
+    return vector_codes.op11_vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents turned for filling in the middle, and restored."""
+    prepare(spark)
+    return fill_middle.op12_fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by a streaming byte-level BPE, and decoded."""
+    prepare(spark)
+    return bpe.op13_bpe_codec(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -100,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_tree": op8_chat_tree,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_bpe_codec": op13_bpe_codec,
 }
