@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from tests.builders import fhv, yellow
 from tests.conftest import rows
 from tripmart.plans import bronze
 from tripmart.sources import catalog, landing, lookup
+from tripmart.sources.footers import footers, spark_type, stored_contract
 from verification import fixture
 from verification.queries import QUERIES
 
@@ -143,3 +145,65 @@ def test_landing_summary_writes_service_months_in_tasks_of_their_own(spark, sf_d
     assert [tuple(r) for r in found] == [(months, True)]
     plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [service" in plan and "Repartition 1" not in plan
+
+
+@pytest.fixture
+def widths(spark, tmp_path):
+    """Files of one service that store the same numbers in several types, one per file."""
+    records = yellow(spark, {}, {"PULocationID": 7, "payment_type": 2}).coalesce(1)
+    kinds = ("bigint", "smallint", "double", "decimal(10,0)", "float")
+    for k, kind in enumerate(kinds):
+        changed = {c: F.col(c).cast(kind) for c in ("PULocationID", "payment_type", "VendorID")}
+        records.withColumns(changed).write.parquet(f"{tmp_path}/yellow_tripdata_2024-0{k + 1}.parquet")
+    other = records.withColumnRenamed("PULocationID", "PUlocationID")
+    other.write.parquet(f"{tmp_path}/yellow_tripdata_2024-09.parquet")
+    return str(tmp_path), 2 * (len(kinds) + 1)
+
+
+def test_many_widths_in_one_landing(spark, widths):
+    root, wanted = widths
+    found = landing.scan_service(spark, root, "yellow")
+    assert found.schema == yellow(spark, {}).schema and found.count() == wanted
+    assert {r.PULocationID for r in found.collect()} == {1, 7}
+
+
+def test_footers_are_read_by_one_job(spark, widths):
+    """Whatever the number of files and types, one stage opens them all."""
+    root, wanted = widths
+    files = landing.landed_files(spark, root)
+    found = footers(files, 6).collect()
+    assert sum(r.n_rows for r in found) == wanted and all(r.error is None for r in found)
+    sizes = {r.path: r.bytes for r in files.collect()}
+    assert {r.path: r.n_bytes for r in found} == sizes
+    plan = footers(files, 6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ReadSchema: struct<path:string>" in plan
+
+
+def test_stored_contract_shows_other_types(spark, widths):
+    root, wanted = widths
+    profile = footers(landing.landed_files(spark, root))
+    expected = {"PULocationID": "int", "fare_amount": "double", "tip_amount": "float", "nothing": "int"}
+    report = {(r.column_name, r.stored_type): r for r in stored_contract(profile, expected).collect()}
+    assert report["fare_amount", "double"].status == "ok" and report["fare_amount", "double"].stored_rows == wanted
+    assert report["PULocationID", "bigint"].status == report["tip_amount", "double"].status == "type differs"
+    assert report["nothing", None].status == "missing" and report["nothing", None].files == 6
+    assert report["extra", "double"].status == "unexpected"
+
+
+def test_broken_footers_are_named(spark, widths, tmp_path):
+    root, _ = widths
+    (tmp_path / "yellow_tripdata_2024-12.parquet").write_bytes(b"no parquet at all")
+    broken = footers(landing.landed_files(spark, root)).where("error is not null").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in broken] == ["yellow_tripdata_2024-12.parquet"]
+    relation = landing.scan_service(spark, root, "yellow")
+    (line,) = landing.source_report(spark, {"yellow": relation}).collect()
+    assert line.row_count is None and line.error
+
+
+@pytest.mark.parametrize(
+    ("kind", "name"),
+    [(pa.uint32(), "bigint"), (pa.decimal128(9, 2), "decimal(9,2)"), (pa.timestamp("us"), "timestamp_ntz"),
+     (pa.timestamp("us", "UTC"), "timestamp"), (pa.date32(), "date"), (pa.list_(pa.int32()), "list<element: int32>")],
+)
+def test_names_of_stored_types(kind, name):
+    assert spark_type(kind).replace("item", "element") == name

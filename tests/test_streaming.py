@@ -131,3 +131,79 @@ def test_old_files_are_ingested(spark, tmp_path, sf_dir):
         ingest.ingest_new_files(ingest.landed_trips(spark, root), table, progress)
         counts_after.append(spark.read.parquet(table).count())
     assert counts_after[0] > 0 and counts_after[1] == 2 * counts_after[0]
+
+
+def test_files_of_any_width_stream(spark, tmp_path):
+    root, table, progress = (f"{tmp_path}/{n}" for n in ("landing", "table", "progress"))
+    kinds = ("int", "bigint", "double", "float")
+    for k, kind in enumerate(kinds):
+        wide = {c: F.col(c).cast(kind) for c in ("PULocationID", "passenger_count", "VendorID")}
+        _drop(spark, root, f"yellow_tripdata_2024-0{k + 1}.parquet", yellow(spark, {}, _at(k + 1)).withColumns(wide))
+    _drop(spark, root, "fhv_tripdata_2024-01.parquet", fhv(spark, {}))
+    _drop(spark, root, "unknown_2024-01.parquet", fhv(spark, {}))
+    for _ in range(2):
+        ingest.ingest_landed(spark, root, table, progress, files_per_batch=2)
+        stored = spark.read.parquet(table)
+        assert stored.count() == 2 * len(kinds) + 1
+    assert stored.select("ingest_batch").distinct().count() > 1
+    wanted = bronze.stage(yellow(spark, {}), "yellow", ids=False)
+    assert silver.conform(stored).dtypes == silver.union_trips([wanted]).dtypes
+    assert {r.passenger_count for r in stored.where("trip_type = 'yellow'").collect()} == {1}
+
+
+def test_repeated_batch_of_files_replaces_itself(spark, tmp_path, monkeypatch):
+    root, table, progress = (f"{tmp_path}/{n}" for n in ("landing", "table", "progress"))
+    _drop(spark, root, "yellow_tripdata_2024-01.parquet", yellow(spark, {}, {}))
+    run_batches = ingest.run_batches
+
+    def die_before_commit(stream, handle, checkpoint):
+        def once(batch, batch_id):
+            handle(batch, batch_id)
+            raise OSError("lost")
+
+        run_batches(stream, once, checkpoint)
+
+    monkeypatch.setattr(ingest, "run_batches", die_before_commit)
+    with pytest.raises(Exception, match="lost"):
+        ingest.ingest_landed(spark, root, table, progress)
+    assert spark.read.parquet(table).count() == 2
+    monkeypatch.setattr(ingest, "run_batches", run_batches)
+    ingest.ingest_landed(spark, root, table, progress)
+    assert spark.read.parquet(table).count() == 2
+
+
+def test_order_of_batches_decides_nothing_within_a_run(spark, tmp_path):
+    """The newest days come first; older ones of the same run aren't late."""
+    root, silver_path, progress = (f"{tmp_path}/{n}" for n in ("landing", "silver", "progress"))
+    table = upsert.daily_table(f"{tmp_path}/daily")
+    zones = bronze.stage_zones(raw_zones(spark))
+
+    def land(name, day, age):
+        _drop(spark, root, name, yellow(spark, _at(day)))
+        for path in glob.glob(f"{root}/{name}/*.parquet"):
+            os.utime(path, (time.time() - age, time.time() - age))
+
+    def run():
+        daily.stream_daily(spark, root, zones, silver_path, table, progress, files_per_batch=1)
+        return sorted(r.trip_date.day for r in upsert.read_fact(spark, table).collect())
+
+    land("yellow_tripdata_2024-01a.parquet", 25, 9000)
+    land("yellow_tripdata_2024-01b.parquet", 3, 5000)
+    land("yellow_tripdata_2024-01c.parquet", 12, 1000)
+    assert run() == [3, 12, 25]
+    # Of a later run they are.
+    land("yellow_tripdata_2024-01d.parquet", 30, 900)
+    land("yellow_tripdata_2024-01e.parquet", 23, 500)
+    land("yellow_tripdata_2024-01f.parquet", 20, 300)
+    assert run() == [3, 12, 23, 25, 30]
+
+
+def test_a_run_that_goes_on_keeps_its_lookback(spark, tmp_path):
+    table, progress = upsert.daily_table(f"{tmp_path}/daily"), f"{tmp_path}/progress"
+    assert daily._run_start(spark, table, progress, daily.DEFAULT_RULES) is None
+    zones = bronze.stage_zones(raw_zones(spark))
+    trips = silver.validate(silver.enrich(bronze.stage(yellow(spark, _at(20)), "yellow", ids=False), zones))
+    upsert.load_increment(spark, table, trips, gold.daily_trips)
+    assert daily._run_start(spark, table, progress, daily.DEFAULT_RULES) is None
+    daily._note_run(spark, progress, False, None)
+    assert daily._run_start(spark, table, progress, daily.DEFAULT_RULES) == dt.date(2024, 1, 17)

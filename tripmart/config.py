@@ -12,6 +12,9 @@ METERED = ("yellow", "green")
 # The landing grid a full load is expected to cover.
 EXPECTED_MONTHS = ("2024-01", "2024-02", "2024-03")
 
+# Files that one micro-batch of a stream takes, so that a first run over a large landing isn't one batch.
+FILES_PER_BATCH = 1000
+
 # City boroughs.
 CITY_BOROUGHS = ("Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island")
 

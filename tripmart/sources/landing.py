@@ -3,9 +3,10 @@
 Files of a service lie either next to each other as ``<service>_tripdata_<month>.parquet``
 or below ``service=<service>_tripdata/month=<month>/``; one glob matches both.
 
-Files may store numbers in any width. A batch scan reads each group of files by its own types and
-casts to the declared ones, so that everything above, the text of trip keys included, sees the
-declared types whatever a file holds. A stream takes files of the declared types.
+Files may store numbers in any width. Their footers are read by tasks, the files are grouped by the
+types they store, and each group is read by its own types and cast to the declared ones, so that
+everything above, the text of trip keys included, sees the declared types whatever a file holds.
+A stream does the same with the files of each micro-batch: what streams is the names of files.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructField, StructType
+from pyspark.sql.types import NumericType, StructType
 
-from tripmart.config import EXPECTED_MONTHS, SERVICES
+from tripmart import workspace
+from tripmart.config import EXPECTED_MONTHS, FILES_PER_BATCH, SERVICES
 from tripmart.functions.time import day_of
 from tripmart.schemas import RAW
+from tripmart.sources.footers import footers, stored_type
 
 NO_AGE_LIMIT = "36500d"
 
@@ -36,51 +39,119 @@ def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _cast_scan(spark: SparkSession, paths: list[str], declared: StructType, stored: StructType) -> DataFrame:
+def _numeric(declared: StructType) -> list[str]:
+    return [f.name for f in declared.fields if isinstance(f.dataType, NumericType)]
+
+
+def _cast_scan(spark: SparkSession, paths: list[str], declared: StructType, stored: dict[str, str]) -> DataFrame:
     """Files that store numbers as ``stored`` says, as a relation of the declared types."""
-    kinds = {f.name: f.dataType for f in stored.fields if isinstance(f.dataType, NumericType)}
-    read = [
-        StructField(f.name, kinds.get(f.name, f.dataType) if isinstance(f.dataType, NumericType) else f.dataType)
-        for f in declared.fields
-    ]
-    frame = spark.read.schema(StructType(read)).option("recursiveFileLookup", "true").parquet(*paths)
+    read = StructType.fromDDL(
+        ", ".join(f"`{f.name}` {stored.get(f.name) or f.dataType.simpleString()}" for f in declared.fields)
+    )
+    frame = spark.read.schema(read).option("recursiveFileLookup", "true").parquet(*paths)
     casts = {
-        f.name: F.col(f.name).cast(f.dataType) for f, r in zip(declared.fields, read, strict=True) if f != r
+        f.name: F.col(f.name).cast(f.dataType)
+        for f, r in zip(declared.fields, read.fields, strict=True)
+        if f.dataType != r.dataType
     }
     return frame.withColumns(casts) if casts else frame
 
 
-def scan_service(spark: SparkSession, root: str, service: str) -> DataFrame | None:
-    """All landed files of one service as one relation; None when nothing landed.
+def _merged_types(spark: SparkSession, paths: list[str], declared: StructType) -> dict[str, str]:
+    """Stored numeric types as Spark itself finds them; the declared ones where files differ or can't be read."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    try:
+        found = {f.name.lower(): f.dataType for f in reader.parquet(*paths).schema.fields}
+    except (PySparkException, Py4JJavaError):
+        return {}
+    kinds = {name: found.get(name.lower()) for name in _numeric(declared)}
+    return {name: kind.simpleString() for name, kind in kinds.items() if isinstance(kind, NumericType)}
+
+
+def _by_stored_types(profile: DataFrame, declared: StructType) -> DataFrame:
+    """``path`` and ``stored``: the types of the declared numeric columns, null where the footer couldn't be read."""
+    stored = F.array(*(stored_type(F.col("types"), name) for name in _numeric(declared)))
+    return profile.select("path", F.when(F.col("error").isNull(), stored).alias("stored"))
+
 
-    The types come from the files' footers, read in one job; where files differ, they are grouped.
+def scan_files(
+    spark: SparkSession, service: str, files: DataFrame, everything: str | None = None
+) -> DataFrame | None:
+    """The files of a listing (``path``) as one relation of the declared types; None without files.
+
+    One job reads the footers. Paths come to the driver only to be read from, and not even then if all files of
+    ``everything``, a pattern, store the same types. Footers that tasks can't open (a store that only Spark
+    knows) are left to Spark's own merging of schemas.
     """
-    declared, path = RAW[service], service_glob(root, service)
-    reader = spark.read.option("recursiveFileLookup", "true")
+    declared = RAW[service]
+    names = _numeric(declared)
+    # Both questions below are asked of the written result, so that footers are read once.
+    place = workspace.fresh_path(spark, "footers")
+    _by_stored_types(footers(files, files.count()), declared).write.parquet(place)
+    found = spark.read.schema("path string, stored array<string>").parquet(place)
+    groups = [r["stored"] for r in found.select("stored").distinct().collect()]
+    scans = []
+    for stored in groups:
+        if len(groups) == 1 and everything:
+            paths = [everything]
+        else:
+            chosen = F.col("stored").eqNullSafe(F.lit(None) if stored is None else F.array(*map(F.lit, stored)))
+            paths = [r["path"] for r in found.where(chosen).select("path").collect()]
+        if stored is None:
+            types = _merged_types(spark, paths, declared)
+        else:
+            kinds = dict(zip(names, stored, strict=True))
+            types = {name: kind for name, kind in kinds.items() if kind and _is_number(kind)}
+        scans.append(_cast_scan(spark, paths, declared, types))
+    workspace.remove(spark, place)
+    return reduce(DataFrame.unionByName, scans) if scans else None
+
+
+def _is_number(kind: str) -> bool:
+    return kind.startswith("decimal") or kind in ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """Files with size and time; contents aren't read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", "*.parquet").load(path).select("path", "length", "modificationTime")
+
+
+def scan_service(spark: SparkSession, root: str, service: str) -> DataFrame | None:
+    """All landed files of one service as one relation; None when nothing landed."""
+    path = service_glob(root, service)
     try:
-        whole = reader.schema(declared).parquet(path)
+        files = _listing(spark, path)
     except AnalysisException as error:
         if _is_missing(error):
             return None
         raise
-    try:
-        stored = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path).schema
-        return _cast_scan(spark, [path], declared, stored)
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE" not in str(error):
-            return whole  # reading it names the file that can't be read
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for file in sorted(whole.inputFiles()):
-        stored = spark.read.parquet(file).schema
-        groups.setdefault(stored.simpleString(), (stored, []))[1].append(file)
-    scans = (_cast_scan(spark, files, declared, stored) for stored, files in groups.values())
-    return reduce(DataFrame.unionByName, scans)
+    return scan_files(spark, service, files, everything=path)
+
+
+def stream_files(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Stream of the names of landed files, of all services and types; contents aren't read.
+
+    With a checkpoint every file comes once, however old it is, at most ``files_per_batch`` at a time.
+    """
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        # By default a file a week older than the newest one seen is passed over.
+        .option("maxFileAge", NO_AGE_LIMIT)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(root)
+        .select("path", "length", "modificationTime")
+    )
 
 
 def stream_service(
     spark: SparkSession, root: str, service: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Streaming scan; with a checkpoint every file is read exactly once, however old it is."""
+    """Streaming scan of files of the declared types (``stream_files`` takes any); with a checkpoint every file is
+    read exactly once, however old it is."""
     reader = spark.readStream.schema(RAW[service]).option("recursiveFileLookup", "true")
     # By default a file a week older than the newest one seen is passed over.
     reader = reader.option("maxFileAge", NO_AGE_LIMIT)
@@ -141,14 +212,7 @@ def file_month(path: Column) -> Column:
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per landed file. Only the listing is read, never the contents."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path", "length")
-    )
-    return listing.select(
+    return _listing(spark, root).select(
         file_service(F.col("path")).alias("service"),
         file_month(F.col("path")).alias("month"),
         "path",
@@ -158,12 +222,8 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
 
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """Landed files of known services with size and time; a file that is written anew differs in these."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select(file_service(F.col("path")).alias("service"), "path", "length", "modificationTime")
+    listing = _listing(spark, root).select(
+        file_service(F.col("path")).alias("service"), "path", "length", "modificationTime"
     )
     return listing.where(F.col("service").isNotNull())
 

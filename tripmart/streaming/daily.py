@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmart.config import DEFAULT_RULES, Rules
+from tripmart.config import DEFAULT_RULES, FILES_PER_BATCH, Rules
 from tripmart.functions.time import day_of
 from tripmart.operators.upsert import (
     FactTable,
@@ -16,7 +19,9 @@ from tripmart.operators.upsert import (
     upsert,
 )
 from tripmart.plans import gold, silver
-from tripmart.streaming.ingest import landed_trips, run_batches
+from tripmart.streaming.ingest import run_landed
+
+_RUN = "running boolean, since date"
 
 
 def _append_batch(trips: DataFrame, batch_id: int, silver_path: str) -> StructType:
@@ -37,21 +42,44 @@ def _append_batch(trips: DataFrame, batch_id: int, silver_path: str) -> StructTy
     return kept.schema
 
 
+def _run_start(
+    spark: SparkSession, table: FactTable, checkpoint: str, rules: Rules
+) -> dt.date | None:
+    """First day that this run recomputes; None asks for all.
+
+    A run's batches come in the order of the files' times, not of their days, so all of them keep to the
+    lookback from before the run. A run that goes on after a failure keeps to that of its begin, which is
+    noted beside the checkpoint until the run has ended.
+    """
+    try:
+        note = spark.read.schema(_RUN).parquet(f"{checkpoint}_run").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        note = None
+    if note is not None and note["running"]:
+        return note["since"]
+    recover(spark, table)
+    since = lookback_start(read_fact(spark, table), table.day, rules)
+    _note_run(spark, checkpoint, True, since)
+    return since
+
+
+def _note_run(spark: SparkSession, checkpoint: str, running: bool, since: dt.date | None) -> None:
+    note = spark.createDataFrame([(running, since)], _RUN)
+    note.coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}_run")
+
+
 def refresh_daily(
-    spark: SparkSession,
-    table: FactTable,
-    trips: DataFrame,
-    batch_id: int,
-    rules: Rules = DEFAULT_RULES,
+    spark: SparkSession, table: FactTable, trips: DataFrame, batch_id: int, since: dt.date | None
 ) -> None:
-    """Recompute, from all silver rows, the days the batch touched within the lookback.
+    """Recompute, from all silver rows, the days from ``since`` on that the batch touched.
 
     A batch that is repeated after a failure first completes what it had begun.
     """
     recover(spark, table)
-    start = lookback_start(read_fact(spark, table), table.day, rules)
-    if start is not None:
-        trips = trips.where(F.col("pickup_date") >= F.lit(start))
+    if since is not None:
+        trips = trips.where(F.col("pickup_date") >= F.lit(since))
     touched = trips.where(F.col("ingest_batch") == batch_id).select("pickup_date").distinct()
     affected = trips.join(touched, "pickup_date", "left_semi")
     upsert(spark, table, gold.daily_trips(affected).select(*table.schema.names))
@@ -65,13 +93,17 @@ def stream_daily(
     table: FactTable,
     checkpoint: str,
     rules: Rules = DEFAULT_RULES,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Bring silver and the daily fact up to date with the files landed since the last run."""
+    """Bring silver and the daily fact up to date with the files landed since the last run, whatever types they
+    store. A large landing comes in batches of files."""
+    since = _run_start(spark, table, checkpoint, rules)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         valid = silver.validate(silver.enrich(batch, zones), rules)
         schema = _append_batch(valid, batch_id, silver_path)
         trips = spark.read.schema(schema).parquet(silver_path)
-        refresh_daily(spark, table, trips, batch_id, rules)
+        refresh_daily(spark, table, trips, batch_id, since)
 
-    run_batches(landed_trips(spark, landing_root), handle, checkpoint)
+    run_landed(spark, landing_root, handle, checkpoint, files_per_batch)
+    _note_run(spark, checkpoint, False, None)

@@ -4,11 +4,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_modules(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="modules-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -302,6 +302,44 @@ def _ids(select: str) -> str:
     return _from(_WITH_IDS, select)
 
 
+# Types that the files of several widths store: as declared, in the widest integers, as doubles.
+_WIDTHS = {
+    "VendorID": ("int", "int", "bigint", "double"),
+    "tpep_pickup_datetime": ("timestamp_ntz",) * 4,
+    "tpep_dropoff_datetime": ("timestamp_ntz",) * 4,
+    "passenger_count": ("double", "double", "bigint", "double"),
+    "trip_distance": ("double",) * 4,
+    "PULocationID": ("int", "int", "bigint", "double"),
+    "DOLocationID": ("int", "int", "bigint", "double"),
+    "RatecodeID": ("double",) * 4,
+    "store_and_fwd_flag": ("string",) * 4,
+    "payment_type": ("int", "int", "bigint", "double"),
+    **{
+        name: ("double",) * 4
+        for name in ("fare_amount", "extra", "mta_tax", "improvement_surcharge", "tip_amount", "tolls_amount")
+    },
+    # One column that the contract leaves out, and one that no file has.
+    "total_amount": (None, "double", "double", "double"),
+    "airport_fee": ("double", None, None, None),
+}
+
+
+def _stored_types() -> str:
+    def text(value: str | None) -> str:
+        return "null::varchar" if value is None else f"'{value}'"
+
+    lines = ", ".join(
+        f"({k}, '{name}', {text(kinds[0])}, {text(kinds[1 + k])})" for name, kinds in _WIDTHS.items() for k in range(3)
+    )
+    return f"""
+select column_name, expected_type, stored_type, sum(n)::bigint as stored_rows,
+       case when stored_type is null then 'missing' when expected_type is null then 'unexpected'
+            when expected_type = stored_type then 'ok' else 'type differs' end as status
+from (values {lines}) as t(part, column_name, expected_type, stored_type)
+join (select coalesce("VendorID", 0) % 3 as part, count(*) as n from raw where service = 'yellow' group by 1) using (part)
+group by all"""
+
+
 ORACLES: dict[str, str] = {
     # Sources
     "scan_trips": _plain("select * exclude (dupe) from raw"),
@@ -311,6 +349,14 @@ ORACLES: dict[str, str] = {
                payment_type, fare_amount, extra, mta_tax, improvement_surcharge, tip_amount,
                tolls_amount, total_amount from raw where service = 'yellow'"""
     ),
+    "stream_widths": _plain("select * exclude (dupe) from trips where trip_type = 'yellow'"),
+    "stored_contract": _plain(_stored_types()),
+    "landing_profile": _plain(
+        """select service, strftime(coalesce(tpep_pickup_datetime, lpep_pickup_datetime, pickup_datetime,
+                                          timestamp '2024-01-01 00:00:00'), '%Y-%m') as month,
+               count(*) as stored_rows, true as sizes_agree, 0::bigint as unreadable
+        from raw group by all"""
+    ),
     "scan_zones": _plain("select * from raw_zones"),
     "seed_zones": _plain("select * from raw_zones"),
     "union_available": _plain("select * exclude (dupe) from trips where trip_type <> 'fhv'"),

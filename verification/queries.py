@@ -26,8 +26,10 @@ from tripmart.operators.upsert import (
     zone_table,
 )
 from tripmart.plans import bronze, gold, silver, suite
-from tripmart.schemas import CONTRACTS
+from tripmart.schemas import CONTRACTS, RAW
 from tripmart.sources import catalog, landing, lookup
+from tripmart.sources.footers import footers
+from tripmart.sources.footers import stored_contract as stored_types
 from tripmart.streaming import counts, daily, ingest
 from verification import fixture
 
@@ -84,8 +86,7 @@ def scan_trips(spark, sf_dir):
     return landing.tag_services(present)
 
 
-@query
-def scan_widths(spark, sf_dir):
+def _landing_of_widths(spark, sf_dir):
     """Files of one service that store numbers as declared, in the widest integers, and as doubles."""
     root = workspace.fresh_path(spark, "landing-widths")
     records = fixture.raw(spark, sf_dir, "yellow")
@@ -96,7 +97,43 @@ def scan_widths(spark, sf_dir):
     for k, columns in enumerate(({}, wide | whole, doubles)):
         stored = records.where(part == k).withColumns(columns) if columns else records.where(part == k)
         stored.write.parquet(f"{root}/service=yellow_tripdata/month=2024-0{k + 1}")
-    return landing.scan_service(spark, root, "yellow")
+    return root
+
+
+@query
+def scan_widths(spark, sf_dir):
+    """Files of several widths as one relation of the declared types."""
+    return landing.scan_service(spark, _landing_of_widths(spark, sf_dir), "yellow")
+
+
+@query
+def stream_widths(spark, sf_dir):
+    """The same files as a stream, some of them in each batch."""
+    table = workspace.fresh_path(spark, "ingested-widths")
+    progress = workspace.fresh_path(spark, "ingested-widths-progress")
+    ingest.ingest_landed(spark, _landing_of_widths(spark, sf_dir), table, progress, files_per_batch=4)
+    return spark.read.parquet(table).drop("ingest_batch")
+
+
+@query
+def stored_contract(spark, sf_dir):
+    """What the same files store, column by column, against what is declared."""
+    files = landing.landed_files(spark, _landing_of_widths(spark, sf_dir))
+    expected = {f.name: f.dataType.simpleString() for f in RAW["yellow"].fields if f.name != "total_amount"}
+    report = stored_types(footers(files), expected | {"airport_fee": "double"})
+    return report.select("column_name", "expected_type", "stored_type", "stored_rows", "status")
+
+
+@query
+def landing_profile(spark, sf_dir):
+    """Rows of each service month by the files' footers, and whether the listed sizes are the files'."""
+    files = landing.landed_files(spark, fixture.landed(spark, sf_dir))
+    profile = files.join(footers(files), "path").groupBy("service", "month")
+    return profile.agg(
+        F.sum("n_rows").alias("stored_rows"),
+        F.every(F.col("bytes") == F.col("n_bytes")).alias("sizes_agree"),
+        F.count("error").alias("unreadable"),
+    )
 
 
 def _zones_csv(spark, sf_dir):
