@@ -110,3 +110,43 @@ def test_missing_references(spark):
     fact = spark.createDataFrame([(1,), (7,), (7,), (None,)], "zone_id int")
     dimension = spark.createDataFrame([(1,), (2,)], "zone_id int")
     assert rows(q.missing_references(fact, dimension, "zone_id")) == [(7, 2)]
+
+
+def test_repeated_ids_are_counted_exactly(spark):
+    """Through hashes first; several models, nulls, values that repeat within one model only."""
+    lines = [("a", 1, 1), ("a", 1, 0), ("b", 1, 2), ("c", 1, 1), ("c", 0, 1), (None, 1, 1), (None, 1, 1), ("d", 0, 0)]
+    frame = spark.createDataFrame(lines, "id string, one int, two int").repartition(3)
+    weights = {"m": F.col("one"), "n": F.col("two")}
+    checks = [q.unique("m", "id"), q.unique("n", "id"), q.not_null("n", "id"), q.accepted_values("m", "id", "a", "b")]
+    assert _report(q.run_checks(frame, checks, weights)) == {
+        ("m", "id", "unique"): 1,
+        ("n", "id", "unique"): 2,
+        ("n", "id", "not_null"): 2,
+        ("m", "id", "accepted_values"): 1,
+    }
+
+
+def test_hashes_that_meet_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(q.F, "xxhash64", lambda *columns: F.length(columns[0]).cast("bigint"))
+    frame = spark.createDataFrame([("aa",), ("bb",), ("ccc",), ("bb",)], "id string")
+    assert _report(q.run_checks(frame, [q.unique("m", "id")])) == {("m", "id", "unique"): 1}
+
+
+def test_empty_text_relation_passes(spark):
+    for empty in (spark.createDataFrame([], "id string"), spark.range(5).selectExpr("'a' as id").where("rand() > 2")):
+        checks = [q.not_null("m", "id"), q.unique("m", "id"), q.accepted_values("m", "id", "x")]
+        assert set(_report(q.run_checks(empty, checks)).values()) == {0}
+
+
+def test_clean_ids_are_never_shuffled(spark, monkeypatch):
+    """One scan and one exchange, of hashes, answer all checks of clean rows."""
+    plans = []
+    fresh = q.workspace.fresh_path
+    frame = spark.range(5000).selectExpr("concat('id', id) as id", "id % 3 as kind", "'t' as type")
+    monkeypatch.setattr(q.workspace, "fresh_path", lambda s, label: plans.append(label) or fresh(s, label))
+    checks = [q.unique("m", "id"), q.not_null("m", "id"), q.accepted_values("m", "type", "t"), q.accepted_range("m", "kind", 0, 2)]
+    report = q.run_checks(frame, checks)
+    assert plans == ["repeated-hashes"] and set(_report(report).values()) == {0} and len(_report(report)) == 4
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan or "LogicalRDD" in plan
+    assert "Range" not in plan and "Aggregate" not in plan

@@ -5,6 +5,10 @@ rows (for ``unique`` and ``accepted_values``: of failing values). Models that ar
 the same row stream share one relation: each model is a weight column that says how often a
 row occurs in it (0, 1, or more when a join fans out). The checks of all these models then
 share their passes over the relation.
+
+Ids are nearly always unique, so ``unique`` on a text column looks for repeated 64-bit hashes first: the
+shuffle moves hashes, not ids. Only rows whose hash repeats are grouped by the id itself, which settles the
+number exactly; clean data has next to none of them. All row-level checks are observed in the same scan.
 """
 
 from __future__ import annotations
@@ -13,16 +17,20 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
+
+from tripmart import workspace
 
+REPORT = "model string, column_name string, check_name string, failures long"
 
 # Kinds that look at all rows of a value together; the others judge row by row.
 _ON_VALUES = ("unique", "accepted_values")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Check:
     model: str
     kind: str
@@ -33,6 +41,10 @@ class Check:
     inclusive: bool = True
     only_if: Column | None = None
 
+    @property
+    def name(self) -> tuple[str, str, str]:
+        return self.model, self.column_name, self.kind
+
     @property
     def column_name(self) -> str:
         return ",".join(self.columns)
@@ -69,6 +81,8 @@ def _broken(check: Check) -> Column:
     column = F.col(check.columns[0])
     if check.kind == "not_null":
         return column.isNull()
+    if check.kind == "accepted_values":
+        return F.coalesce(~column.isin(*check.values), F.lit(False))
     too_low = too_high = F.lit(False)
     if check.low is not None:
         too_low = column < check.low if check.inclusive else column <= check.low
@@ -139,6 +153,75 @@ def _value_pass(
     return _as_rows(totals, on_values + on_rows)
 
 
+def lines_of(spark: SparkSession, failures: Mapping[Check, int]) -> DataFrame:
+    """Report rows of checks whose failures are known."""
+    rows = [(check.model, check.column_name, check.kind, n) for check, n in failures.items()]
+    return spark.createDataFrame(rows, REPORT)
+
+
+class Watched:
+    """A relation whose row-level checks are counted while something else reads or writes it.
+
+    ``frame`` is what to run the action on; ``failing`` then has the failing rows of each check (of
+    ``accepted_values`` too, where the report counts values: none if there are no such rows).
+    """
+
+    def __init__(self, frame: DataFrame, checks: Iterable[Check], weights: Mapping[str, Column] | None = None):
+        self.checks = list(checks)
+        weights = weights or {check.model: F.lit(1) for check in self.checks}
+        self._seen = Observation()
+        counters = [_failing_weight(c, weights).alias(f"_{i}") for i, c in enumerate(self.checks)]
+        self.frame = frame.observe(self._seen, F.count(F.lit(1)).alias("_rows"), *counters)
+
+    def failing(self) -> dict[Check, int]:
+        """Waits for the action."""
+        try:
+            seen = self._seen.get
+        except Py4JJavaError as error:
+            # A relation that the optimizer knows to be empty is folded away, and what it counts with it.
+            if "assertion failed" not in str(error):
+                raise
+            seen = {}
+        return {check: seen.get(f"_{i}") or 0 for i, check in enumerate(self.checks)}
+
+
+def _hash_pass(
+    frame: DataFrame, weights: Mapping[str, Column], columns: tuple[str, ...], checks: list[Check]
+) -> DataFrame:
+    """``unique`` checks of one set of columns, and all others that look at rows, in one scan.
+
+    Runs at once: what has to be counted exactly depends on what the scan finds.
+    """
+    spark = frame.sparkSession
+    on_ids = [c for c in checks if c.kind == "unique"]
+    watched = Watched(frame, [c for c in checks if c.kind != "unique"], weights)
+    models = list(dict.fromkeys(check.model for check in on_ids))
+    # A row counts as often as in the model that has it most often, so that no model's repeats are missed.
+    times = F.greatest(*(weights[m] for m in models)) if len(models) > 1 else weights[models[0]]
+    filled = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns))
+    hashed = watched.frame.select(
+        F.when(filled, F.xxhash64(*columns)).alias("_hash"), times.cast("bigint").alias("_times")
+    )
+    counted = hashed.where(F.col("_hash").isNotNull()).groupBy("_hash").agg(F.sum("_times").alias("_times"))
+    path = workspace.fresh_path(spark, "repeated-hashes")
+    counted.where(F.col("_times") > 1).select("_hash").write.parquet(path)
+    repeated = spark.read.schema("_hash long").parquet(path)
+
+    failing = watched.failing()
+    exact = []
+    if repeated.isEmpty():
+        workspace.remove(spark, path)
+        failing |= dict.fromkeys(on_ids, 0)
+    else:
+        rows = frame.withColumn("_hash", F.xxhash64(*columns)).join(repeated, "_hash", "left_semi")
+        exact.append(_value_pass(rows, weights, columns, on_ids))
+    for check in [c for c in watched.checks if c.kind == "accepted_values" and failing[c]]:
+        del failing[check]
+        exact.append(_value_pass(frame, weights, check.columns, [check]))
+    parts = [lines_of(spark, failing)] if failing else []
+    return reduce(DataFrame.unionByName, [*parts, *exact])
+
+
 def run_checks(
     frame: DataFrame,
     checks: Iterable[Check],
@@ -146,13 +229,25 @@ def run_checks(
 ) -> DataFrame:
     """Report rows of the checks of one relation.
 
-    Each distinct set of columns under ``unique`` or ``accepted_values`` takes one pass.
-    Row-level checks join the pass of their own column, else one over a list of accepted
-    values, which has few groups; only without such a pass do they take their own.
+    A text column under ``unique`` takes all checks of rows along in its pass, which runs at once. Else each
+    distinct set of columns under ``unique`` or ``accepted_values`` takes one pass; row-level checks
+    join the pass of their own column, else one over a list of accepted values, which has few
+    groups; only without such a pass do they take their own.
     """
     checks = list(checks)
     if weights is None:
         weights = {check.model: F.lit(1) for check in checks}
+    kinds = dict(zip(frame.columns, (f.dataType for f in frame.schema.fields), strict=True))
+    texts = [
+        c.columns
+        for c in checks
+        if c.kind == "unique" and len(c.columns) == 1 and isinstance(kinds[c.columns[0]], StringType)
+    ]
+    parts = []
+    if texts:
+        along = [c for c in checks if c.kind != "unique" or c.columns == texts[0]]
+        parts.append(_hash_pass(frame, weights, texts[0], along))
+        checks = [c for c in checks if all(c is not a for a in along)]
     passes: dict[tuple[str, ...], list[Check]] = {}
     for check in checks:
         if check.kind in _ON_VALUES:
@@ -168,7 +263,7 @@ def run_checks(
             passes[few_groups[0]].append(check)
         else:
             alone.append(check)
-    parts = [_value_pass(frame, weights, columns, group) for columns, group in passes.items()]
+    parts += [_value_pass(frame, weights, columns, group) for columns, group in passes.items()]
     if alone:
         parts.append(_row_pass(frame, weights, alone))
     return reduce(DataFrame.unionByName, parts)

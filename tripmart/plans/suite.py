@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart import workspace
 from tripmart.config import DEFAULT_RULES, METERED, SERVICES, Rules
 from tripmart.operators.quality import (
     Check,
     accepted_range,
     accepted_values,
+    lines_of,
     not_null,
     reference_check,
     run_checks,
@@ -134,6 +137,73 @@ def zone_weights(rules: Rules = DEFAULT_RULES) -> dict[str, Column]:
     }
 
 
+#: Checks, by model, column and kind, that are known to hold and aren't run again.
+Proven = Collection[tuple[str, str, str]]
+
+
+def _chosen(checks: list[Check], kinds: tuple[str, ...] | None) -> list[Check]:
+    return [c for c in checks if kinds is None or c.kind in kinds]
+
+
+def trip_report(
+    trips: DataFrame,
+    zones: DataFrame,
+    kinds: tuple[str, ...] | None = None,
+    rules: Rules = DEFAULT_RULES,
+    without_ids: DataFrame | None = None,
+    validated: DataFrame | None = None,
+    proven: Proven = (),
+) -> list[DataFrame]:
+    """Checks of the trips' models; one scan of ``trips`` and one of ``validated``, if given.
+
+    Where ids are not stored but computed, ``without_ids`` gives the same trips for reports that do not
+    look at them.
+    """
+    checks = _chosen(trip_checks(rules) + documented_checks(), kinds)
+    parts = []
+    held = [c for c in checks if c.name in proven]
+    if held:
+        parts.append(lambda: lines_of(zones.sparkSession, dict.fromkeys(held, 0)))
+    checks = [c for c in checks if c.name not in proven]
+    stored = [c for c in checks if validated is not None and c.model == "int_trips_validated"]
+    on_trips = [c for c in checks if all(c is not s for s in stored)]
+    if on_trips:
+        use_ids = without_ids is None or any(c.columns == ("trip_id",) for c in on_trips)
+        stream = trip_stream(trips if use_ids else without_ids, zones)
+        parts.append(lambda: run_checks(stream, on_trips, trip_weights(rules)))
+    if stored:
+        parts.append(lambda: run_checks(validated, stored))
+    return workspace.together(zones.sparkSession, *parts) if parts else []
+
+
+def table_report(
+    zones: DataFrame,
+    dimension: DataFrame,
+    daily: DataFrame,
+    zone_fact: DataFrame,
+    kinds: tuple[str, ...] | None = None,
+    rules: Rules = DEFAULT_RULES,
+    proven: Proven = (),
+) -> list[DataFrame]:
+    """Checks of the lookup, the dimension and the facts."""
+    parts = []
+    for frame, checks, weights in (
+        (zones, zone_checks(), zone_weights(rules)),
+        (daily, daily_checks(), None),
+        (zone_fact, zone_fact_checks(), None),
+    ):
+        checks = _chosen(checks, kinds)
+        held = [c for c in checks if c.name in proven]
+        checks = [c for c in checks if c.name not in proven]
+        if held:
+            parts.append(lines_of(zones.sparkSession, dict.fromkeys(held, 0)))
+        if checks:
+            parts.append(run_checks(frame, checks, weights))
+    if kinds is None or "relationships" in kinds:
+        parts.append(reference_check(zone_fact, dimension, "zone_id", "fct_zone_metrics"))
+    return parts
+
+
 def quality_report(
     trips: DataFrame,
     zones: DataFrame,
@@ -144,36 +214,14 @@ def quality_report(
     rules: Rules = DEFAULT_RULES,
     without_ids: DataFrame | None = None,
     validated: DataFrame | None = None,
+    proven: Proven = (),
 ) -> DataFrame:
     """Every check with its number of failures; ``kinds`` restricts the kinds of checks.
 
-    ``validated`` are the stored validated trips; their checks then read these rows. Without it
-    the model is derived from ``trips``, as the other models that aren't stored are.
-
-    ``trips`` are the unioned trips with ids, ``zones`` the staged lookup. Where ids are not
-    stored but computed, ``without_ids`` gives the same trips for the checks that do not look
-    at them, so that the ids are computed for one pass only.
+    ``trips`` are the unioned trips with ids, ``zones`` the staged lookup. ``validated`` are the stored
+    validated trips; their checks then read these rows. Without it the model is derived from
+    ``trips``, as the other models that aren't stored are.
     """
-
-    def chosen(checks: list[Check]) -> list[Check]:
-        return [c for c in checks if kinds is None or c.kind in kinds]
-
-    on_trips = chosen(trip_checks(rules) + documented_checks())
-    stored = {"int_trips_validated"} if validated is not None else set()
-    on_stored = [c for c in on_trips if c.model in stored]
-    on_trips = [c for c in on_trips if c.model not in stored]
-    on_ids = [c for c in on_trips if c.columns == ("trip_id",)]
-    on_rest = [c for c in on_trips if c.columns != ("trip_id",)]
-    rest = trips if without_ids is None else without_ids
-    relations = [
-        (trip_stream(trips, zones), on_ids, trip_weights(rules)),
-        (trip_stream(rest, zones), on_rest, trip_weights(rules)),
-        (validated, on_stored, None),
-        (zones, chosen(zone_checks()), zone_weights(rules)),
-        (daily, chosen(daily_checks()), None),
-        (zone_fact, chosen(zone_fact_checks()), None),
-    ]
-    parts = [run_checks(f, checks, weights) for f, checks, weights in relations if checks]
-    if kinds is None or "relationships" in kinds:
-        parts.append(reference_check(zone_fact, dimension, "zone_id", "fct_zone_metrics"))
+    parts = trip_report(trips, zones, kinds, rules, without_ids, validated, proven)
+    parts += table_report(zones, dimension, daily, zone_fact, kinds, rules, proven)
     return reduce(DataFrame.unionByName, parts)

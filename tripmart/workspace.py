@@ -1,12 +1,15 @@
-"""Shared folder for tables a job has to write before it can go on."""
+"""Shared folder for tables a job has to write before it can go on, and jobs that run side by side."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -63,3 +66,9 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def together(spark: SparkSession, *steps: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of steps that run Spark jobs and don't need each other, run side by side."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]

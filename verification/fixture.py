@@ -7,6 +7,8 @@ evaluate alike; ``verification/oracles.py`` states the same rules in SQL.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,18 @@ _VALUES = {
     ),
     "SR_Flag": f"if(l_returnflag = 'N', case {_LINE} % 3 when 0 then 1 when 1 then 0 end, null)",
 }
+_LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+)
 _FLAG_OF_SERVICE = {"yellow": "A", "green": "R", "fhv": "N"}
 _TIMES_OF_FLAG = {
     "A": ("tpep_pickup_datetime", "tpep_dropoff_datetime"),
@@ -72,7 +86,31 @@ _TIMES_OF_FLAG = {
 }
 
 
-def _timed(spark: SparkSession, sf_dir: str, copies: bool, service: str | None) -> DataFrame:
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _once(build):
+    """Plans are composed once per session, like views; the rows are read each time."""
+
+    @wraps(build)
+    def found(spark: SparkSession, sf_dir: str, *args, **options) -> DataFrame:
+        key = (build.__name__, spark.sparkContext.applicationId, id(spark), sf_dir, args, tuple(sorted(options.items())))
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, sf_dir, *args, **options)
+        return _PLANS[key]
+
+    return found
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of fewer splits than cores, such as a file of one row group, dealt over all of them."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def _timed(
+    spark: SparkSession, sf_dir: str, copies: bool, service: str | None, spread: bool
+) -> DataFrame:
     """Line items with the times of their service, one row per trip.
 
     With ``copies`` those of every fiftieth order appear twice, the second time as ``dupe``
@@ -80,6 +118,8 @@ def _timed(spark: SparkSession, sf_dir: str, copies: bool, service: str | None)
     them is not pushed below, where their formulas would be repeated at every mention.
     """
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if spread:
+        rows = _spread(rows.select(*_LINE_COLUMNS))
     if service:
         rows = rows.where(F.col("l_returnflag") == _FLAG_OF_SERVICE[service])
     times = ", ".join(
@@ -92,22 +132,28 @@ def _timed(spark: SparkSession, sf_dir: str, copies: bool, service: str | None)
     return timed.selectExpr("*", f"explode({dupes}) as dupe")
 
 
+@_once
 def tagged(
-    spark: SparkSession, sf_dir: str, copies: bool = True, service: str | None = None
+    spark: SparkSession, sf_dir: str, copies: bool = True, service: str | None = None, spread: bool = False
 ) -> DataFrame:
-    """Raw records of the three services (or one) in one relation, tagged by ``service``."""
+    """Raw records of the three services (or one) in one relation, tagged by ``service``.
+
+    With ``spread`` a file of few splits is dealt over all cores first, for what costs much per row.
+    """
     columns = (
         f"cast({_VALUES.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"
         for f in tagged_raw_schema().fields
     )
-    return _timed(spark, sf_dir, copies, service).selectExpr(*columns)
+    return _timed(spark, sf_dir, copies, service, spread).selectExpr(*columns)
 
 
+@_once
 def raw(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Raw records of one service, as its own files would hold them."""
     return bronze.raw_columns(tagged(spark, sf_dir, service=service), service)
 
 
+@_once
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup: one zone per nation and the two sentinels."""
     zones = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr(
@@ -126,34 +172,40 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.union(sentinels)
 
 
+@_once
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.stage_zones(raw_zones(spark, sf_dir))
 
 
+@_once
 def trips(
     spark: SparkSession, sf_dir: str, ids: bool = False, copies: bool = True
 ) -> DataFrame:
     """Conformed trips of all services from one scan."""
-    return silver.conform(bronze.stage_tagged(tagged(spark, sf_dir, copies), ids))
+    return silver.conform(bronze.stage_tagged(tagged(spark, sf_dir, copies, spread=ids), ids))
 
 
+@_once
 def enriched(
     spark: SparkSession, sf_dir: str, ids: bool = False, copies: bool = True
 ) -> DataFrame:
     return silver.enrich(trips(spark, sf_dir, ids, copies), zones(spark, sf_dir))
 
 
+@_once
 def validated(
     spark: SparkSession, sf_dir: str, ids: bool = False, copies: bool = True
 ) -> DataFrame:
     return silver.validate(enriched(spark, sf_dir, ids, copies))
 
 
+@_once
 def validated_without_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated trips for consumers that use zone ids only; needs no lookup at all."""
     return silver.validate(silver.with_measures(trips(spark, sf_dir)))
 
 
+@_once
 def validated_pickups(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     """Validated trips for the daily fact, which uses the pickup zone only."""
     plain = trips(spark, sf_dir, copies=copies)

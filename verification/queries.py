@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,7 +229,7 @@ def cast_round(spark, sf_dir):
 
 @query
 def trip_ids(spark, sf_dir):
-    staged = bronze.stage_tagged(fixture.tagged(spark, sf_dir))
+    staged = bronze.stage_tagged(fixture.tagged(spark, sf_dir, spread=True))
     return staged.select("trip_id", "trip_type", "pickup_datetime", "tip_amount")
 
 
@@ -436,21 +437,26 @@ def incremental_zone(spark, sf_dir):
 
 
 def _report(spark, sf_dir, *kinds):
+    """The checks of the trips, and of the facts, which are written first as several checks read them."""
     zones = fixture.zones(spark, sf_dir)
-    # Several checks read each fact, as they would read the stored tables.
-    daily_fact = workspace.written(spark, fixture.daily(spark, sf_dir), "dq-daily")
-    zone_fact = fixture.zone_fact(spark, sf_dir)
-    if not kinds or {"not_null", "unique", "relationships"} & set(kinds):
-        zone_fact = workspace.written(spark, zone_fact, "dq-zone")
-    return suite.quality_report(
-        fixture.trips(spark, sf_dir, ids=True),
-        zones,
-        gold.dim_zones(zones),
-        daily_fact,
-        zone_fact,
-        kinds or None,
-        without_ids=fixture.trips(spark, sf_dir),
+    facts: dict[str, DataFrame] = {}
+
+    def write(name, frame):
+        facts[name] = workspace.written(spark, frame, f"dq-{name}")
+
+    found: list[DataFrame] = []
+    workspace.together(
+        spark,
+        lambda: found.extend(
+            suite.trip_report(
+                fixture.trips(spark, sf_dir, ids=True), zones, kinds or None, without_ids=fixture.trips(spark, sf_dir)
+            )
+        ),
+        lambda: write("daily", fixture.daily(spark, sf_dir)),
+        lambda: write("zone", fixture.zone_fact(spark, sf_dir)),
     )
+    found += suite.table_report(zones, gold.dim_zones(zones), facts["daily"], facts["zone"], kinds or None)
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
