@@ -23,6 +23,15 @@ def minutes_between(start: Column, end: Column) -> Column:
     return _minute_number(end) - _minute_number(start)
 
 
+def minutes_sql(start: str, end: str) -> str:
+    """``minutes_between`` as text, for the definitions of views."""
+
+    def number(moment: str) -> str:
+        return f"CAST(CAST({moment} - TIMESTAMP_NTZ'0001-01-01 00:00:00' AS INTERVAL MINUTE) AS BIGINT)"
+
+    return f"{number(end)} - {number(start)}"
+
+
 def day_of(moment: Column) -> Column:
     return moment.cast("date")
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from tripmart import workspace
 from tripmart.config import DEFAULT_RULES, Rules
 from tripmart.functions.time import midnight
+from tripmart.operators.lock import writing
 from tripmart.schemas import CONTRACTS, DAILY_KEYS, ZONE_KEYS
 
 
@@ -186,13 +187,15 @@ def load_increment(
 ) -> DataFrame:
     """One run of a fact: first load, or lookback slice plus upsert. Returns the table.
 
-    With ``replace`` recomputed days are replaced as a whole instead of merged by key.
+    With ``replace`` recomputed days are replaced as a whole instead of merged by key. One load at a
+    time: a second one is refused while the first holds the table's lock.
     """
-    recover(spark, table)
-    start = lookback_start(read_fact(spark, table), table.day, rules, max_event_date)
-    rows = build(lookback_slice(validated, start)).select(*table.schema.names)
-    if replace:
-        replace_days(spark, table, rows)
-    else:
-        upsert(spark, table, rows)
+    with writing(spark, table.path):
+        recover(spark, table)
+        start = lookback_start(read_fact(spark, table), table.day, rules, max_event_date)
+        rows = build(lookback_slice(validated, start)).select(*table.schema.names)
+        if replace:
+            replace_days(spark, table, rows)
+        else:
+            upsert(spark, table, rows)
     return read_fact(spark, table)

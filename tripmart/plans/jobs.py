@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import workspace
-from tripmart.config import DEFAULT_RULES, Rules, shuffle_settings
+from tripmart.config import DEFAULT_RULES, SERVICES, Rules, shuffle_settings
 from tripmart.functions.time import day_of
+from tripmart.operators.lock import writing
+from tripmart.operators.proofs import Proofs
+from tripmart.operators.refresh import current_path, read_current, refresh
 from tripmart.operators.upsert import (
     daily_table,
     load_increment,
@@ -24,6 +28,7 @@ from tripmart.operators.upsert import (
 from tripmart.plans import bronze, gold, silver, suite
 from tripmart.schemas import CONTRACTS
 from tripmart.sources import catalog, landing, lookup
+from tripmart.sources.footers import footers, stored_contract
 
 
 # Bytes that numbering shuffles for each byte of the landed, compressed files.
@@ -42,6 +47,9 @@ class Lake:
     def table(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def proofs(self, spark: SparkSession) -> Proofs:
+        return Proofs(spark, f"{self.root}/_proofs.json")
+
 
 def _write_by_day(trips: DataFrame, path: str, since: dt.date | None, dealt: bool = False) -> None:
     """Write trips partitioned by pickup day; with ``since`` earlier days are kept.
@@ -69,12 +77,14 @@ def build_bronze(
 ) -> None:
     """Seed, staged zones and one table of staged trips per landed service."""
     seed = lookup.seed_zones(spark, zones_csv, lake.table("seeds", "taxi_zones"))
-    bronze.stage_zones(seed).write.mode("overwrite").parquet(
-        lake.table("staging", "stg_taxi_zones")
-    )
+    refresh(spark, bronze.stage_zones(seed), lake.table("staging", "stg_taxi_zones"))
     for service, raw in landing.available_services(spark, landing_root).items():
         table = lake.table("staging", f"stg_{service}_trips")
-        _write_by_day(bronze.stage(raw, service, since=since), table, since)
+        staged = bronze.stage(raw, service, since=since)
+        checks = suite.row_checks(f"stg_{service}_trips", "int_trips_unioned", "int_trips_enriched")
+        lake.proofs(spark).write(
+            table, staged, checks, lambda rows, path=table: _write_by_day(rows, path, since), whole=since is None
+        )
 
 
 def read_bronze(spark: SparkSession, lake: Lake, services: list[str]) -> DataFrame:
@@ -91,10 +101,14 @@ def build_silver(
     since: dt.date | None = None,
 ) -> None:
     """Validated trips, written once because both facts read them."""
-    zones = spark.read.parquet(lake.table("staging", "stg_taxi_zones"))
+    zones = read_current(spark, lake.table("staging", "stg_taxi_zones"))
     trips = lookback_slice(read_bronze(spark, lake, services), since).drop("pickup_date")
     valid = silver.validate(silver.enrich(trips, zones), rules)
-    _write_by_day(valid, lake.table("intermediate", "int_trips_validated"), since, dealt=True)
+    table = lake.table("intermediate", "int_trips_validated")
+    checks = suite.row_checks("int_trips_validated", rules=rules)
+    lake.proofs(spark).write(
+        table, valid, checks, lambda rows: _write_by_day(rows, table, since, dealt=True), whole=since is None
+    )
 
 
 def build_gold(
@@ -104,8 +118,8 @@ def build_gold(
     max_event_date: dt.date | None = None,
 ) -> None:
     """Dimension in full; facts in full on the first run, afterwards incrementally."""
-    zones = spark.read.parquet(lake.table("staging", "stg_taxi_zones"))
-    gold.dim_zones(zones, rules).write.mode("overwrite").parquet(lake.table("marts", "dim_zones"))
+    zones = read_current(spark, lake.table("staging", "stg_taxi_zones"))
+    refresh(spark, gold.dim_zones(zones, rules), lake.table("marts", "dim_zones"))
     validated = spark.read.parquet(lake.table("intermediate", "int_trips_validated"))
     for table, build in (
         (daily_table(lake.table("marts", "fct_daily_trips")), gold.daily_trips),
@@ -114,20 +128,57 @@ def build_gold(
         load_increment(spark, table, validated, build, rules, max_event_date=max_event_date)
 
 
+def proven_checks(spark: SparkSession, lake: Lake, services: list[str]) -> set[tuple[str, str, str]]:
+    """Checks that were counted without a failure when the rows now stored were written.
+
+    What holds in the staged table of every service holds in their union, and in the enriched trips,
+    which only repeat these rows. A service that hasn't landed has no row to fail.
+    """
+    proofs = lake.proofs(spark)
+    staged = [proofs.held(lake.table("staging", f"stg_{s}_trips")) for s in services]
+    shared = set.intersection(*staged) if staged else set()
+    held = set().union(*staged)
+    held = {name for name in held if name[0].startswith("stg_")} | shared
+    absent = (f"stg_{s}_trips" for s in SERVICES if s not in services)
+    held |= {check.name for check in suite.row_checks(*absent)}
+    return held | proofs.held(lake.table("intermediate", "int_trips_validated"))
+
+
 def check_quality(
     spark: SparkSession, lake: Lake, services: list[str], rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
+    """All checks on the stored tables; those that were counted as the rows were written take no scan."""
     return suite.quality_report(
         read_bronze(spark, lake, services),
-        spark.read.parquet(lake.table("staging", "stg_taxi_zones")),
-        spark.read.parquet(lake.table("marts", "dim_zones")),
+        read_current(spark, lake.table("staging", "stg_taxi_zones")),
+        read_current(spark, lake.table("marts", "dim_zones")),
         spark.read.parquet(lake.table("marts", "fct_daily_trips")),
         spark.read.parquet(lake.table("marts", "fct_zone_metrics")),
         rules=rules,
         validated=spark.read.parquet(lake.table("intermediate", "int_trips_validated")),
+        proven=proven_checks(spark, lake, services),
     )
 
 
+def check_contracts(spark: SparkSession, lake: Lake, services: list[str]) -> DataFrame:
+    """What the files of every stored table hold against its contract, by their footers.
+
+    A partition's day is in the folder's name and in no file, so it is left out.
+    """
+    tables = {f"stg_{s}_trips": lake.table("staging", f"stg_{s}_trips") for s in services}
+    tables["int_trips_validated"] = lake.table("intermediate", "int_trips_validated")
+    tables |= {name: lake.table("marts", name) for name in ("fct_daily_trips", "fct_zone_metrics")}
+    for layer, name in (("staging", "stg_taxi_zones"), ("marts", "dim_zones")):
+        tables[name] = current_path(spark, lake.table(layer, name))
+    days = {"fct_daily_trips": "trip_date", "fct_zone_metrics": "metric_date"}
+    reports = []
+    for model, path in sorted(tables.items()):
+        expected = {f.name: f.dataType.simpleString() for f in CONTRACTS[model].fields if f.name != days.get(model)}
+        profile = footers(landing.landed_files(spark, path))
+        reports.append(stored_contract(profile, expected).withColumn("model", F.lit(model)))
+    return reduce(DataFrame.unionByName, reports)
+
+
 class QualityError(RuntimeError):
     """Declared checks failed; the message lists them."""
 
@@ -143,28 +194,43 @@ def publish(spark: SparkSession, landing_root: str, lake: Lake, prefix: str = ""
     """Expose sources and tables by layer, so that SQL can name them: ``marts.dim_zones``.
 
     Without a prefix the namespaces are called ``raw``, ``staging``, ``intermediate``,
-    ``marts`` and ``seeds``. The raw zones are a view of the seed, and the union one of the staged
-    tables; enrichment stays a session view (``register_views``).
+    ``marts`` and ``seeds``. The raw zones are a view of the seed, the union one of the staged
+    tables, and the enriched trips one of the union and the staged zones; every session that shares the
+    catalog reads them. Tables that are built in versions show the one current now.
     """
-    catalog.create_namespaces(spark, lake.root, prefix)
-    services = list(landing.available_services(spark, landing_root))
+    services = publish_silver(spark, landing_root, lake, prefix)
     raw_paths = {f"{s}_tripdata": landing.service_glob(landing_root, s) for s in services}
     catalog.register_files(spark, catalog.namespace("raw", prefix), raw_paths)
     tables = {
         "seeds": ["taxi_zones"],
-        "staging": ["stg_taxi_zones", *(f"stg_{s}_trips" for s in services)],
         "intermediate": ["int_trips_validated"],
         "marts": ["dim_zones", "fct_daily_trips", "fct_zone_metrics"],
     }
     for layer, names in tables.items():
-        paths = {name: lake.table(layer, name) for name in names}
-        catalog.register_files(spark, catalog.namespace(layer, prefix), paths)
+        _register(spark, lake, layer, names, prefix)
     raw, seeds = catalog.namespace("raw", prefix), catalog.namespace("seeds", prefix)
     spark.sql(f"CREATE OR REPLACE VIEW {raw}.taxi_zones AS SELECT * FROM {seeds}.taxi_zones")
+
+
+def _register(spark: SparkSession, lake: Lake, layer: str, names: list[str], prefix: str) -> None:
+    paths = {name: current_path(spark, lake.table(layer, name)) for name in names}
+    catalog.register_files(spark, catalog.namespace(layer, prefix), paths)
+
+
+def publish_silver(spark: SparkSession, landing_root: str, lake: Lake, prefix: str = "") -> list[str]:
+    """Expose the staged tables, their union and the enriched trips; the services that there are."""
+    catalog.create_namespaces(spark, lake.root, prefix)
+    services = landing.landed_services(spark, landing_root)
+    _register(spark, lake, "staging", ["stg_taxi_zones", *(f"stg_{s}_trips" for s in services)], prefix)
     staging = catalog.namespace("staging", prefix)
     parts = [_common_columns(spark, f"{staging}.stg_{s}_trips") for s in services]
     view = f"{catalog.namespace('intermediate', prefix)}.int_trips_unioned"
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {' UNION ALL '.join(parts)}")
+    enriched = f"{catalog.namespace('intermediate', prefix)}.int_trips_enriched"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {enriched} AS {silver.enrichment_sql(view, f'{staging}.stg_taxi_zones')}"
+    )
+    return services
 
 
 def _common_columns(spark: SparkSession, table: str) -> str:
@@ -216,7 +282,8 @@ def _lookback(
         zone_table(lake.table("marts", "fct_zone_metrics")),
     )
     for table in facts:
-        recover(spark, table)
+        with writing(spark, table.path):
+            recover(spark, table)
     starts = [lookback_start(read_fact(spark, t), t.day, rules, max_event_date) for t in facts]
     return None if None in starts else min(starts)
 
@@ -232,7 +299,7 @@ def _read_stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _staged_files(spark: SparkSession, lake: Lake) -> DataFrame | None:
     """The files that bronze and silver hold; None without a list."""
-    return _read_stored(spark, lake.table("staging", "_landed_files"))
+    return read_current(spark, lake.table("staging", "_landed_files"))
 
 
 def _unstaged(
@@ -262,8 +329,7 @@ def _note_staged(
     before = _staged_files(spark, lake) if left_out else None
     if before is not None:
         held = held.unionByName(before.where(F.col("service").isin(left_out)))
-    held = workspace.written(spark, held, "landed-files")
-    held.write.mode("overwrite").parquet(lake.table("staging", "_landed_files"))
+    refresh(spark, held, lake.table("staging", "_landed_files"))
 
 
 def run_all(
@@ -276,10 +342,13 @@ def run_all(
     max_event_date: dt.date | None = None,
     stop: bool = True,
     full: bool = False,
+    prefix: str | None = None,
 ) -> DataFrame:
     """Build every layer from the landing and return the quality report.
 
-    The report is written first; with ``stop`` a failed check, other than the known ones, raises.
+    The report is written first; with ``stop`` a failed check, other than the known ones, raises. With
+    ``prefix`` the catalog's views are switched to what was built, before the checks are judged. One run at a
+    time works on a lake.
 
     A later run upserts the days within the lookback into the facts, and rebuilds bronze and
     silver for the days from ``since`` on only, by default those of the lookback and from the first
@@ -288,8 +357,27 @@ def run_all(
     second, so whole days can be replaced on their own. ``full`` rebuilds all days.
     """
     lake = Lake(lake_root.rstrip("/"))
+    with writing(spark, f"{lake.root}/_run"):
+        report = _run_all(spark, landing_root, zones_csv, lake, rules, since, max_event_date, full)
+        if prefix is not None:
+            publish(spark, landing_root, lake, prefix)
+    if stop:
+        require_quality(report)
+    return report
+
+
+def _run_all(
+    spark: SparkSession,
+    landing_root: str,
+    zones_csv: str,
+    lake: Lake,
+    rules: Rules,
+    since: dt.date | None,
+    max_event_date: dt.date | None,
+    full: bool,
+) -> DataFrame:
     _size_shuffles(spark, landing_root)
-    services = list(landing.available_services(spark, landing_root))
+    services = landing.landed_services(spark, landing_root)
     listing = workspace.written(spark, landing.file_listing(spark, landing_root), "listing")
     unstaged = None if full else _unstaged(spark, lake, services, listing)
     firsts = {service: day for service, day in (unstaged or {}).items() if day is not None}
@@ -304,9 +392,4 @@ def run_all(
     build_silver(spark, lake, services, rules, since)
     _note_staged(spark, lake, listing, left_out)
     build_gold(spark, lake, rules, max_event_date)
-    path = lake.table("marts", "quality_report")
-    check_quality(spark, lake, services, rules).write.mode("overwrite").parquet(path)
-    report = spark.read.parquet(path)
-    if stop:
-        require_quality(report)
-    return report
+    return refresh(spark, check_quality(spark, lake, services, rules), lake.table("marts", "quality_report"))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.config import DEFAULT_RULES, Rules
-from tripmart.functions.numeric import speed_mph, tip_percentage
-from tripmart.functions.time import minutes_between
+from tripmart.functions.numeric import speed_mph, speed_sql, tip_percentage, tip_sql
+from tripmart.functions.time import minutes_between, minutes_sql
 from tripmart.operators.rules import trip_rules
 from tripmart.schemas import COMMON_TRIP_COLUMNS, CONTRACTS
 
@@ -97,6 +97,27 @@ def enrich(
     return with_measures(with_zones(trips, zones, roles))
 
 
+def enrichment_sql(trips: str, zones: str) -> str:
+    """``enrich`` as text over two named relations, for views that a catalog keeps.
+
+    A catalog stores a view as SQL; the expressions here state those of ``with_measures`` and ``with_zones``.
+    """
+    minutes = minutes_sql("t.pickup_datetime", "t.dropoff_datetime")
+    roles = {"pickup": "p", "dropoff": "d"}
+    names = (
+        f"{name}.{column} AS {role}_{column}"
+        for role, name in roles.items()
+        for column in ("zone_name", "borough", "service_zone")
+    )
+    return f"""
+        SELECT t.* EXCEPT (minutes), {", ".join(names)}, t.minutes AS trip_duration_minutes,
+               {speed_sql("t.trip_distance", "t.minutes")} AS avg_speed_mph,
+               {tip_sql("t.tip_amount", "t.fare_amount")} AS tip_percentage
+        FROM (SELECT t.*, {minutes} AS minutes FROM {trips} t) t
+        LEFT JOIN {zones} p ON p.zone_id = t.pickup_zone_id
+        LEFT JOIN {zones} d ON d.zone_id = t.dropoff_zone_id"""
+
+
 def validate(trips: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Rows that pass every rule; a rule that is null rejects the row."""
     passed = reduce(lambda a, b: a & b, trip_rules(rules).values())

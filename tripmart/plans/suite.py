@@ -68,6 +68,12 @@ def documented_checks() -> list[Check]:
     ]
 
 
+def row_checks(*models: str, rules: Rules = DEFAULT_RULES) -> list[Check]:
+    """The checks of some models of trips that one row can break."""
+    checks = trip_checks(rules) + documented_checks()
+    return [c for c in checks if c.model in models and c.kind != "unique"]
+
+
 def zone_checks() -> list[Check]:
     checks = []
     for model in ("stg_taxi_zones", "dim_zones"):

@@ -68,7 +68,9 @@ def _profile(path: str) -> tuple:
         with store.open_input_file(name) as file:
             size = file.size()
             found = pq.ParquetFile(file)
-            types = [(f.name, spark_type(f.type)) for f in found.schema_arrow]
+            # The old form of instants, which Spark still writes, says nothing of a zone.
+            instants = {c.path for c in map(found.schema.column, range(len(found.schema))) if c.physical_type == "INT96"}
+            types = [(f.name, "timestamp" if f.name in instants else spark_type(f.type)) for f in found.schema_arrow]
             return path, found.metadata.num_rows, size, types, None
     except Exception as error:  # whatever the store or the format raises
         return path, None, None, [], (str(error).splitlines() or [type(error).__name__])[0]

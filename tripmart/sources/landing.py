@@ -171,6 +171,15 @@ def available_services(
     return present
 
 
+def landed_services(spark: SparkSession, root: str, services: Iterable[str] = SERVICES) -> list[str]:
+    """Services with files, by the listing alone; an error if there is none."""
+    found = {r[0] for r in landed_files(spark, root).select("service").distinct().collect()}
+    present = [s for s in services if s in found]
+    if not present:
+        raise FileNotFoundError(f"no trip files below {root}")
+    return present
+
+
 def tag_services(relations: dict[str, DataFrame]) -> DataFrame:
     """One relation over several raw services, tagged by ``service``."""
     tagged = (frame.withColumn("service", F.lit(name)) for name, frame in relations.items())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmart.operators.refresh import refresh
 from tripmart.schemas import RAW_ZONES
 
 
@@ -13,6 +14,5 @@ def scan_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def seed_zones(spark: SparkSession, csv_path: str, table_path: str) -> DataFrame:
-    """Load the versioned lookup into a table and return the table."""
-    scan_zones(spark, csv_path).write.mode("overwrite").parquet(table_path)
-    return spark.read.schema(RAW_ZONES).parquet(table_path)
+    """Load the versioned lookup into a table, which is replaced as a whole, and return the table."""
+    return refresh(spark, scan_zones(spark, csv_path), table_path)

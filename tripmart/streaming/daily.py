@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tripmart.config import DEFAULT_RULES, FILES_PER_BATCH, Rules
 from tripmart.functions.time import day_of
+from tripmart.operators.lock import writing
 from tripmart.operators.upsert import (
     FactTable,
     lookback_start,
@@ -77,12 +78,13 @@ def refresh_daily(
 
     A batch that is repeated after a failure first completes what it had begun.
     """
-    recover(spark, table)
     if since is not None:
         trips = trips.where(F.col("pickup_date") >= F.lit(since))
     touched = trips.where(F.col("ingest_batch") == batch_id).select("pickup_date").distinct()
     affected = trips.join(touched, "pickup_date", "left_semi")
-    upsert(spark, table, gold.daily_trips(affected).select(*table.schema.names))
+    with writing(spark, table.path):
+        recover(spark, table)
+        upsert(spark, table, gold.daily_trips(affected).select(*table.schema.names))
 
 
 def stream_daily(

@@ -640,6 +640,8 @@ for _kind in ("not_null", "unique", "accepted_values", "accepted_range"):
 ORACLES["dq_unique_key"] = _check_rows(_UNIQUE_KEYS)
 ORACLES["dq_metered_rules"] = _check_rows(_METERED_RULES)
 ORACLES["dq_report"] = _check_rows([*_ALL_CHECKS, _RELATIONSHIPS])
+ORACLES["dq_stored"] = ORACLES["dq_report"]
+ORACLES["enriched_view"] = ORACLES["trips_enriched"]
 ORACLES["dq_relationships"] = _facts(
     """select zone_id, count(*) as fact_rows from zone_fact
        where zone_id not in (select zone_id from dim_zones) group by zone_id"""

@@ -26,7 +26,7 @@ from tripmart.operators.upsert import (
     read_fact,
     zone_table,
 )
-from tripmart.plans import bronze, gold, silver, suite
+from tripmart.plans import bronze, gold, jobs, silver, suite
 from tripmart.schemas import CONTRACTS, RAW
 from tripmart.sources import catalog, landing, lookup
 from tripmart.sources.footers import footers
@@ -277,6 +277,15 @@ def trips_enriched(spark, sf_dir):
     return fixture.enriched(spark, sf_dir, ids=True)
 
 
+@query
+def enriched_view(spark, sf_dir):
+    """Enriched trips as another session reads them from the catalog, over stored bronze tables."""
+    root, lake = fixture.landed(spark, sf_dir), jobs.Lake(workspace.fresh_path(spark, "lake"))
+    jobs.build_bronze(spark, root, _zones_csv(spark, sf_dir), lake)
+    jobs.publish_silver(spark, root, lake, "tripmart_view")
+    return spark.newSession().table("tripmart_view_intermediate.int_trips_enriched")
+
+
 def _passing(rule: str) -> Query:
     def passing(spark, sf_dir):
         trips = silver.with_measures(fixture.trips(spark, sf_dir))
@@ -464,6 +473,13 @@ def dq_report(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
+@query
+def dq_stored(spark, sf_dir):
+    """The checks of a stored lake: those of rows counted as the rows were written, ids by their hashes."""
+    lake = workspace.fresh_path(spark, "lake")
+    return jobs.run_all(spark, fixture.landed(spark, sf_dir), _zones_csv(spark, sf_dir), lake, stop=False)
+
+
 @query
 def dq_not_null(spark, sf_dir):
     return _report(spark, sf_dir, "not_null")
