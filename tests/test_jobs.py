@@ -7,11 +7,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tests.builders import yellow
 from tests.conftest import rows
 from tripmart import workspace
 from tripmart.config import shuffle_settings
 from tripmart.plans import jobs
-from tripmart.sources import landing
+from tripmart.sources import footers, landing
 from verification import fixture
 
 DAILY = ("trip_date", "pickup_borough", "trip_type", "total_trips", "total_fare", "avg_fare")
@@ -193,3 +194,23 @@ def test_a_file_that_goes_leaves_bronze_and_silver(spark, tmp_path, sf_dir):
     jobs.run_all(spark, root, zones, lake.root)
     silver = spark.read.parquet(lake.table("intermediate", "int_trips_validated"))
     assert {r[0] for r in silver.select("trip_type").distinct().collect()} == {"yellow", "fhv"}
+
+
+def test_nothing_is_built_while_files_are_missing(spark, tmp_path, sf_dir):
+    root = fixture.landed(spark, sf_dir)
+    with pytest.raises(jobs.LandingGaps, match="fhv 2024-07, green 2024-07, yellow 2024-07"):
+        jobs.run_all(spark, root, f"{tmp_path}/zones", f"{tmp_path}/lake", months=("2024-01", "2024-07"))
+    assert not (tmp_path / "lake").exists()
+    jobs.require_landed(spark, root, ("2024-01", "2024-02"))
+
+
+def test_first_pickups_come_from_the_footers(spark, tmp_path):
+    day = dt.datetime(2024, 1, 7, 23, 30)
+    for k, frame in enumerate((yellow(spark, {}, {"pickup": day}), yellow(spark, {"pickup": None}), yellow(spark, {}).limit(0))):
+        frame.coalesce(1).write.parquet(f"{tmp_path}/yellow_tripdata_2024-0{k + 1}.parquet")
+    files = landing.landed_files(spark, str(tmp_path))
+    found = footers.least_values(files, "tpep_pickup_datetime")
+    assert sorted((r.path[-23:-8], r.least, r.known) for r in found.collect()) and all(r.known for r in found.collect())
+    assert landing.earliest_pickup(spark, "yellow", files) == day.date()
+    assert landing.earliest_pickup(spark, "yellow", files.where("month = '2024-02'")) is None
+    assert not footers.least_values(files, "nothing").first().known

@@ -207,3 +207,21 @@ def test_a_run_that_goes_on_keeps_its_lookback(spark, tmp_path):
     assert daily._run_start(spark, table, progress, daily.DEFAULT_RULES) is None
     daily._note_run(spark, progress, False, None)
     assert daily._run_start(spark, table, progress, daily.DEFAULT_RULES) == dt.date(2024, 1, 17)
+
+
+def test_open_days_wait_on_disk_between_runs(spark, tmp_path):
+    """A run that goes on finds the counts of the days still open, in files of changes."""
+    source, table, progress = (f"{tmp_path}/{n}" for n in ("events", "closed", "progress"))
+    waves = [[(1, 5), (2, 7)], [(2, 3), (9, 1)], [(9, 4), (20, 1)]]
+    found = []
+    for k, wave in enumerate(waves):
+        moments = [(dt.datetime(2024, 1, day, 10, n), "a") for day, count in wave for n in range(count)]
+        events = spark.createDataFrame(moments, "ts timestamp_ntz, kind string")
+        events.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        counts.run_daily_counts(counts.daily_counts(stream, "ts", ["kind"]), table, progress)
+        found.append({r.event_date.day: r.events for r in spark.read.parquet(table).collect()})
+    assert found[-1] == {1: 5, 2: 10, 9: 5}
+    state = glob.glob(f"{progress}/state/**/*.changelog", recursive=True)
+    assert state and not glob.glob(f"{progress}/state/**/*.delta", recursive=True)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")

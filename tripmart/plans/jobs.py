@@ -190,6 +190,17 @@ def require_quality(report: DataFrame, known: tuple[str, ...] = KNOWN_FAILURES)
         raise QualityError("; ".join(f"{r.model}.{r.column_name} {r.check_name}: {r.failures}" for r in failed))
 
 
+class LandingGaps(RuntimeError):
+    """Expected files haven't landed; the message lists service and month."""
+
+
+def require_landed(spark: SparkSession, landing_root: str, months: tuple[str, ...]) -> None:
+    """Raise if a service lacks a file of one of the months."""
+    gaps = landing.landing_gaps(spark, landing_root, months=months).orderBy("service", "month").collect()
+    if gaps:
+        raise LandingGaps(", ".join(f"{r['service']} {r['month']}" for r in gaps))
+
+
 def publish(spark: SparkSession, landing_root: str, lake: Lake, prefix: str = "") -> None:
     """Expose sources and tables by layer, so that SQL can name them: ``marts.dim_zones``.
 
@@ -317,8 +328,9 @@ def _unstaged(
     if not staged.join(listing, listing.columns, "left_anti").isEmpty():
         return None
     known = staged.where(~F.col("service").isin(missing)) if missing else staged
-    fresh = listing.join(known, listing.columns, "left_anti").groupBy("service").agg(F.collect_list("path").alias("paths"))
-    return {r["service"]: landing.earliest_pickup(spark, r["service"], r["paths"]) for r in fresh.collect()}
+    fresh = workspace.written(spark, listing.join(known, listing.columns, "left_anti"), "unstaged")
+    services_ = [r["service"] for r in fresh.select("service").distinct().collect()]
+    return {s: landing.earliest_pickup(spark, s, fresh.where(F.col("service") == s)) for s in services_}
 
 
 def _note_staged(
@@ -343,12 +355,14 @@ def run_all(
     stop: bool = True,
     full: bool = False,
     prefix: str | None = None,
+    months: tuple[str, ...] = (),
 ) -> DataFrame:
     """Build every layer from the landing and return the quality report.
 
     The report is written first; with ``stop`` a failed check, other than the known ones, raises. With
     ``prefix`` the catalog's views are switched to what was built, before the checks are judged. One run at a
-    time works on a lake.
+    time works on a lake. With ``months`` nothing is built while a service lacks the file of one of them
+    (``LandingGaps`` names these).
 
     A later run upserts the days within the lookback into the facts, and rebuilds bronze and
     silver for the days from ``since`` on only, by default those of the lookback and from the first
@@ -356,6 +370,8 @@ def run_all(
     reaches the scans of the landed files, and trip ids number the copies within one pickup
     second, so whole days can be replaced on their own. ``full`` rebuilds all days.
     """
+    if months:
+        require_landed(spark, landing_root, months)
     lake = Lake(lake_root.rstrip("/"))
     with writing(spark, f"{lake.root}/_run"):
         report = _run_all(spark, landing_root, zones_csv, lake, rules, since, max_event_date, full)

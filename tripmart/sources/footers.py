@@ -96,6 +96,43 @@ def footers(files: DataFrame, n_files: int | None = None) -> DataFrame:
     return dealt.mapInArrow(_profiles, PROFILE)
 
 
+LEAST = "path string, least date, known boolean"
+
+
+def _least(path: str, column: str) -> tuple:
+    try:
+        store, name = opened(path)
+        with store.open_input_file(name) as file:
+            found = pq.ParquetFile(file).metadata
+        names = [found.schema.column(k).path.lower() for k in range(len(found.schema))]
+        place = names.index(column.lower())
+        days = []
+        for k in range(found.num_row_groups):
+            part = found.row_group(k).column(place)
+            statistics = part.statistics
+            if statistics is None or not (statistics.has_min_max or statistics.null_count == part.num_values):
+                return path, None, False
+            if statistics.has_min_max:
+                days.append(statistics.min.date())
+        return path, min(days, default=None), True
+    except Exception:  # unreadable here: whoever reads the file for its values will say why
+        return path, None, False
+
+
+def least_values(files: DataFrame, column: str) -> DataFrame:
+    """The first day of a column of times in each ``path``, from the footers' statistics; not ``known`` without them."""
+    workspace.ship_modules(files.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_least(path, column) for path in batch.column(0).to_pylist()]
+            if rows:
+                columns = zip(zip(*rows, strict=True), (pa.string(), pa.date32(), pa.bool_()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in columns], ["path", "least", "known"])
+
+    return files.select(F.col("path").cast("string").alias("path")).mapInArrow(run, LEAST)
+
+
 def stored_type(types: Column, column: str) -> Column:
     """The stored type of a column, whatever the case of its letters; null if the file lacks it."""
     named = F.map_filter(types, lambda name, _: F.lower(name) == column.lower())

@@ -25,7 +25,7 @@ from tripmart import workspace
 from tripmart.config import EXPECTED_MONTHS, FILES_PER_BATCH, SERVICES
 from tripmart.functions.time import day_of
 from tripmart.schemas import RAW
-from tripmart.sources.footers import footers, stored_type
+from tripmart.sources.footers import LEAST, footers, least_values, stored_type
 
 NO_AGE_LIMIT = "36500d"
 
@@ -237,11 +237,22 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
     return listing.where(F.col("service").isNotNull())
 
 
-def earliest_pickup(spark: SparkSession, service: str, paths: list[str]) -> dt.date | None:
-    """The first pickup day in some files of a service; None without any pickup."""
+def earliest_pickup(spark: SparkSession, service: str, files: DataFrame) -> dt.date | None:
+    """The first pickup day in listed files (``path``) of a service; None without any pickup.
+
+    Taken from the statistics in the files' footers, by tasks; files without them are read for this column.
+    """
     pickup = next(f for f in RAW[service].fields if "pickup_datetime" in f.name)
-    frame = spark.read.schema(StructType([pickup])).parquet(*paths)
-    return frame.agg(F.min(day_of(F.col(pickup.name)))).first()[0]
+    place = workspace.fresh_path(spark, "first-pickups")
+    least_values(files, pickup.name).write.parquet(place)
+    found = spark.read.schema(LEAST).parquet(place)
+    days = [found.agg(F.min(F.col("least"))).first()[0]]
+    unknown = [r["path"] for r in found.where(~F.col("known")).select("path").collect()]
+    if unknown:
+        frame = spark.read.schema(StructType([pickup])).parquet(*unknown)
+        days.append(frame.agg(F.min(day_of(F.col(pickup.name)))).first()[0])
+    workspace.remove(spark, place)
+    return min((d for d in days if d is not None), default=None)
 
 
 def landing_gaps(
