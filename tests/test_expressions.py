@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from fractions import Fraction
 
 import duckdb
 import pytest
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tests.builders import NOON, green, yellow
 from tests.conftest import rows
 from tripmart.functions.numeric import rounded_int, speed_mph
+from tripmart.functions.sums import exact_mean, exact_sum
 from tripmart.functions.text import double_text
 from tripmart.functions.time import day_of, day_of_instant, instant_of, minutes_between
 from tripmart.plans import bronze, gold, silver
@@ -128,3 +130,52 @@ def test_null_gates(spark):
 def test_tip_share_has_no_payment_filter(spark):
     trips = bronze.stage(yellow(spark, {"payment_type": 2, "tip_amount": 2.5}), "yellow")
     assert rows(silver.with_measures(trips), "tip_percentage") == [(25.0,)]
+
+
+# Sums that repeat ---------------------------------------------------------------------------
+
+
+def _values():
+    rnd = random.Random(1)
+    return {
+        "cents": [rnd.randint(-(10**6), 10**6) / 100 for _ in range(2000)],
+        "small": [4e-7] * 1000,
+        "wide": [rnd.uniform(-1, 1) * 10 ** rnd.randint(-9, 12) for _ in range(2000)],
+        "below zero": [-1e-10, 3e-11, 0.0, None],
+        "cancelling": [1e17, 0.1, -1e17, 0.2],
+        "large": [4e18] * 5,
+        "none": [None, None],
+    }
+
+
+def test_sums_are_exact_and_repeat(spark):
+    values = _values()
+    frame = spark.createDataFrame([(k, v) for k, some in values.items() for v in some], "k string, v double")
+    found = []
+    for parts in (1, 3, 8):
+        sums = frame.repartition(parts).groupBy("k").agg(exact_sum(F.col("v")).alias("s"), exact_mean(F.col("v")).alias("m"))
+        found.append({r.k: (r.s, r.m) for r in sums.collect()})
+    assert found[0] == found[1] == found[2]
+    for key, some in values.items():
+        there = [v for v in some if v is not None]
+        total = float(sum(map(Fraction, there))) if there else None
+        assert found[0][key] == (total, total / len(there) if there else None), key
+    assert found[0]["small"][0] == pytest.approx(4e-4, rel=1e-15)
+
+
+def test_values_that_cannot_be_cut_are_added_plainly(spark):
+    some = {"huge": [1e300, 2e300], "finest": [5e-324, 5e-324], "nan": [float("nan"), 1.0], "endless": [float("inf"), 1.0]}
+    frame = spark.createDataFrame([(k, v) for k, values in some.items() for v in values], "k string, v double")
+    found = {r.k: r.s for r in frame.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+    assert found["huge"] == 3e300 and found["finest"] == 1e-323 and found["nan"] != found["nan"] and found["endless"] == float("inf")
+
+
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32) | st.none(), min_size=1, max_size=12))
+@settings(max_examples=15, deadline=None)
+def test_any_floats_within_reach_sum_exactly(spark, values):
+    values = [v if v is None or 1e-6 < abs(v) < 1e15 or v == 0 else 1.5 for v in values]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
+    there = [v for v in values if v is not None]
+    total = frame.agg(exact_sum(F.col("v"))).first()[0]
+    # The last step may round twice.
+    assert total == (pytest.approx(float(sum(map(Fraction, there))), rel=2.3e-16) if there else None)

@@ -16,6 +16,7 @@ from tripmart.config import (
     VENDORS,
     Rules,
 )
+from tripmart.functions.sums import exact_mean, exact_sum
 from tripmart.functions.time import day_of
 from tripmart.schemas import DAILY_KEYS, ZONE_KEYS
 
@@ -40,7 +41,7 @@ def dim_zones(zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 def _total(column: str) -> Column:
     """Sum with nulls as zero, so a group without values sums to 0."""
-    return F.sum(F.coalesce(F.col(column), F.lit(0.0)))
+    return F.coalesce(exact_sum(F.col(column)), F.lit(0.0))
 
 
 def daily_trips(validated: DataFrame) -> DataFrame:
@@ -53,11 +54,11 @@ def daily_trips(validated: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("total_trips"),
             F.sum(F.coalesce("passenger_count", F.lit(0))).alias("total_passengers"),
             _total("trip_distance").alias("total_distance_miles"),
-            F.avg(F.col("trip_distance")).alias("avg_distance_miles"),
+            exact_mean(F.col("trip_distance")).alias("avg_distance_miles"),
             _total("fare_amount").alias("total_fare"),
-            F.avg(F.col("fare_amount")).alias("avg_fare"),
+            exact_mean(F.col("fare_amount")).alias("avg_fare"),
             _total("tip_amount").alias("total_tips"),
-            F.avg(F.col("tip_percentage")).alias("avg_tip_percentage"),
+            exact_mean(F.col("tip_percentage")).alias("avg_tip_percentage"),
             F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
             F.current_timestamp().alias("updated_at"),
         )
@@ -75,8 +76,8 @@ def pickup_metrics(validated: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("pickups"),
             _total("fare_amount").alias("total_fare_from_zone"),
-            F.avg(F.col("fare_amount")).alias("avg_fare_from_zone"),
-            F.avg(F.col("trip_distance")).alias("avg_distance_from_zone"),
+            exact_mean(F.col("fare_amount")).alias("avg_fare_from_zone"),
+            exact_mean(F.col("trip_distance")).alias("avg_distance_from_zone"),
             F.avg("trip_duration_minutes").alias("avg_duration_from_zone"),
         )
     )
@@ -136,9 +137,9 @@ def zone_metrics(validated: DataFrame) -> DataFrame:
     return visits.groupBy(*ZONE_KEYS).agg(
         F.count_if("starts").alias("pickups"),
         F.count_if(~F.col("starts")).alias("dropoffs"),
-        F.sum(fare).alias("total_fare_from_zone"),
-        F.avg(started("fare_amount")).alias("avg_fare_from_zone"),
-        F.avg(started("trip_distance")).alias("avg_distance_from_zone"),
+        exact_sum(fare).alias("total_fare_from_zone"),
+        exact_mean(started("fare_amount")).alias("avg_fare_from_zone"),
+        exact_mean(started("trip_distance")).alias("avg_distance_from_zone"),
         F.avg(started("trip_duration_minutes")).alias("avg_duration_from_zone"),
         F.current_timestamp().alias("updated_at"),
     )
@@ -181,12 +182,12 @@ def daily_trips_simple(enriched: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.sum("passenger_count").alias("total_passengers"),
-        F.sum(F.col("trip_distance")).alias("total_distance_miles"),
-        F.avg(F.col("trip_distance")).alias("avg_distance_miles"),
-        F.sum(F.col("fare_amount")).alias("total_fares"),
-        F.avg(F.col("fare_amount")).alias("avg_fare"),
-        F.sum(F.col("tip_amount")).alias("total_tips"),
-        F.avg(share).alias("avg_tip_percentage"),
+        exact_sum(F.col("trip_distance")).alias("total_distance_miles"),
+        exact_mean(F.col("trip_distance")).alias("avg_distance_miles"),
+        exact_sum(F.col("fare_amount")).alias("total_fares"),
+        exact_mean(F.col("fare_amount")).alias("avg_fare"),
+        exact_sum(F.col("tip_amount")).alias("total_tips"),
+        exact_mean(share).alias("avg_tip_percentage"),
         F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
     )
 

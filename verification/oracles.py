@@ -2,8 +2,8 @@
 
 Every statement is self-contained: the trip records are derived from ``lineitem`` and
 ``nation`` by the rules of ``verification/fixture.py`` and the models are stated again as
-common table expressions. Sums and averages of doubles are plain; only their comparison is in
-steps, because the order in which doubles are added is not defined on either engine.
+common table expressions. Sums and averages of doubles are exact and turned into doubles by the same
+last steps on both engines, so they are compared to the last digit.
 """
 
 from __future__ import annotations
@@ -210,45 +210,70 @@ _RULES = {
 _VALID = " and ".join(f"({rule})" for rule in _RULES.values())
 
 
-def _steps(value: str) -> str:
-    """The order of addition decides the last digits of a double: whole steps of 0.0001 are compared.
+_STEP = "2147483648"
+_FINEST = f"{1 << 93}::hugeint"
 
-    Steps end at 63 hundredths, where no short decimal fraction lies.
-    """
-    return f"floor(({value}) * 10000.0::double + 0.37::double) / 10000.0::double"
 
+def _total(column: str) -> str:
+    """Sum of doubles as a whole number of units of 2**-93, which the values of the test tables are whole numbers of."""
+    x = f"({column})::double"
+    rest = f"(({x}) - trunc({x})) * {1 << 62}::double"
+    low = f"trunc(({rest} - trunc({rest})) * {_STEP}::double)::bigint"
+    return (
+        f"sum(trunc({x})::bigint)::hugeint * {_FINEST} + sum(trunc({rest})::bigint)::hugeint * {_STEP}::hugeint"
+        f" + sum({low})::hugeint"
+    )
+
+
+def _double(total: str) -> str:
+    """The double of such a total, from its magnitude's digits to the base of 2**31."""
+    size, below = f"abs({total})", f"{_STEP}::double"
+    first = f"({size} // {_FINEST})::double"
+    digits = [f"(({size} // {1 << bits}::hugeint) % {_STEP}::hugeint)::double" for bits in (62, 31, 0)]
+    value = f"({digits[0]} + ({digits[1]} + {digits[2]} / {below}) / {below}) / {below}"
+    return f"({first} + {value}) * case when {total} < 0 then -1.0::double else 1.0::double end"
 
-def _sum(column: str) -> str:
-    return _steps(f"sum(({column})::double)")
 
+def _sum(name: str) -> str:
+    return f"{_double(f'sum_of_{name}')}"
 
-def _avg(column: str) -> str:
-    return _steps(f"avg(({column})::double)")
+
+def _avg(name: str) -> str:
+    return f"({_double(f'sum_of_{name}')}) / nullif(n_of_{name}, 0)::double"
+
+
+def _totals(**columns: str) -> str:
+    """Totals and numbers of values, to be turned into sums and averages by an outer query."""
+    return ", ".join(
+        f"{_total(column)} as sum_of_{name}, count({column}) as n_of_{name}" for name, column in columns.items()
+    )
 
 
-_MINUTES = _avg("trip_duration_minutes")
+_MINUTES = "sum(trip_duration_minutes)::double / count(trip_duration_minutes)::double"
 
 
 def _daily(source: str) -> str:
     return f"""
-    select pickup_datetime::date as trip_date, pickup_borough, trip_type,
-           count(*) as total_trips, sum(coalesce(passenger_count, 0))::bigint as total_passengers,
-           {_sum('coalesce(trip_distance, 0)')} as total_distance_miles,
-           {_avg('trip_distance')} as avg_distance_miles,
-           {_sum('coalesce(fare_amount, 0)')} as total_fare, {_avg('fare_amount')} as avg_fare,
-           {_sum('coalesce(tip_amount, 0)')} as total_tips,
-           {_avg('tip_percentage')} as avg_tip_percentage, {_MINUTES} as avg_duration_minutes
-    from {source} where pickup_borough is not null group by all"""
+    select trip_date, pickup_borough, trip_type, total_trips, total_passengers,
+           coalesce({_sum('miles')}, 0) as total_distance_miles, {_avg('miles')} as avg_distance_miles,
+           coalesce({_sum('fare')}, 0) as total_fare, {_avg('fare')} as avg_fare,
+           coalesce({_sum('tips')}, 0) as total_tips, {_avg('tip_share')} as avg_tip_percentage,
+           avg_duration_minutes
+    from (select pickup_datetime::date as trip_date, pickup_borough, trip_type,
+                 count(*) as total_trips, sum(coalesce(passenger_count, 0))::bigint as total_passengers,
+                 {_totals(miles='trip_distance', fare='fare_amount', tips='tip_amount', tip_share='tip_percentage')},
+                 {_MINUTES} as avg_duration_minutes
+          from {source} where pickup_borough is not null group by all)"""
 
 
 def _pickups(source: str) -> str:
     return f"""
-    select pickup_zone_id as zone_id, pickup_datetime::date as metric_date, trip_type,
-           count(*) as pickups, {_sum('coalesce(fare_amount, 0)')} as total_fare_from_zone,
-           {_avg('fare_amount')} as avg_fare_from_zone,
-           {_avg('trip_distance')} as avg_distance_from_zone,
-           {_MINUTES} as avg_duration_from_zone
-    from {source} where pickup_zone_id is not null group by all"""
+    select zone_id, metric_date, trip_type, pickups, coalesce({_sum('fare')}, 0) as total_fare_from_zone,
+           {_avg('fare')} as avg_fare_from_zone, {_avg('miles')} as avg_distance_from_zone, avg_duration_from_zone
+    from (select pickup_zone_id as zone_id, pickup_datetime::date as metric_date, trip_type,
+                 count(*) as pickups, {_totals(fare='fare_amount', miles='trip_distance')},
+                 {_MINUTES} as avg_duration_from_zone
+          from {source} where pickup_zone_id is not null group by all)"""
 
 
 def _dropoffs(source: str) -> str:
@@ -492,15 +517,16 @@ simple as (
 ORACLES["spec_enriched"] = _from(_SIMPLE, "select * from simple")
 ORACLES["spec_daily"] = _from(
     _SIMPLE,
-    f"""select pickup_datetime::date as trip_date, pickup_borough, count(*) as total_trips,
-               sum(passenger_count)::bigint as total_passengers,
-               {_sum('trip_distance')} as total_distance_miles,
-               {_avg('trip_distance')} as avg_distance_miles,
-               {_sum('fare_amount')} as total_fares, {_avg('fare_amount')} as avg_fare,
-               {_sum('tip_amount')} as total_tips,
-               {_avg('tip_amount / nullif(fare_amount, 0)')} as avg_tip_percentage,
-               {_MINUTES} as avg_duration_minutes
-        from simple group by all""",
+    f"""select trip_date, pickup_borough, total_trips, total_passengers,
+               {_sum('miles')} as total_distance_miles, {_avg('miles')} as avg_distance_miles,
+               {_sum('fare')} as total_fares, {_avg('fare')} as avg_fare, {_sum('tips')} as total_tips,
+               {_avg('share')} as avg_tip_percentage, avg_duration_minutes
+        from (select pickup_datetime::date as trip_date, pickup_borough, count(*) as total_trips,
+                     sum(passenger_count)::bigint as total_passengers,
+                     {_totals(miles='trip_distance', fare='fare_amount', tips='tip_amount',
+                              share='tip_amount / nullif(fare_amount, 0)')},
+                     {_MINUTES} as avg_duration_minutes
+              from simple group by all)""",
 )
 
 

@@ -39,14 +39,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _in_steps(frame: DataFrame) -> DataFrame:
-    """Sums and averages in whole steps of 0.0001, as the SQL counterparts compare them."""
-
-    def step(name):
-        return F.floor(F.col(name) * F.lit(10000.0) + F.lit(0.37)).cast("double") / F.lit(10000.0)
-
-    return frame.withColumns({name: step(name) for name, kind in frame.dtypes if kind == "double"})
-
 # Values that differ from run to run are left out of every comparison.
 _VOLATILE = ("loaded_at", "updated_at")
 
@@ -70,14 +62,6 @@ def query(function: Query) -> Query:
     return function
 
 
-def fact_query(function: Query) -> Query:
-    """A query whose double columns are sums and averages."""
-    query(function)
-    exact = QUERIES[function.__name__]
-    QUERIES[function.__name__] = lambda spark, sf_dir: _in_steps(exact(spark, sf_dir))
-    return function
-
-
 # Sources ---------------------------------------------------------------------------------
 
 
@@ -344,12 +328,12 @@ def decode_codes(spark, sf_dir):
     return decoded.groupBy(*codes, *labels).agg(F.count(F.lit(1)).alias("trips"))
 
 
-@fact_query
+@query
 def daily_trips(spark, sf_dir):
     return fixture.daily(spark, sf_dir)
 
 
-@fact_query
+@query
 def pickup_metrics(spark, sf_dir):
     return gold.pickup_metrics(fixture.validated_without_zones(spark, sf_dir))
 
@@ -359,17 +343,17 @@ def dropoff_metrics(spark, sf_dir):
     return gold.dropoff_metrics(fixture.validated_without_zones(spark, sf_dir))
 
 
-@fact_query
+@query
 def zone_metrics(spark, sf_dir):
     return fixture.zone_fact(spark, sf_dir)
 
 
-@fact_query
+@query
 def zone_metrics_join(spark, sf_dir):
     return gold.zone_metrics_joined(fixture.validated_without_zones(spark, sf_dir))
 
 
-@fact_query
+@query
 def daily_summary(spark, sf_dir):
     return gold.daily_summary(fixture.daily(spark, sf_dir), dt.date(2024, 2, 15))
 
@@ -380,7 +364,7 @@ def busiest_zones(spark, sf_dir):
     return gold.busiest_zones(fixture.zone_fact(spark, sf_dir), dimension)
 
 
-@fact_query
+@query
 def spec_daily(spark, sf_dir):
     return gold.daily_trips_simple(spec_enriched(spark, sf_dir))
 
@@ -420,17 +404,17 @@ def _daily_loads(spark, sf_dir, replace):
     )
 
 
-@fact_query
+@query
 def incremental_daily(spark, sf_dir):
     return _daily_loads(spark, sf_dir, replace=False)
 
 
-@fact_query
+@query
 def incremental_daily_replace(spark, sf_dir):
     return _daily_loads(spark, sf_dir, replace=True)
 
 
-@fact_query
+@query
 def incremental_zone(spark, sf_dir):
     first = silver.validate(silver.with_measures(fixture.trips(spark, sf_dir, copies=False)))
     return _two_loads(
@@ -576,7 +560,7 @@ def ingest_new_files(spark, sf_dir):
     return spark.read.parquet(table)
 
 
-@fact_query
+@query
 def stream_daily(spark, sf_dir):
     root, waves = _land_in_two_waves(spark, sf_dir)
     table = daily_table(workspace.fresh_path(spark, "stream-daily"))
