@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +21,10 @@ Name = tuple[str, str, str]
 
 def fingerprint(spark: SparkSession, path: str) -> str | None:
     """What the files of a table are, from their listing; None without files."""
+    if not storage.exists(spark, path):
+        return None
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        files = reader.option("pathGlobFilter", "*.parquet").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    files = reader.option("pathGlobFilter", "*.parquet").load(path)
     each = F.xxhash64("path", "length", "modificationTime")
     found = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(each).alias("x"), F.sum("length").alias("bytes")).first()
     return f"{found['n']} {found['bytes']} {found['x']}" if found["n"] else None

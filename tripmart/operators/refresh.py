@@ -29,11 +29,13 @@ def current_path(spark: SparkSession, path: str) -> str:
 def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The current version; None before the first build."""
     place = current_path(spark, path)
+    if not storage.exists(spark, place):
+        return None
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(place)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 

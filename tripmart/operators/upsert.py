@@ -10,12 +10,11 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmart import workspace
+from tripmart import storage, workspace
 from tripmart.config import DEFAULT_RULES, Rules
 from tripmart.functions.time import midnight
 from tripmart.operators.lock import writing
@@ -40,12 +39,9 @@ def zone_table(path: str) -> FactTable:
 
 def read_fact(spark: SparkSession, table: FactTable) -> DataFrame | None:
     """The fact, or None before its first load."""
-    try:
-        stored = spark.read.schema(table.schema).parquet(table.path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not storage.exists(spark, table.path):
+        return None
+    stored = spark.read.schema(table.schema).parquet(table.path)
     return stored.select(*table.schema.names)
 
 
@@ -129,22 +125,15 @@ def recover(spark: SparkSession, table: FactTable, drop_missing: bool = False) -
     are gone, ``StagedDaysMissing`` names them; with ``drop_missing`` the note of them is
     dropped instead, and a full load should follow.
     """
-    try:
-        note = spark.read.schema("staged string").parquet(f"{table.path}_pending").first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return
-        raise
+    if not storage.exists(spark, f"{table.path}_pending"):
+        return
+    note = spark.read.schema("staged string").parquet(f"{table.path}_pending").first()
     staged = note and note["staged"]
     if not staged:
         return
-    try:
-        spark.read.schema(table.schema).parquet(staged)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not storage.exists(spark, staged):
         if not drop_missing:
-            raise StagedDaysMissing(f"{staged}, noted beside {table.path}") from error
+            raise StagedDaysMissing(f"{staged}, noted beside {table.path}")
         _note_pending(spark, table, None)
         return
     _publish(spark, table, staged)

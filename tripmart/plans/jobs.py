@@ -6,11 +6,10 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart import workspace
+from tripmart import storage, workspace
 from tripmart.config import DEFAULT_RULES, SERVICES, Rules, shuffle_settings
 from tripmart.functions.time import day_of
 from tripmart.operators.lock import writing
@@ -299,15 +298,6 @@ def _lookback(
     return None if None in starts else min(starts)
 
 
-def _read_stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def _staged_files(spark: SparkSession, lake: Lake) -> DataFrame | None:
     """The files that bronze and silver hold; None without a list."""
     return read_current(spark, lake.table("staging", "_landed_files"))
@@ -324,7 +314,7 @@ def _unstaged(
     staged = _staged_files(spark, lake)
     if staged is None:
         return None
-    missing = [s for s in services if _read_stored(spark, lake.table("staging", f"stg_{s}_trips")) is None]
+    missing = [s for s in services if not storage.exists(spark, lake.table("staging", f"stg_{s}_trips"))]
     if not staged.join(listing, listing.columns, "left_anti").isEmpty():
         return None
     known = staged.where(~F.col("service").isin(missing)) if missing else staged

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripmart import storage
 from tripmart.config import DEFAULT_RULES, FILES_PER_BATCH, Rules
 from tripmart.functions.time import day_of
 from tripmart.operators.lock import writing
@@ -52,12 +52,9 @@ def _run_start(
     lookback from before the run. A run that goes on after a failure keeps to that of its begin, which is
     noted beside the checkpoint until the run has ended.
     """
-    try:
+    note = None
+    if storage.exists(spark, f"{checkpoint}_run"):
         note = spark.read.schema(_RUN).parquet(f"{checkpoint}_run").first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        note = None
     if note is not None and note["running"]:
         return note["since"]
     recover(spark, table)
