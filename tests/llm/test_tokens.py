@@ -17,21 +17,21 @@ from tripmart.llm.tokens import Encoder, file_of
 BYTE, WORD = file_of("byte_bpe_50k.json"), file_of("word_bpe_49k.json")
 ODD = [
     "", " ", "  ", "a  b", " a", "a ", "a \nb", "a\n b", "a\n\n b \n", "\t x", "don't 's 'll  ''s x's", "x  y   z",
-    "<|endoftext|> a<|startoftext|> b", "\x1c a \x1d b", "é ́a é x ́", "İstanbul ΑΣ ΣΑΣ. I", "123 4 ٣ ½ ²",
+    "<|endoftext|> a<|startoftext|> b", "end <|endoftext|> next", "<|EndOfText|> x", "<|endoftext", "a  <|startoftext|>  b", "\x1c a \x1d b", "é ́a é x ́", "İstanbul ΑΣ ΣΑΣ. I", "123 4 ٣ ½ ²",
     "᠎ a ᠎b", "日本 語", "​ x ﻿y", "a\r\n b \x85 c", "Straße! naïve, ﬁne; ª º µ", "I ii", None,
 ]
 
 
 def library(path, texts):
+    # As the file stands: no flag is set, added tokens in texts are found.
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [x.ids for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_ids_are_the_library_s(path, monkeypatch):
     rnd = random.Random(1)
-    letters = [*" \n\t ab'sé1!. İ,*²ßÉ", "'s", "'ll", "  ", "the", "The"]
+    letters = [*" \n\t ab'sé1!. İ,*²ßÉ", "'s", "'ll", "  ", "the", "The", "<|endoftext|>", "<|StartOfText|>", "<|"]
     texts = ODD + ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 25))) for _ in range(3000)]
     texts += [t for _, t in corpus(1)]
     monkeypatch.setattr("tripmart.llm.tokens.KEPT_PIECES", 500)

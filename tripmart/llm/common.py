@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.workspace import ship_modules
+
 # The white space between words, as characters.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
@@ -32,9 +31,6 @@ _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
-_SHIPPED: set[str] = set()
-
-
 #: Rows go to Python in batches of at most so many bytes, however long the texts are.
 BATCH_BYTES = "8m"
 
@@ -42,16 +38,7 @@ BATCH_BYTES = "8m"
 def prepare(spark: SparkSession) -> None:
     """Send this package's modules to the Python workers, once per application, and bound their batches."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    path = Path(tempfile.mkdtemp(prefix="modules-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(path, "w") as archive:
-        for module in sorted(package.rglob("*.py")):
-            archive.write(module, module.relative_to(package.parent))
-    context.addPyFile(str(path))
-    _SHIPPED.add(context.applicationId)
+    ship_modules(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

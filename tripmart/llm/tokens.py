@@ -52,14 +52,16 @@ class Encoder:
 
     A text is cut before each single space and the ids of the pieces are joined, which gives the
     library's ids for the whole text; most pieces repeat, so few are encoded anew. Texts with
-    longer runs of white space (where a cut could matter) are encoded whole.
+    longer runs of white space (where a cut could matter), and texts that hold an added token of the
+    vocabulary, which the library cuts out first, are encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
+        # Some are looked for in the text as it is, some in the normalised one.
+        self.added = tuple({form for x in config.get("added_tokens", []) for form in (x["content"], x["content"].lower())})
         self.by_piece = _cuts_at_spaces(config)
         normalizers = (config.get("normalizer") or {}).get("normalizers", [])
         self.folds = any(x.get("type") == "Lowercase" for x in normalizers)
@@ -165,13 +167,17 @@ class Encoder:
             out += self._some(texts[at : at + 256])
         return out
 
+    def _holds_added(self, text: str) -> bool:
+        return any(x in text for x in self.added) or (self.folds and any(x in text.lower() for x in self.added))
+
     def _some(self, texts: list[str]) -> list[bytes]:
+        apart = [self._holds_added(t) for t in texts]
         if self.drops_blanks:
-            cut = [["", *self._folded(t).split()] for t in texts]
-            heads = [b"" if _SEPARATORS.isdisjoint(t) else False for t in texts]
+            cut = [["", *self._folded(t).split()] if not a else [""] for t, a in zip(texts, apart, strict=True)]
+            heads = [b"" if not a and _SEPARATORS.isdisjoint(t) else False for t, a in zip(texts, apart, strict=True)]
         else:
-            cut = [t.split(" ") for t in texts]
-            heads = self._whole([p[0] for p in cut])
+            cut = [t.split(" ") if not a else [""] for t, a in zip(texts, apart, strict=True)]
+            heads = [False if a else h for h, a in zip(self._whole([p[0] for p in cut]), apart, strict=True)]
         found = [[h, *map(self.pieces.get, p[1:])] for h, p in zip(heads, cut, strict=True)]
         gaps = [(x, p, [j for j, y in enumerate(x) if y is None]) for x, p in zip(found, cut, strict=True) if None in x]
         if gaps:
