@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tests.builders import NOON, green, yellow
 from tests.conftest import rows
 from tripmart.functions.numeric import rounded_int, speed_mph
-from tripmart.functions.sums import exact_mean, exact_sum
+from tripmart.functions.sums import exact_totals, mean_of, sum_of
 from tripmart.functions.text import double_text
 from tripmart.functions.time import day_of, day_of_instant, instant_of, minutes_between
 from tripmart.plans import bronze, gold, silver
@@ -153,8 +153,8 @@ def test_sums_are_exact_and_repeat(spark):
     frame = spark.createDataFrame([(k, v) for k, some in values.items() for v in some], "k string, v double")
     found = []
     for parts in (1, 3, 8):
-        sums = frame.repartition(parts).groupBy("k").agg(exact_sum(F.col("v")).alias("s"), exact_mean(F.col("v")).alias("m"))
-        found.append({r.k: (r.s, r.m) for r in sums.collect()})
+        totals = frame.repartition(parts).groupBy("k").agg(exact_totals("v").alias("t"))
+        found.append({r.k: (r.s, r.m) for r in totals.select("k", sum_of("t").alias("s"), mean_of("t").alias("m")).collect()})
     assert found[0] == found[1] == found[2]
     for key, some in values.items():
         there = [v for v in some if v is not None]
@@ -166,7 +166,8 @@ def test_sums_are_exact_and_repeat(spark):
 def test_values_that_cannot_be_cut_are_added_plainly(spark):
     some = {"huge": [1e300, 2e300], "finest": [5e-324, 5e-324], "nan": [float("nan"), 1.0], "endless": [float("inf"), 1.0]}
     frame = spark.createDataFrame([(k, v) for k, values in some.items() for v in values], "k string, v double")
-    found = {r.k: r.s for r in frame.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+    totals = frame.groupBy("k").agg(exact_totals("v").alias("t"))
+    found = {r.k: r.s for r in totals.select("k", sum_of("t").alias("s")).collect()}
     assert found["huge"] == 3e300 and found["finest"] == 1e-323 and found["nan"] != found["nan"] and found["endless"] == float("inf")
 
 
@@ -176,6 +177,6 @@ def test_any_floats_within_reach_sum_exactly(spark, values):
     values = [v if v is None or 1e-6 < abs(v) < 1e15 or v == 0 else 1.5 for v in values]
     frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
     there = [v for v in values if v is not None]
-    total = frame.agg(exact_sum(F.col("v"))).first()[0]
+    total = frame.agg(exact_totals("v").alias("t")).select(sum_of("t")).first()[0]
     # The last step may round twice.
     assert total == (pytest.approx(float(sum(map(Fraction, there))), rel=2.3e-16) if there else None)

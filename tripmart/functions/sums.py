@@ -13,60 +13,54 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BITS = 31
-_UNIT = float(1 << _BITS)
-_LIMBS = 4
-_LARGEST = float(1 << 62)
+_UNIT = f"{1 << 31}D"
+_UNITS = f"{1 << 62}D"
+_MASK = (1 << 31) - 1
 
 
-def _cut(value: Column) -> tuple[list[Column], Column]:
-    """The four integers of a value, and whether they are all of it."""
-    small = F.when(F.abs(value) < F.lit(_LARGEST), value)
-    whole = small.cast("bigint")
-    rest = (small - whole.cast("double")) * F.lit(_UNIT * _UNIT)
-    units = rest.cast("bigint")
-    low = (rest - units.cast("double")) * F.lit(_UNIT)
-    mask = F.lit((1 << _BITS) - 1).cast("bigint")
-    limbs = [whole, F.shiftright(units, _BITS), units.bitwiseAND(mask), low.cast("bigint")]
-    return limbs, F.when(value.isNotNull(), F.coalesce(low == F.rint(low), F.lit(False)))
+def exact_totals(column: str) -> Column:
+    """Aggregate of a double column for ``sum_of`` and ``mean_of``: totals of the four integers, whether they are all of
+    the values, the plain sum and the number of values. Nulls are left out."""
+    small = f"if(abs({column}) < {_UNITS}, {column}, null)"
+    whole = f"cast({small} as bigint)"
+    rest = f"({small} - cast({whole} as double)) * {_UNITS}"
+    units = f"cast({rest} as bigint)"
+    low = f"({rest} - cast({units} as double)) * {_UNIT}"
+    fits = f"if({column} is not null, coalesce({low} = rint({low}), false), null)"
+    return F.expr(
+        f"""named_struct(
+            'whole', try_sum(if({fits}, {whole}, null)), 'high', sum(if({fits}, shiftright({units}, 31), null)),
+            'mid', sum(if({fits}, {units} & {_MASK}L, null)), 'low', sum(if({fits}, cast({low} as bigint), null)),
+            'fits', every({fits}), 'plain', sum({column}), 'n', count({column}))"""
+    )
 
 
-def _carried(totals: list[Column], sign: Column) -> list[Column]:
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _carried(whole: str, high: str, mid: str, low: str) -> str:
     """The same number with every integer but the first from 0 to 2**31."""
-    out: list[Column] = []
-    carry = F.lit(0).cast("bigint")
-    for total in reversed(totals):
-        whole = total * sign + carry
-        out.append(whole.bitwiseAND(F.lit((1 << _BITS) - 1).cast("bigint")))
-        carry = F.shiftright(whole, _BITS)
-    return [whole, *reversed(out[:-1])]
-
-
-def _joined(totals: list[Column]) -> Column:
-    """The double of four totals; of its magnitude, so that nothing cancels."""
-    one = F.lit(1).cast("bigint")
-    sign = F.when(_carried(totals, one)[0] < 0, -one).otherwise(one)
-    first, *rest = _carried(totals, sign)
-    below = F.lit(0.0)
-    for limb in reversed(rest):
-        below = (limb.cast("double") + below) / F.lit(_UNIT)
-    return (first.cast("double") + below) * sign.cast("double")
-
-
-def exact_sum(value: Column) -> Column:
-    """Sum of a double column, nulls left out; null for a group without values."""
-    limbs, fits = _cut(value)
-    totals = [
-        (F.try_sum if k == 0 else F.sum)(F.when(fits, limb)) for k, limb in enumerate(limbs)
-    ]
-    # The last step is the same code for every sum; in a lambda it is generated once, apart from the loop over rows.
-    exact = F.transform(
-        F.array(F.struct(*(t.alias(f"l{k}") for k, t in enumerate(totals)))),
-        lambda all_: _joined([all_[f"l{k}"] for k in range(_LIMBS)]),
-    )[0]
-    return F.when(F.every(fits) & totals[0].isNotNull(), F.coalesce(exact, F.sum(value))).otherwise(F.sum(value))
-
-
-def exact_mean(value: Column) -> Column:
-    """Mean of a double column, nulls left out; null for a group without values."""
-    return F.try_divide(exact_sum(value), F.count(value).cast("double"))
+    digits = f"""named_struct('whole', {whole} + shiftright(h, 31), 'high', h & {_MASK}L, 'mid', m & {_MASK}L,
+                              'low', {low} & {_MASK}L)"""
+    return _let("m", f"{mid} + shiftright({low}, 31)", _let("h", f"{high} + shiftright(m, 31)", digits))
+
+
+def _sum(totals: str) -> str:
+    parts = [f"{totals}.{name}" for name in ("whole", "high", "mid", "low")]
+    # The double is made of the magnitude's digits, so that nothing cancels.
+    size = f"if(p.whole < 0, {_carried(*(f'-{part}' for part in parts))}, p)"
+    below = f"(cast(d.high as double) + (cast(d.mid as double) + cast(d.low as double) / {_UNIT}) / {_UNIT}) / {_UNIT}"
+    value = f"(cast(d.whole as double) + {below}) * if(p.whole < 0, -1D, 1D)"
+    exact = _let("p", _carried(*parts), _let("d", size, value))
+    return f"if({totals}.fits and {totals}.whole is not null, {exact}, {totals}.plain)"
+
+
+def sum_of(totals: str) -> Column:
+    """Sum of the values of a column of totals; null without values."""
+    return F.expr(_sum(totals))
+
+
+def mean_of(totals: str) -> Column:
+    """Mean of the values of a column of totals; null without values."""
+    return F.expr(f"try_divide({_sum(totals)}, cast({totals}.n as double))")

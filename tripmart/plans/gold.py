@@ -16,7 +16,7 @@ from tripmart.config import (
     VENDORS,
     Rules,
 )
-from tripmart.functions.sums import exact_mean, exact_sum
+from tripmart.functions.sums import exact_totals, mean_of, sum_of
 from tripmart.functions.time import day_of
 from tripmart.schemas import DAILY_KEYS, ZONE_KEYS
 
@@ -39,34 +39,44 @@ def dim_zones(zones: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
-def _total(column: str) -> Column:
+def _total(totals: str) -> Column:
     """Sum with nulls as zero, so a group without values sums to 0."""
-    return F.coalesce(exact_sum(F.col(column)), F.lit(0.0))
+    return F.coalesce(sum_of(totals), F.lit(0.0))
 
 
 def daily_trips(validated: DataFrame) -> DataFrame:
     """Trips, passengers, distance, fares, tips and duration per day, borough and service."""
-    return (
+    totals = (
         validated.where(F.col("pickup_borough").isNotNull())
         .withColumn("trip_date", day_of(F.col("pickup_datetime")))
         .groupBy(*DAILY_KEYS)
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
             F.sum(F.coalesce("passenger_count", F.lit(0))).alias("total_passengers"),
-            _total("trip_distance").alias("total_distance_miles"),
-            exact_mean(F.col("trip_distance")).alias("avg_distance_miles"),
-            _total("fare_amount").alias("total_fare"),
-            exact_mean(F.col("fare_amount")).alias("avg_fare"),
-            _total("tip_amount").alias("total_tips"),
-            exact_mean(F.col("tip_percentage")).alias("avg_tip_percentage"),
+            exact_totals("trip_distance").alias("_miles"),
+            exact_totals("fare_amount").alias("_fare"),
+            exact_totals("tip_amount").alias("_tips"),
+            exact_totals("tip_percentage").alias("_share"),
             F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
-            F.current_timestamp().alias("updated_at"),
         )
     )
+    return totals.select(
+        *DAILY_KEYS,
+        "total_trips",
+        "total_passengers",
+        _total("_miles").alias("total_distance_miles"),
+        mean_of("_miles").alias("avg_distance_miles"),
+        _total("_fare").alias("total_fare"),
+        mean_of("_fare").alias("avg_fare"),
+        _total("_tips").alias("total_tips"),
+        mean_of("_share").alias("avg_tip_percentage"),
+        "avg_duration_minutes",
+        F.current_timestamp().alias("updated_at"),
+    )
 
 
 def pickup_metrics(validated: DataFrame) -> DataFrame:
-    return (
+    totals = (
         validated.where(F.col("pickup_zone_id").isNotNull())
         .groupBy(
             F.col("pickup_zone_id").alias("zone_id"),
@@ -75,12 +85,19 @@ def pickup_metrics(validated: DataFrame) -> DataFrame:
         )
         .agg(
             F.count(F.lit(1)).alias("pickups"),
-            _total("fare_amount").alias("total_fare_from_zone"),
-            exact_mean(F.col("fare_amount")).alias("avg_fare_from_zone"),
-            exact_mean(F.col("trip_distance")).alias("avg_distance_from_zone"),
+            exact_totals("fare_amount").alias("_fare"),
+            exact_totals("trip_distance").alias("_miles"),
             F.avg("trip_duration_minutes").alias("avg_duration_from_zone"),
         )
     )
+    return totals.select(
+        *ZONE_KEYS,
+        "pickups",
+        _total("_fare").alias("total_fare_from_zone"),
+        mean_of("_fare").alias("avg_fare_from_zone"),
+        mean_of("_miles").alias("avg_distance_from_zone"),
+        "avg_duration_from_zone",
+    )
 
 
 def dropoff_metrics(validated: DataFrame) -> DataFrame:
@@ -131,16 +148,27 @@ def zone_metrics(validated: DataFrame) -> DataFrame:
     ).where(F.col("zone_id").isNotNull())
 
     def started(column: str) -> Column:
-        return F.when(F.col("starts"), F.col(column))
-
-    fare = F.when(F.col("starts"), F.coalesce("fare_amount", F.lit(0.0)))
-    return visits.groupBy(*ZONE_KEYS).agg(
-        F.count_if("starts").alias("pickups"),
-        F.count_if(~F.col("starts")).alias("dropoffs"),
-        exact_sum(fare).alias("total_fare_from_zone"),
-        exact_mean(started("fare_amount")).alias("avg_fare_from_zone"),
-        exact_mean(started("trip_distance")).alias("avg_distance_from_zone"),
-        F.avg(started("trip_duration_minutes")).alias("avg_duration_from_zone"),
+        return F.when(F.col("starts"), F.col(column)).alias(f"_{column}")
+
+    totals = (
+        visits.select(*ZONE_KEYS, "starts", *map(started, ("fare_amount", "trip_distance", "trip_duration_minutes")))
+        .groupBy(*ZONE_KEYS)
+        .agg(
+            F.count_if("starts").alias("pickups"),
+            F.count_if(~F.col("starts")).alias("dropoffs"),
+            exact_totals("_fare_amount").alias("_fare"),
+            exact_totals("_trip_distance").alias("_miles"),
+            F.avg("_trip_duration_minutes").alias("avg_duration_from_zone"),
+        )
+    )
+    return totals.select(
+        *ZONE_KEYS,
+        "pickups",
+        "dropoffs",
+        F.when(F.col("pickups") > 0, _total("_fare")).alias("total_fare_from_zone"),
+        mean_of("_fare").alias("avg_fare_from_zone"),
+        mean_of("_miles").alias("avg_distance_from_zone"),
+        "avg_duration_from_zone",
         F.current_timestamp().alias("updated_at"),
     )
 
@@ -177,18 +205,31 @@ def busiest_zones(metrics: DataFrame, dimension: DataFrame, top: int = 10) -> Da
 def daily_trips_simple(enriched: DataFrame) -> DataFrame:
     """The simpler design variant: per day and borough, tips as a fraction of the fare."""
     share = F.col("tip_amount") / F.nullif(F.col("fare_amount"), F.lit(0.0))
-    return enriched.groupBy(
-        day_of(F.col("pickup_datetime")).alias("trip_date"), "pickup_borough"
-    ).agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("passenger_count").alias("total_passengers"),
-        exact_sum(F.col("trip_distance")).alias("total_distance_miles"),
-        exact_mean(F.col("trip_distance")).alias("avg_distance_miles"),
-        exact_sum(F.col("fare_amount")).alias("total_fares"),
-        exact_mean(F.col("fare_amount")).alias("avg_fare"),
-        exact_sum(F.col("tip_amount")).alias("total_tips"),
-        exact_mean(share).alias("avg_tip_percentage"),
-        F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
+    keys = ["trip_date", "pickup_borough"]
+    totals = (
+        enriched.withColumns({"trip_date": day_of(F.col("pickup_datetime")), "_tip_share": share})
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("total_trips"),
+            F.sum("passenger_count").alias("total_passengers"),
+            exact_totals("trip_distance").alias("_miles"),
+            exact_totals("fare_amount").alias("_fare"),
+            exact_totals("tip_amount").alias("_tips"),
+            exact_totals("_tip_share").alias("_share"),
+            F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
+        )
+    )
+    return totals.select(
+        *keys,
+        "total_trips",
+        "total_passengers",
+        sum_of("_miles").alias("total_distance_miles"),
+        mean_of("_miles").alias("avg_distance_miles"),
+        sum_of("_fare").alias("total_fares"),
+        mean_of("_fare").alias("avg_fare"),
+        sum_of("_tips").alias("total_tips"),
+        mean_of("_share").alias("avg_tip_percentage"),
+        "avg_duration_minutes",
     )
 
 
