@@ -123,6 +123,45 @@ def test_viterbi_finds_the_best_path(restorer):
         assert restorer.decode(text) == best(text)
 
 
+KEYS = {"idi": 5.0, "idiot ": 6.0, "stup": 4.0, "worthless ": 7.0, "worth": 3.0, "ass ": 2.5, "scum ": 4.0, "мудак ": 3.0}
+
+
+def test_scoring_decodes_all_that_matters(restorer):
+    """Against decoding everything, on the words of a corpus in many disguises."""
+    rnd = np.random.default_rng(5)
+    words = "you are an idiot worthless stupid scum ass assess idiom worth stop the class good little мудак don't".split()
+    other = {"i": "i1!|", "s": "s5$", "a": "a@4", "o": "o0", "e": "e3", "t": "t7+", "l": "l1|"}
+    weigher = t.Weigher(KEYS)
+    for _ in range(3000):
+        text = ""
+        for word in rnd.choice(words, 5):
+            for c in word:
+                text += str(rnd.choice(list(other.get(c, c)))) if rnd.random() < 0.3 else c
+                text += c * int(rnd.integers(1, 4)) if rnd.random() < 0.1 else ""
+                text += str(rnd.choice(list(".-*!'"))) if rnd.random() < 0.1 else ""
+            text += str(rnd.choice(["", "!!", "...", "$"])) + " "
+        full = {w for w in t.words_of(text, restorer) if weigher.word(w)}
+        assert full <= weigher.words(text.lower(), restorer), text
+
+
+@pytest.mark.parametrize("text", ["wor thl ess", "an id iot", "i d i o t", "1d10t", "id\ni\u00a00t", "w0r thl3 ss"])
+def test_spaces_are_part_of_the_lattice(restorer, text):
+    assert t.Weigher(KEYS).document(text, restorer)[0] >= 5
+
+
+def test_clean_texts_give_hardly_any_words(restorer):
+    weigher = t.Weigher(KEYS)
+    assert weigher.words("good little books that will tell all 1973 12:30 a b c " * 50, restorer) == set()
+    assert weigher.document("good little books", restorer) == [0.0, 0.0, 0.0]
+    assert weigher.document(None, restorer) == [0.0, 0.0, 0.0] == t.Weigher({}).document("1d10t", restorer)
+
+
+def test_long_stretches_are_walked_once(restorer):
+    weigher = t.Weigher(KEYS)
+    for text in ("1 " * 100_000, "1" * 100_000, "x " * 100_000, "st " * 50_000, "i.d" * 30_000):
+        weigher.words(text, restorer)
+
+
 def test_counts_cover_all_documents(frame):
     rows = [(i, "ab ba") for i in range(50)]
     counts = n.character_counts(frame(rows, 7))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœšžłő"
 # What look-alike signs may stand for.
 LOOK_ALIKES = {
-    "0": "o",
+    "0": "ou",
     "1": "il",
     "3": "e",
     "4": "a",
@@ -59,11 +59,15 @@ _INNER = {c: letters[0] for c, letters in LOOK_ALIKES.items() if c not in "!|+"}
 _RUN = re.compile(r"(.)\1*", re.S)
 
 #: Log probabilities of the channel.
-DOUBLE_FOR_ONE, STRETCHED, LOOK_ALIKE, DROPPED, SEPARATOR, GAP = -2.5, -0.6, -0.9, -3.0, -0.4, -0.7
+DOUBLE_FOR_ONE, STRETCHED, LOOK_ALIKE, SEPARATOR, GAP = -2.5, -0.6, -0.9, -0.4, -0.7
+#: The same of a look-alike that stands for nothing: a sign may be decoration, a digit hardly.
+DROPPED, DROPPED_DIGIT = -3.0, -8.0
 #: How much likelier than as it stands a word of letters has to be to count as disguised.
 DISGUISED = 4.0
-#: The same for a space between two pieces.
-SPLIT = 0.5
+#: Log probabilities of a dropped space between pieces and of a kept one.
+SPACE = (-0.5, 0.0)
+#: The same where dropping it gives a word that matters.
+SPACE_IN_KEY = (3.0, 0.0)
 #: Log probability per character that look-alikes without a letter have to reach as a word.
 PLAUSIBLE = -3.0
 
@@ -156,8 +160,10 @@ class Restorer:
         self.kept = kept
         self.known: dict[str, str] = {}
 
-    def lattice(self, text: str) -> list[list[tuple[tuple[int, ...], float]]]:
-        """What each run of equal characters may stand for, with log probabilities."""
+    def lattice(
+        self, text: str, space: tuple[float, float] = (GAP, GAP)
+    ) -> list[list[tuple[tuple[int, ...], float]]]:
+        """What each run of equal characters may stand for, with log probabilities; a space is dropped or kept."""
         steps = []
         for found in _RUN.finditer(text):
             c, k = found.group(1), len(found.group(0))
@@ -170,7 +176,7 @@ class Restorer:
                 else:
                     steps.append([((i,), STRETCHED), ((i, i), STRETCHED - 0.4)])
             elif c in LOOK_ALIKES:
-                options = [((), DROPPED)]
+                options = [((), DROPPED_DIGIT if c.isdigit() else DROPPED)]
                 for letter in LOOK_ALIKES[c]:
                     i = self.number[letter]
                     options.append(((i,), LOOK_ALIKE if k == 1 else LOOK_ALIKE + STRETCHED))
@@ -178,7 +184,7 @@ class Restorer:
                         options.append(((i, i), LOOK_ALIKE))
                 steps.append(options)
             elif c == " ":
-                steps.append([((), GAP), ((0,), GAP)])
+                steps.append([((), space[0]), ((0,), space[1])])
             else:
                 steps.append([((), SEPARATOR)])
         return steps
@@ -187,11 +193,11 @@ class Restorer:
         """The likeliest letters behind a text."""
         return self._decode(text)[1]
 
-    def _decode(self, text: str) -> tuple[float, str]:
+    def _decode(self, text: str, space: tuple[float, float] = (GAP, GAP)) -> tuple[float, str]:
         """Score of the likeliest path, and its letters."""
         model, size = self.model, self.size
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for options in self.lattice(text):
+        for options in self.lattice(text, space):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in states.items():
                 for symbols, cost in options:
@@ -255,14 +261,21 @@ class Restorer:
 
     def spaced(self, text: str) -> list[str]:
         """Words behind stretches of single characters and behind pieces that are likelier joined."""
+        return self.stretches(text) + self.joined(text)
+
+    def stretches(self, text: str, keys: Keys | None = None) -> list[str]:
+        """Words behind stretches of single characters; with keys only of stretches that can hold one."""
         found = []
         for m in SPACED.finditer(text):
-            words = self.decode(" ".join(m.group(0).split())).split()
+            pieces = m.group(0).split()
+            if keys and not keys.walk({0}, "".join(pieces), anywhere=True)[0]:
+                continue
+            words = self.decode(" ".join(pieces)).split()
             found += words if any(c.isalpha() for c in m.group(0)) else filter(self.plausible, words)
-        return found + self.joined(text)
+        return found
 
     def joined(self, text: str) -> list[str]:
-        """Words behind pieces whose letters are likelier without the space between them."""
+        """Words behind neighbouring pieces of which the best path drops a space, be it cheap or dear."""
         pieces = text.split()
         if len(pieces) < 2:
             return []
@@ -273,9 +286,59 @@ class Restorer:
         gain = m[(x * size + y) * size + z] + m[(y * size + z) * size + w]
         gain -= m[(x * size + y) * size] + m[y * size * size + z] + m[z * size + w]
         gain[(y == 0) | (z == 0)] = -np.inf
-        runs = {r for least in (SPLIT, DISGUISED) for r in _runs(np.flatnonzero(gain > least).tolist())}
-        found = ("".join(pieces[first : last + 2]) for first, last in runs)
-        return [w for w in map(self.word, found) if w]
+        found = []
+        for space in (SPACE, (-DISGUISED, 0.0)):
+            for first, last in _runs(np.flatnonzero(gain > -space[0]).tolist()):
+                found += self.rejoined(pieces[first : last + 2], space)
+        return found
+
+    def rejoined(self, pieces: list[str], space: tuple[float, float] = SPACE) -> list[str]:
+        """Words of the best path over some pieces and the spaces between them, but for the pieces themselves."""
+        cores = [_HEAD.sub("", _TAIL.sub("", p)).strip(_EDGE) for p in pieces]
+        words = self._decode(" ".join(c for c in cores if c), space)[1].split()
+        return [w for w in words if w not in cores]
+
+
+class Keys:
+    """A trie of words (they end in a space) and beginnings of words, walked along the lattices of pieces."""
+
+    def __init__(self, keys):
+        self.after: list[dict[str, int]] = [{}]
+        self.last, self.begun, self.whole = [""], [False], [False]
+        for key in keys:
+            node = 0
+            for c in key.rstrip(" "):
+                if c not in self.after[node]:
+                    self.after[node][c] = len(self.after)
+                    self.after.append({})
+                    self.last.append(c)
+                    self.begun.append(False)
+                    self.whole.append(False)
+                node = self.after[node][c]
+            (self.whole if key.endswith(" ") else self.begun)[node] = True
+
+    def walk(self, nodes: set[int], piece: str, anywhere: bool = False) -> tuple[bool, set[int]]:
+        """Whether a path over the piece completes a key, and the nodes where paths end. A word begins and
+        ends with the piece, or at any of its characters; then the first key found ends the walk."""
+        reached = False
+        for c in piece:
+            if anywhere:
+                nodes = nodes | {0}
+            if c.isalpha():
+                step = {n for n in nodes if self.last[n] == c}
+                step.update(self.after[n][c] for n in nodes if c in self.after[n])
+            else:
+                step = set(nodes)
+                for letter in (c, *LOOK_ALIKES.get(c, "")):
+                    step.update(self.after[n][letter] for n in nodes if letter in self.after[n])
+            if not step and not anywhere:
+                return reached, step
+            nodes = step
+            if not reached:
+                reached = any(self.begun[n] or (anywhere and self.whole[n]) for n in nodes)
+                if reached and anywhere:
+                    break
+        return reached or any(self.whole[n] for n in nodes), nodes
 
 
 def _runs(numbers: list[int]) -> list[tuple[int, int]]:

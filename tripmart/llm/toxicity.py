@@ -2,9 +2,10 @@
 
 A character model over all documents restores disguised words (``noisy_channel``). Evidence is then
 weighed per restored word: the log odds of the word, or of its beginning, among toxic and clean
-training documents. A document's strongest word, the sum of its words and that sum against its length
-go into a logistic regression. For fitting it, each half of the training documents is weighed by
-the other half; scores use the weights of both.
+training documents. A document's strongest word, the sum of its words and that sum against its number of
+distinct pieces go into a logistic regression. For fitting it, each half of the training documents is weighed
+by the other half; scores use the weights of both. Scoring decodes only pieces, and neighbours of pieces, whose
+lattice holds a weighted word; all others weigh nothing whatever they stand for.
 
 Training takes a bounded sample of the labelled rows: at most ``SAMPLE`` of either class, by the
 hash of their id. The weights kept are bounded too (``WEIGHTS``). Counts of characters, and
@@ -17,6 +18,7 @@ null, are left out. Without toxic or without clean training rows every score is
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.noisy_channel import LETTERS, Restorer, character_counts, character_model, corpus_letters
+from tripmart.llm import noisy_channel
+from tripmart.llm.noisy_channel import LETTERS, Keys, Restorer, character_counts, character_model, corpus_letters
 from tripmart.llm.quality_classifier import fold
 from tripmart.workspace import written
 
@@ -44,26 +47,31 @@ def evidence_of(word: str) -> list[str]:
 
 
 def words_of(text: str | None, restorer: Restorer) -> set[str]:
-    """Distinct restored words."""
+    """Distinct restored words of pieces and of stretches of single characters."""
     if not text:
         return set()
     lower = text.lower()
     found = set(map(restorer.word, set(lower.split())))
-    found.update(restorer.spaced(lower))
+    found.update(restorer.stretches(lower))
     found.discard("")
     return found
 
 
-_RESTORERS: dict[int, Restorer] = {}
+_RESTORERS: dict[str, Restorer] = {}
+
+
+def _shared(context, characters: np.ndarray, letters: str):
+    """A character model for all tasks, under a name of its own."""
+    return context.broadcast((uuid.uuid4().hex, characters, letters))
 
 
 def _restorer(shared) -> Restorer:
     """One restorer per worker for each model."""
-    if id(shared.value) not in _RESTORERS:
+    name, characters, letters = shared.value
+    if name not in _RESTORERS:
         _RESTORERS.clear()
-        characters, letters = shared.value
-        _RESTORERS[id(shared.value)] = Restorer(characters, letters=letters)
-    return _RESTORERS[id(shared.value)]
+        _RESTORERS[name] = Restorer(characters, letters=letters)
+    return _RESTORERS[name]
 
 
 def _tally(shared):
@@ -86,6 +94,10 @@ def _tally(shared):
     return run
 
 
+#: How many pieces after the one that completes a weighted key are decoded with it.
+FOLLOWING = 1
+
+
 @dataclass
 class Weigher:
     """Weights of words, by word; the strongest key counts."""
@@ -93,21 +105,57 @@ class Weigher:
     weights: dict[str, float]
 
     def __post_init__(self):
-        self.known: dict[str, float] = {}
+        self.keys = Keys(self.weights)
+        self.longest = max(map(len, self.weights), default=0)
+        self.pieces: dict[str, tuple[str, set[int]]] = {}
 
     def word(self, word: str) -> float:
-        weight = self.known.get(word)
-        if weight is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            weight = max((self.weights.get(k, 0.0) for k in evidence_of(word)), default=0.0)
-            self.known[word] = weight
-        return weight
-
-    def document(self, words: set[str]) -> list[float]:
-        found = [w for w in map(self.word, words) if w]
+        return max((self.weights.get(k, 0.0) for k in evidence_of(word)), default=0.0)
+
+    def _piece(self, piece: str, restorer: Restorer) -> tuple[str, set[int]]:
+        """The word behind a piece that can hold a weighted one, and where a key that goes on may stand."""
+        known = self.pieces.get(piece)
+        if known is None:
+            reached, nodes = self.keys.walk({0}, piece)
+            known = (restorer.word(piece) if reached else "", nodes - {0})
+            if len(self.pieces) > 200_000:
+                self.pieces.clear()
+            self.pieces[piece] = known
+        return known
+
+    def words(self, text: str, restorer: Restorer) -> set[str]:
+        """The restored words that may have a weight."""
+        found = set(restorer.stretches(text, self.keys))
+        pieces = text.split()
+        for k, piece in enumerate(pieces):
+            word, nodes = self._piece(piece, restorer)
+            if word:
+                found.add(word)
+            if nodes:
+                found.update(self._across(pieces, k, nodes, restorer))
+        return found
+
+    def _across(self, pieces: list[str], first: int, nodes: set[int], restorer: Restorer) -> list[str]:
+        """Words of the best path over a piece and its successors, if a key goes on over the spaces: over pieces up
+        to twice the longest key's characters, and not over two in a row without a letter."""
+        bare = not any(map(str.isalpha, pieces[first]))
+        for k in range(first + 1, min(len(pieces), first + 2 * self.longest)):
+            before, bare = bare, not any(map(str.isalpha, pieces[k]))
+            if before and bare:
+                return []
+            reached, nodes = self.keys.walk(nodes, pieces[k])
+            if reached:
+                return restorer.rejoined(pieces[first : k + 1 + FOLLOWING], noisy_channel.SPACE_IN_KEY)
+            if not nodes:
+                return []
+        return []
+
+    def document(self, text: str | None, restorer: Restorer) -> list[float]:
+        """The strongest weight, the sum of weights, and that against the number of distinct pieces."""
+        lower = (text or "").lower()
+        found = [w for w in map(self.word, self.words(lower, restorer)) if w]
         total = sum(found)
-        return [max(found, default=0.0), float(np.log1p(total)), total / (1 + np.sqrt(len(words)))]
+        return [max(found, default=0.0), float(np.log1p(total)), total / (1 + np.sqrt(len(set(lower.split()))))]
 
 
 def _evidence(shared, weighers):
@@ -115,7 +163,7 @@ def _evidence(shared, weighers):
         restorer, weigh = _restorer(shared), weighers.value
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            x = [weigh[1 - half].document(words_of(t, restorer)) for half, t in rows]
+            x = [weigh[1 - half].document(t, restorer) for half, t in rows]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
 
     return run
@@ -166,7 +214,7 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     sample = spark.createDataFrame(sorted(chosen), "doc_id long, label int")
     sample = sample.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(2)).cast("int"))
     texts = documents.join(F.broadcast(sample), "doc_id").select("half", "label", "text")
-    shared = spark.sparkContext.broadcast((characters, letters))
+    shared = _shared(spark.sparkContext, characters, letters)
     parts = ("clean_0", "toxic_0", "clean_1", "toxic_1")
     schema = ", ".join(["key string", *(f"{c} long" for c in parts)])
     tally = texts.mapInArrow(_tally(shared), schema).groupBy("key").agg(*(F.sum(c).alias(c) for c in parts))
@@ -199,7 +247,7 @@ def _scorer(characters, weigher, beta: list[float], flat: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, weigh = _restorer(characters), weigher.value
         for batch in batches:
-            rows = [weigh.document(words_of(t, restorer)) for t in batch.column(1).to_pylist()]
+            rows = [weigh.document(t, restorer) for t in batch.column(1).to_pylist()]
             x = np.array(rows, dtype=np.float64).reshape(-1, 3)
             score = 1 / (1 + np.exp(-np.clip(beta[0] + x @ np.array(beta[1:]), -30, 30)))
             if flat is not None:
@@ -212,7 +260,8 @@ def _scorer(characters, weigher, beta: list[float], flat: float | None):
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` for each document."""
     context = documents.sparkSession.sparkContext
-    characters, weigher = context.broadcast((model.characters, model.letters)), context.broadcast(Weigher(model.weights))
+    characters = _shared(context, model.characters, model.letters)
+    weigher = context.broadcast(Weigher(model.weights))
     run = _scorer(characters, weigher, model.beta.tolist(), model.flat)
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
@@ -233,7 +282,7 @@ def _restore(shared):
 
 def restored(documents: DataFrame, characters: np.ndarray, letters: str = LETTERS) -> DataFrame:
     """``doc_id, restored``: the words behind each text, then those behind spaced letters."""
-    shared = documents.sparkSession.sparkContext.broadcast((characters, letters))
+    shared = _shared(documents.sparkSession.sparkContext, characters, letters)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _restore(shared), "doc_id long, restored string"
     )
