@@ -96,6 +96,8 @@ def _tally(shared):
 
 #: How many pieces after the one that completes a weighted key are decoded with it.
 FOLLOWING = 1
+#: Characters of a piece that are walked once for all pieces that begin with them.
+HEAD = 3
 
 
 @dataclass
@@ -107,31 +109,50 @@ class Weigher:
     def __post_init__(self):
         self.keys = Keys(self.weights)
         self.longest = max(map(len, self.weights), default=0)
-        self.pieces: dict[str, tuple[str, set[int]]] = {}
+        self.heads: dict[str, bool] = {}
+        self.pieces: dict[str, tuple | None] = {}
 
     def word(self, word: str) -> float:
         return max((self.weights.get(k, 0.0) for k in evidence_of(word)), default=0.0)
 
-    def _piece(self, piece: str, restorer: Restorer) -> tuple[str, set[int]]:
-        """The word behind a piece that can hold a weighted one, and where a key that goes on may stand."""
-        known = self.pieces.get(piece)
-        if known is None:
-            reached, nodes = self.keys.walk({0}, piece)
-            known = (restorer.word(piece) if reached else "", nodes - {0})
-            if len(self.pieces) > 200_000:
-                self.pieces.clear()
-            self.pieces[piece] = known
-        return known
-
-    def words(self, text: str, restorer: Restorer) -> set[str]:
+    def _piece(self, piece: str, restorer: Restorer) -> tuple[str, set[int], set[str]] | None:
+        """The word behind a piece that can hold a weighted one, where a key that goes on may stand, and the letters
+        that it may go on with; None if there is neither."""
+        reached, nodes = self.keys.walk({0}, piece)
+        nodes.discard(0)
+        word = restorer.word(piece) if reached else ""
+        on = {c for n in nodes for c in (*self.keys.after[n], self.keys.last[n])}
+        return (word, nodes, on) if word or nodes else None
+
+    def _known(self, pieces: set[str], restorer: Restorer) -> dict[str, tuple]:
+        """What is known of those pieces that may matter; most are settled by their first characters."""
+        if len(self.heads) + len(self.pieces) > 200_000:
+            self.heads.clear()
+            self.pieces.clear()
+        found = {}
+        for piece in pieces:
+            head = piece[:HEAD]
+            alive = self.heads.get(head)
+            if alive is None:
+                reached, nodes = self.keys.walk({0}, head)
+                alive = self.heads[head] = reached or bool(nodes)
+            if alive:
+                if piece not in self.pieces:
+                    self.pieces[piece] = self._piece(piece, restorer)
+                if self.pieces[piece]:
+                    found[piece] = self.pieces[piece]
+        return found
+
+    def words(self, text: str, restorer: Restorer, pieces: list[str] | None = None) -> set[str]:
         """The restored words that may have a weight."""
+        pieces = text.split() if pieces is None else pieces
         found = set(restorer.stretches(text, self.keys))
-        pieces = text.split()
-        for k, piece in enumerate(pieces):
-            word, nodes = self._piece(piece, restorer)
-            if word:
-                found.add(word)
-            if nodes:
+        known = self._known(set(pieces), restorer)
+        found.update(word for word, _, _ in known.values() if word)
+        for k in [k for k, piece in enumerate(pieces[:-1]) if piece in known]:
+            _, nodes, on = known[pieces[k]]
+            first = pieces[k + 1][0]
+            if nodes and (first in on or not first.isalpha()):
                 found.update(self._across(pieces, k, nodes, restorer))
         return found
 
@@ -153,9 +174,10 @@ class Weigher:
     def document(self, text: str | None, restorer: Restorer) -> list[float]:
         """The strongest weight, the sum of weights, and that against the number of distinct pieces."""
         lower = (text or "").lower()
-        found = [w for w in map(self.word, self.words(lower, restorer)) if w]
+        pieces = lower.split()
+        found = [w for w in map(self.word, self.words(lower, restorer, pieces)) if w]
         total = sum(found)
-        return [max(found, default=0.0), float(np.log1p(total)), total / (1 + np.sqrt(len(set(lower.split()))))]
+        return [max(found, default=0.0), float(np.log1p(total)), total / (1 + np.sqrt(len(set(pieces))))]
 
 
 def _evidence(shared, weighers):
