@@ -14,7 +14,7 @@ The model's letters are ``LETTERS`` and the corpus' commonest others, at most ``
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -317,28 +317,30 @@ class Keys:
                 node = self.after[node][c]
             (self.whole if key.endswith(" ") else self.begun)[node] = True
 
-    def walk(self, nodes: set[int], piece: str, anywhere: bool = False) -> tuple[bool, set[int]]:
+    def walk(self, nodes: Iterable[int], piece: str, anywhere: bool = False) -> tuple[bool, set[int]]:
         """Whether a path over the piece completes a key, and the nodes where paths end. A word begins and
         ends with the piece, or at any of its characters; then the first key found ends the walk."""
         reached = False
+        after, last, begun = self.after, self.last, self.begun
         for c in piece:
             if anywhere:
-                nodes = nodes | {0}
-            if c.isalpha():
-                step = {n for n in nodes if self.last[n] == c}
-                step.update(self.after[n][c] for n in nodes if c in self.after[n])
-            else:
-                step = set(nodes)
-                for letter in (c, *LOOK_ALIKES.get(c, "")):
-                    step.update(self.after[n][letter] for n in nodes if letter in self.after[n])
-            if not step and not anywhere:
-                return reached, step
+                nodes = {0, *nodes}
+            letter = c.isalpha()
+            step = set() if letter else set(nodes)
+            for n in nodes:
+                if letter and last[n] == c:
+                    step.add(n)
+                for stands in c if letter else (c, *LOOK_ALIKES.get(c, "")):
+                    child = after[n].get(stands)
+                    if child is not None:
+                        step.add(child)
+                        reached = reached or begun[child] or (anywhere and self.whole[child])
             nodes = step
-            if not reached:
-                reached = any(self.begun[n] or (anywhere and self.whole[n]) for n in nodes)
-                if reached and anywhere:
-                    break
-        return reached or any(self.whole[n] for n in nodes), nodes
+            if anywhere and reached:
+                break
+            if not nodes and not anywhere:
+                return reached, nodes
+        return reached or any(self.whole[n] for n in nodes), set(nodes)
 
 
 def _runs(numbers: list[int]) -> list[tuple[int, int]]:

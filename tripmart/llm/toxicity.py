@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -111,24 +111,25 @@ class Weigher:
         self.longest = max(map(len, self.weights), default=0)
         self.heads: dict[str, bool] = {}
         self.pieces: dict[str, tuple | None] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
 
     def word(self, word: str) -> float:
         return max((self.weights.get(k, 0.0) for k in evidence_of(word)), default=0.0)
 
-    def _piece(self, piece: str, restorer: Restorer) -> tuple[str, set[int], set[str]] | None:
+    def _piece(self, piece: str, restorer: Restorer) -> tuple[str, tuple[int, ...], str] | None:
         """The word behind a piece that can hold a weighted one, where a key that goes on may stand, and the letters
         that it may go on with; None if there is neither."""
         reached, nodes = self.keys.walk({0}, piece)
         nodes.discard(0)
         word = restorer.word(piece) if reached else ""
-        on = {c for n in nodes for c in (*self.keys.after[n], self.keys.last[n])}
-        return (word, nodes, on) if word or nodes else None
+        on = "".join({c for n in nodes for c in (*self.keys.after[n], self.keys.last[n])})
+        return (word, tuple(nodes), on) if word or nodes else None
 
     def _known(self, pieces: set[str], restorer: Restorer) -> dict[str, tuple]:
         """What is known of those pieces that may matter; most are settled by their first characters."""
-        if len(self.heads) + len(self.pieces) > 200_000:
-            self.heads.clear()
-            self.pieces.clear()
+        for kept in (self.heads, self.pieces, self.pairs):
+            if len(kept) > 200_000:
+                kept.clear()
         found = {}
         for piece in pieces:
             head = piece[:HEAD]
@@ -153,10 +154,16 @@ class Weigher:
             _, nodes, on = known[pieces[k]]
             first = pieces[k + 1][0]
             if nodes and (first in on or not first.isalpha()):
-                found.update(self._across(pieces, k, nodes, restorer))
+                pair = pieces[k], pieces[k + 1][:HEAD]
+                alive = self.pairs.get(pair)
+                if alive is None:
+                    reached, left = self.keys.walk(nodes, pair[1])
+                    alive = self.pairs[pair] = reached or bool(left)
+                if alive:
+                    found.update(self._across(pieces, k, nodes, restorer))
         return found
 
-    def _across(self, pieces: list[str], first: int, nodes: set[int], restorer: Restorer) -> list[str]:
+    def _across(self, pieces: list[str], first: int, nodes: Iterable[int], restorer: Restorer) -> list[str]:
         """Words of the best path over a piece and its successors, if a key goes on over the spaces: over pieces up
         to twice the longest key's characters, and not over two in a row without a letter."""
         bare = not any(map(str.isalpha, pieces[first]))
