@@ -54,6 +54,39 @@ def test_longest_match_has_its_places(spark, frame):
     assert tuple(best[1]) == (20, 2, "7", 1) and best[2] is None
 
 
+@pytest.mark.parametrize("limits", [{}, {"block_bytes": 60, "shard_words": 100}])
+def test_longest_match_of_every_document(spark, frame, limits):
+    """Against brute force, with copies of a passage in one shard."""
+    rows = corpus(6, 30, 30)
+    rows += [(1000 + i, rows[k][1]) for i, k in enumerate([3, 3, 3, 7, 7, 11])] + [(2000, None), (2001, "")]
+    bench = items(rows, 6)
+    listed = {}
+    for i, text in bench:
+        listed.setdefault(str(i), []).append(terms(text))
+
+    def matched(a, b):
+        k = 0
+        while k < min(len(a), len(b)) and a[k] == b[k]:
+            k += 1
+        return k
+
+    found, names = d.matches(frame(rows, 3), spark.createDataFrame(bench, ITEM), **limits)
+    texts, seen = dict(rows), 0
+    for r in found.collect():
+        words = terms(texts[r["doc_id"]])
+        suffixes = [b[j:] for texts_ in listed.values() for b in texts_ for j in range(len(b))]
+        lengths = [max((matched(words[a:], x) for x in suffixes), default=0) for a in range(len(words))]
+        best = max(lengths, default=0)
+        if best < 2:
+            assert r[names["longest"]] is None
+            continue
+        seen += 1
+        length, start, item, place = r[names["longest"]]
+        assert (length, start) == (best, lengths.index(best))
+        assert any(b[place : place + best] == words[start : start + best] for b in listed[item])
+    assert seen > 10
+
+
 def test_suffix_array_is_sorted():
     rnd = random.Random(3)
     texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 40))) for _ in range(30)]

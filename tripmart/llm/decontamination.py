@@ -3,10 +3,10 @@
 Every task cuts its documents into shards of about a million words, sorts each shard's word
 suffixes, and looks up every suffix of every benchmark item by binary search, one more word at a
 time. The interval of training suffixes that is left gives all places of a match, and the last
-interval that wasn't empty gives the longest verbatim match. Documents never leave their task:
+intervals, deeper over shallower, give each place its longest verbatim match, and so each document's. Documents never leave their task:
 there is no shuffle, and a passage that a third of all documents share costs no more than its
 places. The benchmark is the query set: its word hashes go to the tasks in blocks of bounded
-size, one pass-through step per block.
+size, one pass-through step per block. Matches of one word alone aren't reported as longest.
 
 A window is 13 consecutive words of an item; an item with fewer words, but not none, is one
 window. Words of a document inside any occurrence of a window are hit.
@@ -123,12 +123,12 @@ class SuffixArray:
             high = np.where(open_ & ~up, mid, high)
 
     def search(self, query: np.ndarray, begins: np.ndarray, ends: np.ndarray, need: np.ndarray):
-        """For each query suffix ``query[begins:ends]``: its interval at ``need`` words, the length
-        of its longest match and one place of that."""
+        """For each query suffix ``query[begins:ends]`` its interval at ``need`` words; for each place of the shard
+        how many words from there on match a query suffix (0 for fewer than two), and which one."""
         many = len(begins)
         found = np.zeros((many, 2), dtype=np.int64)
-        length = np.zeros(many, dtype=np.int64)
-        place = np.full(many, -1, dtype=np.int64)
+        length = np.zeros(self.size, dtype=np.int64)
+        suffix = np.full(self.size, -1, dtype=np.int64)
         alive = np.arange(many)
         low = np.zeros(many, dtype=np.int64)
         high = np.full(many, self.size, dtype=np.int64)
@@ -146,19 +146,25 @@ class SuffixArray:
             some = first < last
             alive, low, high = alive[some], first[some], last[some]
             j += 1
-            length[alive] = j
-            place[alive] = self.order[low]
+            if j > 1:
+                # Intervals of one depth are equal or apart.
+                lows, firsts = np.unique(low, return_index=True)
+                counts = high[firsts] - lows
+                shifts = np.repeat(lows - (np.cumsum(counts) - counts), counts)
+                where = self.order[np.arange(len(shifts)) + shifts]
+                length[where] = j
+                suffix[where] = np.repeat(alive[firsts], counts)
             enough = need[alive] == j
             found[alive[enough], 0] = low[enough]
             found[alive[enough], 1] = high[enough]
-        return found, length, place
+        return found, length, suffix
 
 
 class Benchmark:
     """Word hashes of the items of one block, and the bounds of all their suffixes."""
 
     def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
-        items = [x for x in items if len(x[1])]
+        items = sorted((x for x in items if len(x[1])), key=lambda x: (x[0], len(x[1])))
         self.ids = [x[0] for x in items]
         self.words = np.concatenate([x[1] for x in items]) if items else np.zeros(0, dtype=np.uint64)
         sizes = np.array([len(x[1]) for x in items], dtype=np.int64)
@@ -189,7 +195,7 @@ def _search_shard(documents: list[np.ndarray], bench: Benchmark) -> list[tuple[l
     if not len(bench.words) or not any(len(d) for d in documents):
         return results
     array = SuffixArray(documents, bench.depth)
-    found, length, place = array.search(array.ranks(bench.words), bench.begins, bench.ends, bench.need)
+    found, length, suffix = array.search(array.ranks(bench.words), bench.begins, bench.ends, bench.need)
     hit = np.flatnonzero(found[:, 1] > found[:, 0])
     if len(hit):
         counts = found[hit, 1] - found[hit, 0]
@@ -212,15 +218,21 @@ def _search_shard(documents: list[np.ndarray], bench: Benchmark) -> list[tuple[l
         for d, i in pairs.T.tolist():
             results[d][1].add(bench.ids[i])
     best: dict[int, tuple] = {}
-    for q in np.flatnonzero(length >= 2).tolist():
-        d = int(np.searchsorted(array.begins, place[q], side="right") - 1)
-        start = int(place[q] - array.begins[d])
-        mine = (int(length[q]), start, bench.ids[bench.item[q]], int(bench.begins[q] - bench.firsts[q]))
-        if d not in best or mine[0] > best[d][0]:
-            best[d] = mine
+    most = np.maximum.reduceat(length, array.begins[:-1])
+    places = np.flatnonzero((length > 0) & (length == np.repeat(most, np.diff(array.begins))))
+    of, firsts = np.unique(np.searchsorted(array.begins, places, side="right") - 1, return_index=True)
+    for d, at in zip(of.tolist(), places[firsts].tolist(), strict=True):
+        q = int(suffix[at])
+        start = int(at - array.begins[d])
+        best[d] = (int(length[at]), start, bench.ids[bench.item[q]], int(bench.begins[q] - bench.firsts[q]))
     return [(s, i, best.get(d)) for d, (s, i, _) in enumerate(results)]
 
 
+def _longer(a: tuple | None, b: tuple | None) -> tuple | None:
+    """The longer match, of equal ones the earlier in the document."""
+    return min((x for x in (a, b) if x), key=lambda x: (-x[0], *x[1:]), default=None)
+
+
 def _step(names: dict[str, str], text: str, shared, fresh: bool, shard_words: int):
     """A pass over Arrow batches that adds what one block of the benchmark finds."""
 
@@ -238,7 +250,7 @@ def _step(names: dict[str, str], text: str, shared, fresh: bool, shard_words: in
                     (
                         _union([*s, *((x["start"], x["stop"]) for x in s0)]),
                         i | set(i0),
-                        max((x for x in (m, tuple(m0.values()) if m0 else None) if x), default=None),
+                        _longer(m, tuple(m0.values()) if m0 else None),
                     )
                     for (s, i, m), s0, i0, m0 in zip(out, *before, strict=True)
                 ]
@@ -271,7 +283,7 @@ def matches(
     shard_words: int = SHARD_WORDS,
 ) -> tuple[DataFrame, dict[str, str]]:
     """The documents with ``n_words``, hit spans, ids of occurring items and the longest verbatim
-    match in a shard, in columns whose names come second."""
+    match (of equal ones the first), in columns whose names come second."""
     spark = documents.sparkSession
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
