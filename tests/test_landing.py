@@ -207,3 +207,11 @@ def test_broken_footers_are_named(spark, widths, tmp_path):
 )
 def test_names_of_stored_types(kind, name):
     assert spark_type(kind).replace("item", "element") == name
+
+
+def test_a_service_month_from_one_task_is_dealt_over_several(spark):
+    records = yellow(spark, {}).select("VendorID").crossJoin(spark.range(400, numPartitions=1))
+    dealt = landing.dealt(records, F.lit("yellow"), F.lit("2024-01"), [F.col("id")])
+    held = dealt.select(F.pmod(F.xxhash64("id"), F.lit(landing.PARTS)).alias("part")).distinct().count()
+    assert held == landing.PARTS and dealt.count() == 400
+    assert dealt.columns == ["VendorID", "id"]

@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import rows
 from tripmart import workspace
 from tripmart.operators import upsert
 from tripmart.plans import bronze, gold, silver
@@ -134,3 +135,10 @@ def test_hot_paths_fit_the_compiler(spark, sf_dir):
             assert sizes and max(sizes) <= 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_landing_shuffles_line_items_not_the_wider_records(spark, sf_dir):
+    plan = _initial(fixture.tagged(spark, sf_dir, by_month=True))
+    assert _count(plan, "Exchange") == 1 and "hashpartitioning(_dealt" in plan
+    assert plan.index("Generate") < plan.index("hashpartitioning(_dealt")
+    assert rows(fixture.tagged(spark, sf_dir, by_month=True)) == rows(fixture.tagged(spark, sf_dir))

@@ -12,7 +12,7 @@ A stream does the same with the files of each micro-batch: what streams is the n
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -29,6 +29,9 @@ from tripmart.sources.footers import LEAST, footers, least_values, stored_type
 
 NO_AGE_LIMIT = "36500d"
 
+# Groups that the rows of a service month are dealt in.
+PARTS = 8
+
 
 def service_glob(root: str, service: str) -> str:
     """Pattern for the files of one service, in either layout."""
@@ -277,16 +280,27 @@ def landing_summary(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def land(tagged: DataFrame, root: str, month: Column, mode: str = "overwrite") -> None:
+def dealt(rows: DataFrame, service: Column, month: Column, key: Sequence[Column]) -> DataFrame:
+    """Rows of a service month in at most ``PARTS`` groups, each group in one task.
+
+    The rebalance hint lets AQE cut large groups and join small ones. It can cut only between the tasks that wrote
+    a group, of which a file of one row group has a single one; so that a service month stays in bounds there too,
+    the key says which group a row belongs to.
+    """
+    part = F.pmod(F.xxhash64(*key), F.lit(PARTS))
+    return rows.withColumn("_dealt", F.xxhash64(service, month, part)).hint("rebalance", "_dealt").drop("_dealt")
+
+
+def land(tagged: DataFrame, root: str, month: Column, mode: str = "overwrite", as_dealt: bool = False) -> None:
     """Write a tagged raw relation in the landing layout.
 
-    The rebalance hint lets AQE cut large service months into several files and keep small
-    ones in one, whatever share of the rows a single month holds.
+    Rows are dealt by service month first, unless they come ``as_dealt``: raw records are wide, and where they
+    are derived from narrower rows it is cheaper to deal those.
     """
+    rows = tagged if as_dealt else dealt(tagged, F.col("service"), month, [F.col(c) for c in tagged.columns])
     (
-        tagged.withColumn("service", F.concat("service", F.lit("_tripdata")))
+        rows.withColumn("service", F.concat("service", F.lit("_tripdata")))
         .withColumn("month", month)
-        .hint("rebalance", "service", "month")
         .write.mode(mode)
         .partitionBy("service", "month")
         .parquet(root)

@@ -108,8 +108,15 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Line items dealt by the service and month of the records they become, which are three times as wide."""
+    known = " or ".join(f"l_returnflag = '{flag}'" for flag in _TIMES_OF_FLAG)
+    month = F.expr(f"coalesce(substring(cast(if({known}, {_PICKUP}, null) as string), 1, 7), '2024-01')")
+    return landing.dealt(rows, F.col("l_returnflag"), month, [F.col("l_orderkey"), F.col("l_linenumber")])
+
+
 def _timed(
-    spark: SparkSession, sf_dir: str, copies: bool, service: str | None, spread: bool
+    spark: SparkSession, sf_dir: str, copies: bool, service: str | None, spread: bool, by_month: bool
 ) -> DataFrame:
     """Line items with the times of their service, one row per trip.
 
@@ -122,6 +129,8 @@ def _timed(
         rows = _spread(rows.select(*_LINE_COLUMNS))
     if service:
         rows = rows.where(F.col("l_returnflag") == _FLAG_OF_SERVICE[service])
+    if by_month:
+        rows = _dealt(rows.select(*_LINE_COLUMNS))
     times = ", ".join(
         f"'{name}', if(l_returnflag = '{flag}', {moment}, null)"
         for flag, names in _TIMES_OF_FLAG.items()
@@ -134,17 +143,23 @@ def _timed(
 
 @_once
 def tagged(
-    spark: SparkSession, sf_dir: str, copies: bool = True, service: str | None = None, spread: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    copies: bool = True,
+    service: str | None = None,
+    spread: bool = False,
+    by_month: bool = False,
 ) -> DataFrame:
     """Raw records of the three services (or one) in one relation, tagged by ``service``.
 
-    With ``spread`` a file of few splits is dealt over all cores first, for what costs much per row.
+    With ``spread`` a file of few splits is dealt over all cores first, for what costs much per row; with
+    ``by_month`` line items are dealt as the landing wants its rows.
     """
     columns = (
         f"cast({_VALUES.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"
         for f in tagged_raw_schema().fields
     )
-    return _timed(spark, sf_dir, copies, service, spread).selectExpr(*columns)
+    return _timed(spark, sf_dir, copies, service, spread, by_month).selectExpr(*columns)
 
 
 @_once
@@ -226,8 +241,8 @@ def _pickup_month() -> Column:
     return F.coalesce(F.substring(pickup.cast("string"), 1, 7), F.lit("2024-01"))
 
 
-def land(records: DataFrame, root: str, mode: str = "overwrite") -> None:
-    landing.land(records, root, _pickup_month(), mode)
+def land(records: DataFrame, root: str, mode: str = "overwrite", as_dealt: bool = False) -> None:
+    landing.land(records, root, _pickup_month(), mode, as_dealt)
 
 
 def by_month(records: DataFrame) -> DataFrame:
@@ -244,7 +259,7 @@ def landed(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         root = workspace.fresh_path(spark, "landing")
-        land(tagged(spark, sf_dir), root)
+        land(tagged(spark, sf_dir, by_month=True), root, as_dealt=True)
         _LANDED[key] = root
     return _LANDED[key]
 

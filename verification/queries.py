@@ -142,7 +142,8 @@ def seed_zones(spark, sf_dir):
 def union_available(spark, sf_dir):
     """The for-hire service has not landed; the others are unioned without it."""
     root = workspace.fresh_path(spark, "landing-metered")
-    fixture.land(fixture.tagged(spark, sf_dir).where(F.col("service") != "fhv"), root)
+    metered = fixture.tagged(spark, sf_dir, by_month=True).where(F.col("service") != "fhv")
+    fixture.land(metered, root, as_dealt=True)
     present = landing.available_services(spark, root)
     return silver.union_trips([bronze.stage(raw, s, ids=False) for s, raw in present.items()])
 
