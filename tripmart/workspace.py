@@ -13,6 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_AT_ONCE = 16
 _LOCAL_ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -68,7 +69,7 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def together(spark: SparkSession, *steps: Callable[[], DataFrame]) -> list[DataFrame]:
+def together(spark: SparkSession, *steps: Callable[[], DataFrame | None]) -> list[DataFrame | None]:
     """Results of steps that run Spark jobs and don't need each other, run side by side."""
-    with ThreadPoolExecutor(len(steps)) as pool:
+    with ThreadPoolExecutor(min(len(steps), _AT_ONCE)) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]

@@ -245,12 +245,6 @@ def land(records: DataFrame, root: str, mode: str = "overwrite", as_dealt: bool
     landing.land(records, root, _pickup_month(), mode, as_dealt)
 
 
-def by_month(records: DataFrame) -> DataFrame:
-    """Records as one task and file for each service and month, with the landing's folder columns."""
-    named = records.withColumn("service", F.concat("service", F.lit("_tripdata"))).withColumn("month", _pickup_month())
-    return named.repartition("service", "month")
-
-
 _LANDED: dict[tuple[str, str], str] = {}
 
 

@@ -163,9 +163,7 @@ def landing_gaps(spark, sf_dir):
 @query
 def landing_summary(spark, sf_dir):
     """Files are known: one for each service and month; their bytes are not."""
-    root = workspace.fresh_path(spark, "landing-files")
-    fixture.by_month(fixture.tagged(spark, sf_dir)).write.partitionBy("service", "month").parquet(root)
-    summary = landing.landing_summary(spark, root)
+    summary = landing.landing_summary(spark, landing.merged(spark, fixture.landed(spark, sf_dir)))
     return summary.select("files", (F.col("bytes") > 0).alias("has_bytes"))
 
 
