@@ -142,3 +142,12 @@ def test_landing_shuffles_line_items_not_the_wider_records(spark, sf_dir):
     assert _count(plan, "Exchange") == 1 and "hashpartitioning(_dealt" in plan
     assert plan.index("Generate") < plan.index("hashpartitioning(_dealt")
     assert rows(fixture.tagged(spark, sf_dir, by_month=True)) == rows(fixture.tagged(spark, sf_dir))
+
+
+def test_staged_trips_numbered_by_day_take_no_second_shuffle(spark, sf_dir):
+    raw = fixture.raw(spark, sf_dir, "yellow")
+    by_day = bronze.stage(raw, "yellow", by_day=True).drop("loaded_at")
+    plan = _final(by_day)
+    assert "hashpartitioning(_day" in plan and _count(plan, "Window") == 1
+    assert "hashpartitioning(pickup_datetime" not in plan.split("Window", 1)[1].split("Exchange", 1)[0]
+    assert rows(by_day) == rows(bronze.stage(raw, "yellow").drop("loaded_at"))

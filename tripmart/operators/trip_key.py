@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart.functions.text import text_of
+from tripmart.functions.time import day_of
 
 # A pickup second with more trips than this is spread over several tasks. The list of such seconds is
 # broadcast; it has at most one entry for so many trips, 16 MB for a million million of them.
 CROWDED_SECOND = 1_000_000
 
+# Tasks over which the trips of a day are dealt at most where they are numbered day by day.
+PARTS_OF_DAY = 8
+
 # Order of the copies of one key: the fields that are not part of it, and the two that the
 # key cannot tell from empty text when null. Only identical, interchangeable rows tie.
 TIE_BREAKERS = (
@@ -46,7 +50,7 @@ def content_key(schema: StructType, fields: Sequence[Sequence[str]]) -> Column:
 
 
 def with_trip_id(
-    frame: DataFrame, key: str = "base_hash", crowded: int = CROWDED_SECOND
+    frame: DataFrame, key: str = "base_hash", crowded: int = CROWDED_SECOND, by_day: bool = False
 ) -> DataFrame:
     """Replace ``key`` by ``trip_id`` = key + ``_`` + running number among its copies.
 
@@ -57,6 +61,9 @@ def with_trip_id(
     slice and expanded again, so that no task ever holds a whole crowded group. Both branches
     number in the same order, so an id doesn't depend on the branch its trip takes. When no
     second is crowded, AQE finds the broadcast empty and drops the second branch before it runs.
+
+    With ``by_day`` trips are dealt by parts of their days, which keeps copies together just as well, so that
+    a table of days can be written from the same tasks without shuffling all rows again.
     """
     # The time comes first, because a sort compares its first column fastest.
     group = ["pickup_datetime", key, "trip_type"]
@@ -70,9 +77,15 @@ def with_trip_id(
 
     ties = [c for c in TIE_BREAKERS if c in frame.columns]
     order = [F.asc_nulls_first(c) for c in ties]
-    plain = frame.join(busy, "pickup_datetime", "left_anti").withColumn(
-        "_copy", F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    )
+    plain = frame.join(busy, "pickup_datetime", "left_anti")
+    dealt = []
+    if by_day:
+        dealt = ["_day", "_part"]
+        pickup = F.col("pickup_datetime")
+        part = F.pmod(F.xxhash64(pickup), F.lit(PARTS_OF_DAY)).cast("int")
+        plain = plain.withColumns({"_day": day_of(pickup), "_part": part}).repartition(*dealt)
+    copy = F.row_number().over(Window.partitionBy(*dealt, *group).orderBy(*order))
+    plain = plain.withColumn("_copy", copy).drop(*dealt)
     spread = _number_crowded(frame.join(busy, "pickup_datetime"), group, ties, crowded)
     numbered = plain.unionByName(spread)
 

@@ -96,7 +96,9 @@ def _standard(schema: StructType, service: Column) -> dict[str, Column]:
     return columns
 
 
-def _stage(raw: DataFrame, service: Column, ids: bool, since: dt.date | None) -> DataFrame:
+def _stage(
+    raw: DataFrame, service: Column, ids: bool, since: dt.date | None, by_day: bool = False
+) -> DataFrame:
     schema = raw.schema
     columns = _standard(schema, service)
     if since:
@@ -113,19 +115,20 @@ def _stage(raw: DataFrame, service: Column, ids: bool, since: dt.date | None) ->
         *(column.alias(name) for name, column in columns.items()),
         F.current_timestamp().alias("loaded_at"),
     )
-    return with_trip_id(staged) if ids else staged
+    return with_trip_id(staged, by_day=by_day) if ids else staged
 
 
 def stage(
-    raw: DataFrame, service: str, ids: bool = True, since: dt.date | None = None
+    raw: DataFrame, service: str, ids: bool = True, since: dt.date | None = None, by_day: bool = False
 ) -> DataFrame:
     """Standardise the raw relation of one service.
 
     Without ``ids`` the plan has no shuffle: consumers that never look at ids, as the fact
     tables, read the cheaper form. ``since`` keeps pickups from that day on; set here, the
-    bound reaches every scan of the files that numbering the copies takes.
+    bound reaches every scan of the files that numbering the copies takes. With ``by_day`` numbered
+    trips come dealt by day, as a table of days is written.
     """
-    return _stage(raw, F.lit(service), ids, since)
+    return _stage(raw, F.lit(service), ids, since, by_day)
 
 
 def stage_tagged(raw: DataFrame, ids: bool = True) -> DataFrame:

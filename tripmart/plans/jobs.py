@@ -79,10 +79,10 @@ def build_bronze(
     refresh(spark, bronze.stage_zones(seed), lake.table("staging", "stg_taxi_zones"))
     for service, raw in landing.available_services(spark, landing_root).items():
         table = lake.table("staging", f"stg_{service}_trips")
-        staged = bronze.stage(raw, service, since=since)
+        staged = bronze.stage(raw, service, since=since, by_day=True)
         checks = suite.row_checks(f"stg_{service}_trips", "int_trips_unioned", "int_trips_enriched")
         lake.proofs(spark).write(
-            table, staged, checks, lambda rows, path=table: _write_by_day(rows, path, since), whole=since is None
+            table, staged, checks, lambda rows, path=table: _write_by_day(rows, path, since, dealt=True), whole=since is None
         )
 
 
