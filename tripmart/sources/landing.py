@@ -305,19 +305,3 @@ def land(tagged: DataFrame, root: str, month: Column, mode: str = "overwrite", a
         .partitionBy("service", "month")
         .parquet(root)
     )
-
-
-def merged(spark: SparkSession, root: str, label: str = "landing-files") -> str:
-    """Root of a copy of a landing (as ``land`` wrote it) with one file for each service month.
-
-    Each folder's files pass through one task from scan to file: no row is shuffled, sorted or held.
-    """
-    folder = F.regexp_extract("path", r"(/service=[^/]*/month=[^/]*)/[^/]+$", 1)
-    folders = [r[0] for r in landed_files(spark, root).select(folder).distinct().collect()]
-    if not folders:
-        return root
-    target = workspace.fresh_path(spark, label)
-    declared = spark.read.parquet(root).drop("service", "month").schema
-    frames = {f: spark.read.schema(declared).parquet(f"{root}{f}").coalesce(1) for f in folders}
-    workspace.together(spark, *(lambda f=f, x=x: x.write.parquet(f"{target}{f}") for f, x in frames.items()))
-    return target
