@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import json
 import random
 import zlib
 
@@ -41,6 +42,41 @@ def test_ids_are_the_library_s(path, monkeypatch):
         assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == library(path, texts)
 
 
+class NotAsked:
+    """Stands for the library where all that a text needs is known."""
+
+    def __getattr__(self, name):
+        raise AssertionError(f"the library was asked: {name}")
+
+
+def known_parts_aren_t_encoded_anew(path):
+    words, signs = ["Alpha", "beta", "gamma", "été"], ["", ".", ",", "!!", "%%%", "***"]
+    codec = Encoder(path)
+    codec.encode([f"{w} {w.lower()} {w}\n{w.lower()}{x}\n{w}" for w in words for x in signs] + ["a  b", "1 x"])
+    fresh = [f"{v}{x} {w}{y}  {v.lower()}\n{w}{x}" for v in words for w in words for x in signs for y in signs]
+    codec.tokenizer = codec.model = NotAsked()
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(fresh)] == library(path, fresh)
+
+
+def any_characters_give_the_library_s_ids(path):
+    rnd = random.Random(3)
+    plain = [chr(c) for c in (*range(0x250), *range(0x370, 0x530), *range(0x2000, 0x20D0))]
+    others = [*" \n\t aAs'dlr1.,!", "\x85", "\xa0", "\u3000", "漢", "\u0301", "Σ", "İ", "'s", " 's", "  "]
+    texts = [f"{a}{c}{b}" for c in plain for a, b in (("", ""), ("a", "A"), (" ", " "), ("x ", "\n"), ("1", "'s"), (".", "!"))]
+    texts += ["".join(rnd.choice(plain if rnd.random() < 0.3 else others) for _ in range(rnd.randint(1, 20))) for _ in range(5000)]
+    texts += ["x" * 200 + " " + "y" * 200, " " * 200 + "a", "." * 100]
+    codec = Encoder(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == library(path, texts)
+
+
+def test_byte_level_parts_are_encoded_once():
+    known_parts_aren_t_encoded_anew(BYTE)
+
+
+def test_byte_level_ids_of_any_characters():
+    any_characters_give_the_library_s_ids(BYTE)
+
+
 @pytest.fixture(scope="module")
 def rows():
     found = corpus(2, 60) + [(30_000 + i, t) for i, t in enumerate(ODD)] + [(-4, "negative"), (40_000, "long " * 9000)]

@@ -1,4 +1,4 @@
-"""Token ids of whole texts by the tokenizers library, with ids kept per piece between spaces."""
+"""Token ids of whole texts by the tokenizers library, with ids kept per pre-token."""
 
 from __future__ import annotations
 
@@ -6,17 +6,35 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KEPT_PIECES = 250_000
+from tripmart.llm.bpe import _byte_letters
+
+#: Pre-tokens kept in each of two generations.
+KEPT_PIECES = 400_000
+#: Longer pre-tokens aren't kept.
+LONGEST_KEPT = 64
+
+# Letters, digits and white space among the characters below, which no normal form changes and whose lower
+# case is one of them.
+_LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0400-\u0481\u048a-\u04ff"
+_DIGIT = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_BLANK = "\t-\r \u0085\u00a0"
+_RARE = re.compile(
+    "[^\x00-\u012f\u0131-\u017f\u0400-\u0481\u048a-\u04ff\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]"
+)
+
+# The patterns of pre-tokens of the usual byte-level vocabularies, as texts of these characters have them.
+_BYTES = re.compile(
+    rf" ?[{_LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{_DIGIT}]+| ?[^{_LETTER}{_DIGIT}{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
+)
+_WORDS_GIVEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORDS = re.compile(rf"[{_LETTER}]+|'(?:[stmd]|re|ve|ll)|[{_DIGIT}]|[^{_LETTER}{_DIGIT}{_BLANK}]+")
 
-# Letters of a word that both patterns take as one, and signs that they take together after it.
-_PLAIN = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:*$%&#|]*)")
-
-_TWO_LINES = re.compile(_PLAIN.pattern + r"\n" + _PLAIN.pattern)
 # What Python takes for white space and the tokenizers' patterns don't.
 _SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
 
@@ -47,13 +65,45 @@ def _cuts_at_spaces(config: dict) -> bool:
     return False
 
 
+def _pattern(config: dict) -> re.Pattern | None:
+    """How texts without rare characters fall into pre-tokens, for vocabularies that are cut at spaces."""
+    pre = config["pre_tokenizer"]
+    if pre["type"] == "ByteLevel":
+        return _BYTES
+    first, *rest = pre["pretokenizers"]
+    same = first.get("pattern") == {"Regex": _WORDS_GIVEN} and [x.get("add_prefix_space") for x in rest] == [False]
+    changes = [x for x in (config.get("normalizer") or {}).get("normalizers", []) if x.get("type") == "Replace"]
+    plain = all(x.get("pattern") == {"Regex": r"\s+"} and x.get("content") == " " for x in changes)
+    return _WORDS if same and plain else None
+
+
+class _Known(dict):
+    """Ids of pre-tokens, found when first asked for.
+
+    The generation before is kept beside, so that pre-tokens in use outlive those that aren't.
+    """
+
+    def __init__(self, find: Callable[[str], bytes], older: dict[str, bytes]):
+        super().__init__()
+        self.find, self.older = find, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.find(piece)
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts, as little-endian 32-bit bytes.
 
-    A text is cut before each single space and the ids of the pieces are joined, which gives the
-    library's ids for the whole text; most pieces repeat, so few are encoded anew. Texts with
-    longer runs of white space (where a cut could matter), and texts that hold an added token of the
-    vocabulary, which the library cuts out first, are encoded whole.
+    A text is cut into pre-tokens and their ids are joined, which gives the library's ids for the whole
+    text; most pre-tokens repeat, so few are encoded anew. Texts with rare characters are cut before each
+    single space first, and what holds such a character isn't cut further. Of these, texts with longer runs of
+    white space (where a cut could matter) are encoded whole, and so are all texts that hold an added token of
+    the vocabulary, which the library cuts out first.
     """
 
     def __init__(self, path: str):
@@ -67,95 +117,44 @@ class Encoder:
         self.folds = any(x.get("type") == "Lowercase" for x in normalizers)
         # White space is dropped, so that a text may be cut at any of it.
         self.drops_blanks = self.by_piece and config["pre_tokenizer"]["type"] == "Sequence"
-        # Ids that begin a word (they hold its space) or end one.
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        suffix = config["model"].get("end_of_word_suffix")
-        self.edge_is_end = bool(suffix)
-        self.edge = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
-        for token, i in vocabulary.items():
-            self.edge[i] = token.endswith(suffix) if suffix else token.startswith("\u0120")
-        self.pieces: dict[str, bytes | bool] = {}
-        self.older: dict[str, bytes | bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {}
-        newline = [] if self.drops_blanks else self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.newline = newline[0] if len(newline) == 1 else -1
+        self.pattern = _pattern(config) if self.by_piece else None
+        self.model = self.tokenizer.model
+        self.letters = {byte: letter for letter, byte in _byte_letters().items()}
+        self.known = _Known(self._ids, {})
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _folded(self, text: str) -> str:
-        """Lower case where a text's own and the library's, which goes by single characters, are the same."""
-        return text if not self.folds or "\u03a3" in text or "\u0130" in text else text.lower()
-
-    def _words(self, words: list[str]) -> None:
-        """Ids of words of plain letters, which are a pre-token each: one text holds very many of them."""
-        for at in range(0, len(words), 8192):
-            some = words[at : at + 8192]
-            found = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, dtype="<u4")
-            edges = np.flatnonzero(self.edge[ids]) + self.edge_is_end
-            begins = [0, *edges.tolist()] if self.edge_is_end else [*edges.tolist(), len(ids)]
-            if len(begins) != len(some) + 1:
-                raise RuntimeError("the vocabulary doesn't tell where words begin or end")
-            data = ids.tobytes()
-            self.words.update((w, data[4 * x : 4 * y]) for w, x, y in zip(some, begins, begins[1:], strict=False))
-
-    def _firsts(self, words: list[str]) -> None:
-        """Ids of words of plain letters that begin a line."""
-        if not words:
-            return
-        found = self.tokenizer.encode_batch_fast(["".join(f"{w}\n" for w in words) + "."], add_special_tokens=False)[0]
-        ids = np.array(found.ids, dtype="<u4")
-        data, begin = ids.tobytes(), 0
-        ends = np.flatnonzero(ids == self.newline).tolist()
-        if len(ends) != len(words):
-            raise RuntimeError("the tokenizer doesn't keep lines of letters apart")
-        for w, end in zip(words, ends, strict=True):
-            self.firsts[w] = data[4 * begin : 4 * end]
-            begin = end + 1
-
-    def _learn(self, wanted: set[str]) -> None:
-        """Ids of new pieces; ``False`` for those that may depend on the white space before them.
-
-        Two generations are kept, so that pieces in use outlive those that aren't.
-        """
-        if len(self.pieces) + len(wanted) > KEPT_PIECES:
-            self.older, self.pieces = self.pieces, {}
-        if len(self.words) > KEPT_PIECES + KEPT_PIECES // 2:
-            self.words = {}
-        if len(self.firsts) > KEPT_PIECES // 4:
-            self.firsts = {}
-        plain: list[tuple[str, str, str]] = []
-        broken: list[tuple[str, str, str, str, str]] = []
-        others = []
-        for p in wanted:
-            ids = self.older.get(p)
-            if ids is not None:
-                self.pieces[p] = ids
-            elif not self.drops_blanks and "\n" in p and (m := _TWO_LINES.fullmatch(p)):
-                broken.append((p, *m.groups()))
-            elif m := _PLAIN.fullmatch(p):
-                word, signs = m.groups()
-                plain.append((p, word.lower() if self.folds else word, signs))
-            elif not p or p[0].isspace() or not p[0].isprintable():
-                self.pieces[p] = False
+    def _ids(self, piece: str) -> bytes:
+        """Ids of a pre-token, or of a piece that isn't cut further."""
+        if self.pattern is None or len(piece) > LONGEST_KEPT or _RARE.search(piece):
+            return self._whole([piece])[0]
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [x.id for x in self.model.tokenize(letters)]).tobytes()
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The text's pre-tokens, as far as it is cut; ``None`` if the library has to see all of it."""
+        low = text.lower() if self.folds else text
+        if any(x in text or x in low for x in self.added):
+            return None
+        if self.pattern is not None and not _RARE.search(text):
+            return self.pattern.findall(low)
+        if self.drops_blanks:
+            if not _SEPARATORS.isdisjoint(text):
+                return None
+            head, pieces = "", text.split()
+        else:
+            head, *pieces = text.split(" ")
+        if not all(p and not p[0].isspace() and p[0].isprintable() for p in pieces):
+            return None
+        out: list[str] = []
+        for p in (head, *(f" {p}" for p in pieces)):
+            if self.pattern is None or _RARE.search(p):
+                out.append(p)
             else:
-                others.append(p)
-        self.pieces.update(zip(others, self._whole([" " + p for p in others]), strict=True))
-        words = {w for _, w, _ in plain} | {w for _, w, _, _, _ in broken}
-        self._words([w for w in words if w not in self.words])
-        self._firsts([w for w in {w for _, _, _, w, _ in broken} if w not in self.firsts])
-        signs = {x for _, _, x in plain} | {x for b in broken for x in (b[2], b[4])}
-        signs = [x for x in (signs | {"\n"}) if x not in self.signs]
-        self.signs.update(zip(signs, self._whole(signs), strict=True))
-        self.pieces.update((p, self.words[w] + self.signs[x]) for p, w, x in plain)
-        end = self.signs["\n"]
-        self.pieces.update(
-            (p, self.words[w] + self.signs[x] + end + self.firsts[v] + self.signs[y]) for p, w, x, v, y in broken
-        )
+                out += self.pattern.findall(p.lower() if self.folds else p)
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is empty."""
@@ -167,26 +166,19 @@ class Encoder:
             out += self._some(texts[at : at + 256])
         return out
 
-    def _holds_added(self, text: str) -> bool:
-        return any(x in text for x in self.added) or (self.folds and any(x in text.lower() for x in self.added))
-
     def _some(self, texts: list[str]) -> list[bytes]:
-        apart = [self._holds_added(t) for t in texts]
-        if self.drops_blanks:
-            cut = [["", *self._folded(t).split()] if not a else [""] for t, a in zip(texts, apart, strict=True)]
-            heads = [b"" if not a and _SEPARATORS.isdisjoint(t) else False for t, a in zip(texts, apart, strict=True)]
-        else:
-            cut = [t.split(" ") if not a else [""] for t, a in zip(texts, apart, strict=True)]
-            heads = [False if a else h for h, a in zip(self._whole([p[0] for p in cut]), apart, strict=True)]
-        found = [[h, *map(self.pieces.get, p[1:])] for h, p in zip(heads, cut, strict=True)]
-        gaps = [(x, p, [j for j, y in enumerate(x) if y is None]) for x, p in zip(found, cut, strict=True) if None in x]
-        if gaps:
-            self._learn({p[j] for _, p, places in gaps for j in places})
-            for x, p, places in gaps:
-                for j in places:
-                    x[j] = self.pieces[p[j]]
-        out = [None if False in x else b"".join(x) for x in found]
-        whole = [i for i, x in enumerate(out) if x is None]
+        out: list[bytes] = []
+        whole = []
+        for i, text in enumerate(texts):
+            pieces = self._cut(text)
+            if pieces is None:
+                whole.append(i)
+                out.append(b"")
+                continue
+            out.append(b"".join(map(self.known.__getitem__, pieces)))
+            if len(self.known) > KEPT_PIECES:
+                self.known.older = {}
+                self.known = _Known(self._ids, self.known)
         for i, x in zip(whole, self._whole([texts[i] for i in whole]) if whole else [], strict=True):
             out[i] = x
         return out
