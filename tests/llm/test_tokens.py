@@ -77,6 +77,26 @@ def test_byte_level_ids_of_any_characters():
     any_characters_give_the_library_s_ids(BYTE)
 
 
+def test_word_parts_are_encoded_once():
+    known_parts_aren_t_encoded_anew(WORD)
+
+
+def test_word_ids_of_any_characters():
+    any_characters_give_the_library_s_ids(WORD)
+
+
+def test_another_pattern_is_cut_at_spaces_only(tmp_path):
+    with open(WORD, encoding="utf-8") as f:
+        config = json.load(f)
+    config["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(config), encoding="utf-8")
+    codec = Encoder(str(path))
+    texts = [*ODD, "abc1 1a's 12"]
+    assert codec.by_piece and codec.pattern is None
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == library(str(path), texts)
+
+
 @pytest.fixture(scope="module")
 def rows():
     found = corpus(2, 60) + [(30_000 + i, t) for i, t in enumerate(ODD)] + [(-4, "negative"), (40_000, "long " * 9000)]
