@@ -52,8 +52,9 @@ class NotAsked:
 def known_parts_aren_t_encoded_anew(path):
     words, signs = ["Alpha", "beta", "gamma", "été"], ["", ".", ",", "!!", "%%%", "***"]
     codec = Encoder(path)
-    codec.encode([f"{w} {w.lower()} {w}\n{w.lower()}{x}\n{w}" for w in words for x in signs] + ["a  b", "1 x"])
+    codec.encode([f"{w} {w.lower()} {w}\n{w}\n{w.lower()}{x}\n{w}'s{x} 1{x}" for w in words for x in signs] + ["a  b-a", "A1"])
     fresh = [f"{v}{x} {w}{y}  {v.lower()}\n{w}{x}" for v in words for w in words for x in signs for y in signs]
+    fresh += [f"a {v}-{w}1{x}" for v in words for w in words for x in signs]
     codec.tokenizer = codec.model = NotAsked()
     assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(fresh)] == library(path, fresh)
 

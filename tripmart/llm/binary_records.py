@@ -216,7 +216,8 @@ def read_records(manifest: DataFrame) -> DataFrame:
     ordered = Window.orderBy(F.desc("first_null"), "first_id").rowsBetween(Window.unboundedPreceding, -1)
     bases = manifest.select("file", F.coalesce(F.sum("n_tokens").over(ordered), F.lit(0)).alias("base"))
     records = _spread(manifest.select("file")).mapInArrow(_reader, _RECORD)
-    return records.join(bases, "file").select(
+    # One row a file: without the hint the side whose stage ends first may be sent out, which can be the records.
+    return records.join(F.broadcast(bases), "file").select(
         "doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", "file"
     )
 
